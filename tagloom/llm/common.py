@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +60,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -79,3 +83,21 @@ def unit_hash(seed: str, *cols: Column) -> Column:
 def bounded_broadcast(small: DataFrame, rows: int, width: int) -> DataFrame:
     """Broadcast hint only where rows x width bytes stays under BROADCAST_LIMIT."""
     return F.broadcast(small) if rows * width <= BROADCAST_LIMIT else small
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors where neither PYTHONPATH nor the working folder leads them to it."""
+    root = Path(__file__).resolve().parents[2]
+    known = {Path(p).resolve() for p in [".", *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p}
+    app = spark.sparkContext.applicationId
+    if root in known or app in _shipped:
+        return
+    to = Path(tempfile.mkdtemp(prefix="tagloom-")) / "tagloom.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for p in sorted((root / "tagloom").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    spark.sparkContext.addPyFile(str(to))
+    _shipped.add(app)

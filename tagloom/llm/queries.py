@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from .common import scratch_dir, table
 from .exact_dedup import exact_groups
+from .lm_scoring import cross_entropy_difference
 from .mixing import mix
+from .quality import classify
 from .token_counts import token_counts
+from .toxicity import severity
 
 TOKENIZER = "word_bpe_49k.json"
 OVER_LIMIT = 2048
@@ -38,10 +41,26 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Labels only say toxic or not; toxic documents with many telling features make the higher grades.
+    return severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", degrees=(8, 16))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mixing": op2_mixing,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op8_lm_scoring": op8_lm_scoring,
 }
 
 OP2_SQL = r"""

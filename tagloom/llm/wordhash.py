@@ -94,6 +94,17 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, space: np.
     return h, bounds, starts, ends
 
 
+def prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, k: int, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of the words longer than k bytes, hash of their first k bytes), apart from all whole words' hashes."""
+    n = len(data)
+    at = np.flatnonzero(ends - starts > k)
+    up, down = powers(n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_TABLE[_LOWER[data] if lower else data] * up[:n], out=sums[1:])
+    a = starts[at]
+    return at, mix((sums[a + k] - sums[a]) * down[a] + np.uint64(0x2545F4914F6CDD1D + k))
+
+
 def runs(h: np.ndarray, k: int, base: int = 0xA24BAED4963EE407) -> np.ndarray:
     """Hash of each k consecutive words, by first word; max(0, len - k + 1) of them, over text borders too."""
     n = len(h)
