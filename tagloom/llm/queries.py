@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import scratch_dir, table
 from .exact_dedup import exact_groups
+from .html_extract import extract
 from .lm_scoring import cross_entropy_difference
 from .mixing import mix
 from .quality import classify
@@ -54,6 +55,10 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mixing": op2_mixing,
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_lm_scoring": op8_lm_scoring,
+    "op9_html_extraction": op9_html_extraction,
 }
 
 OP2_SQL = r"""
