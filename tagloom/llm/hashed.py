@@ -97,7 +97,7 @@ def hashed_counts(docs: DataFrame, sizes: list[int], extract: Extract) -> list[n
     found = [np.zeros(s, np.int64) for s in sizes]
     for k, block, c in sums.collect():
         part = np.frombuffer(c, np.int64)
-        found[k][block : block + BLOCK] = part[: sizes[k] - block]
+        found[k][block : block + BLOCK] = part[: max(0, sizes[k] - block)]
     return found
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .hashed import ids_of, sample_labels
+from .hashed import hashed_counts, sample_labels
 
 BUCKETS = 1 << 20
 #: Lengths in bytes of word beginnings that are features of their own.
@@ -93,11 +93,12 @@ class OrdinalModel:
         return cls(out, free[0] + np.concatenate(([0.0], np.cumsum(np.exp(free[1:])))))
 
 
-def telling(rows: np.ndarray, features: np.ndarray, severe: np.ndarray, least: int, most: int, score: float = 30.0) -> np.ndarray:
-    """Features whose presence depends on grade > 0: chi-square above `score`, in at least `least` documents."""
-    n, pos = len(severe), severe.sum()
-    df, hit = np.bincount(features, minlength=BUCKETS), np.bincount(features, severe[rows].astype(float), BUCKETS)
-    expect = df * pos / n
+def telling(df: np.ndarray, hit: np.ndarray, n: int, pos: int, least: int, most: int, score: float = 30.0) -> np.ndarray:
+    """Features whose presence depends on grade > 0: chi-square above `score`, in at least `least` documents.
+
+    df, hit: documents, and documents of grade > 0, that have each feature; n, pos: all of either.
+    """
+    expect = df * (pos / n)
     var = np.maximum(expect * (1 - pos / n) * (1 - df / n), 1e-9)
     chi = np.where((df >= least) & (df < n), (hit - expect) ** 2 / var, 0)
     found = np.flatnonzero(chi > score)
@@ -110,33 +111,41 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str, sample: int = 20_000, fe
     grades_of = np.round(marks).astype(np.int64)
     if not len(ids) or grades_of.max() <= 0 or grades_of.min() > 0:
         return None
+    spark = docs.sparkSession
+    # At most `sample` ids: a broadcast of bounded size. Repeated ids count once.
+    wanted_ids = spark.createDataFrame([(int(i),) for i in ids], "doc_id long")
+    mine = docs.join(F.broadcast(wanted_ids), "doc_id", "left_semi")
+    severe_ids = ids[grades_of > 0]
+
+    def both(ids_: np.ndarray, data: np.ndarray, offsets: np.ndarray):
+        t, f = presence(data, offsets)
+        severe = np.isin(ids_, severe_ids)
+        yield 0, f.view(np.uint64)
+        yield 1, f[severe[t]].view(np.uint64)
+        yield 2, np.where(severe, 1, 0).view(np.uint64)
+
+    df, hit, sizes = hashed_counts(mine, [BUCKETS, BUCKETS, 2], both)
+    n, pos = int(sizes.sum()), int(sizes[1])
+    if not 0 < pos < n:
+        return None
+    chosen = telling(df, hit, n, pos, max(5, n // 2000), features)
+    keep = np.zeros(BUCKETS, bool)
+    keep[chosen] = True
+    worse = np.zeros(BUCKETS, bool)
+    worse[chosen] = hit[chosen] * n > df[chosen] * pos
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            mine = np.isin(ids_of(b), ids)
-            if not mine.any():
-                continue
-            part = b.filter(pa.array(mine))
-            part_ids = ids_of(part)
-            for at, data, offsets in wordhash.chunks(part.column(1)):
-                n = len(offsets) - 1
-                t, f = presence(data, offsets)
-                ends = np.searchsorted(t, np.arange(n + 1))
-                yield pa.record_batch([pa.array(part_ids[at : at + n]), pa.array([f[x:y].astype(np.int32).tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], ["doc_id", "features"])
+            for at, data, offsets in wordhash.chunks(b.column(1)):
+                k = len(offsets) - 1
+                t, f = presence(data, offsets, keep)
+                ends = np.searchsorted(t, np.arange(k + 1))
+                yield pa.record_batch([b.column(0)[at : at + k], pa.array([f[x:y].astype(np.int32).tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], ["doc_id", "features"])
 
-    # Repeated ids count once, so the sample's bound holds.
-    got = docs.mapInArrow(pick, "doc_id long, features binary").groupBy("doc_id").agg(F.max("features").alias("features")).collect()
-    if not got:
-        return None
+    got = mine.mapInArrow(pick, "doc_id long, features binary").groupBy("doc_id").agg(F.max("features").alias("features")).collect()
     grades = grades_of[np.searchsorted(ids, np.array([r[0] for r in got], np.int64))]
     parts = [np.frombuffer(r[1], np.int32) for r in got]
-    rows, cols = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.concatenate(parts)
-    if grades.max() <= 0 or grades.min() > 0:
-        return None
-    keep = np.zeros(BUCKETS, bool)
-    keep[telling(rows, cols, grades > 0, max(5, len(parts) // 2000), features)] = True
-    rows, cols = rows[keep[cols]], cols[keep[cols]]
-    worse = np.bincount(cols, (grades > 0)[rows], BUCKETS) > np.bincount(cols, minlength=BUCKETS) * (grades > 0).mean()
+    rows, cols = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.concatenate(parts).astype(np.int64)
     held = np.bincount(rows[worse[cols]], minlength=len(grades))
     for d in degrees:
         grades = grades + ((grades > 0) & (held >= d))
