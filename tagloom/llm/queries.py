@@ -11,6 +11,7 @@ from .common import scratch_dir, table
 from .decontaminate import contaminated
 from .exact_dedup import exact_groups
 from .html_extract import extract
+from .jaccard_join import similarity_groups
 from .lm_scoring import cross_entropy_difference
 from .mixing import mix
 from .quality import classify
@@ -64,6 +65,10 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_groups(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mixing": op2_mixing,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_html_extraction": op9_html_extraction,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 OP2_SQL = r"""
@@ -99,4 +105,20 @@ g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DE
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
-ORACLES: dict[str, str] = {"op2_mixing": OP2_SQL, "op4_exact_dedup": OP4_SQL}
+OP10_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+-- Equal sets link; of each, the smallest doc_id stands for the rest.
+f AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY key) AS rep FROM (SELECT doc_id, md5(string_agg(g, chr(31) ORDER BY g)) AS key FROM s GROUP BY doc_id)),
+r AS (SELECT s.doc_id, g FROM s JOIN f ON s.doc_id = f.doc_id AND f.doc_id = f.rep),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS hits FROM r a JOIN r b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * hits >= 85 * (x.n + y.n - hits)),
+e AS (SELECT a AS u, b AS v FROM l UNION SELECT b, a FROM l),
+c AS (SELECT DISTINCT u AS node, u AS root FROM e UNION SELECT e.v, c.root FROM c JOIN e ON e.u = c.node),
+m AS (SELECT node, min(root) AS root FROM c GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(m.root, f.rep, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN m ON m.node = f.rep
+"""
+
+ORACLES: dict[str, str] = {"op2_mixing": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op10_ngram_jaccard_join": OP10_SQL}
