@@ -15,6 +15,7 @@ from .jaccard_join import similarity_groups
 from .lm_scoring import cross_entropy_difference
 from .mixing import mix
 from .quality import classify
+from .substring_dedup import removed
 from .token_counts import token_counts
 from .toxicity import severity
 
@@ -53,6 +54,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_html_extraction": op9_html_extraction,
@@ -105,6 +111,17 @@ g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DE
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS holder FROM win) WHERE doc_id > holder),
+cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM dup),
+x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM d),
+kept AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.k) AS t, count(*) AS n FROM x ANTI JOIN cov ON x.doc_id = cov.doc_id AND x.k = cov.k GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP10_SQL = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
@@ -121,4 +138,4 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(m.root
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN m ON m.node = f.rep
 """
 
-ORACLES: dict[str, str] = {"op2_mixing": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op10_ngram_jaccard_join": OP10_SQL}
+ORACLES: dict[str, str] = {"op2_mixing": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op10_ngram_jaccard_join": OP10_SQL}
