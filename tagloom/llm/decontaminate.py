@@ -87,8 +87,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, i
         met = rows.select("doc_id", at).join(bounded_broadcast(mine.select("hash", "item_id", "item_at"), mine.count(), WIDTH), "hash")
         per_doc = met.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "item_at", "at")).alias("hits"))
         per_doc = cut(per_doc, "hits")
-        # Equal hashes are checked word by word. Spark broadcasts the few hit documents or, beyond its threshold, shuffles.
-        both = rows.join(per_doc, "doc_id").select("doc_id", "hits", template(marked(F.col("text"))).alias("words"), values(marked(F.col("text"))).alias("values"))
+        # Equal hashes are checked word by word, for which the documents with a hit are parted into words once more.
+        ids = per_doc.select("doc_id")
+        words_of = rows.join(bounded_broadcast(ids, ids.count(), 16), "doc_id", "left_semi")
+        words_of = cut(words_of.select("doc_id", template(marked(F.col("text"))).alias("words"), values(marked(F.col("text"))).alias("values")), "words")
+        both = words_of.join(per_doc, "doc_id")
         cutout = lambda h: F.struct(h["item_id"].alias("item_id"), h["item_at"].alias("item_at"), h["at"].alias("at"), F.slice("words", h["at"] + 1, k).alias("words"), F.slice("values", h["at"] + 1, k).alias("values"))
         hits = both.select("doc_id", F.explode(F.transform("hits", cutout)).alias("h")).select("doc_id", "h.*")
         hits = hits.join(bounded_broadcast(mine, mine.count(), WIDTH), ["item_id", "item_at"]).filter(F.col("words") == F.col("slot"))
