@@ -1,10 +1,586 @@
-"""Registered queries of the engine and their SQL."""
+"""Registered queries of the engine over the supplied tables, and the same in SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from ..functions import fixed, tags, tokens
+from ..operators import buckets, counts, impute, incremental, prompts, relational, sampling, similarity, sinks, tiering
+from ..sources.posts import hash_key, hash_key_sql, posts, posts_sql
+from ..sources.tables import existing, table, with_scores
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+ARTISTS, CHARACTERS = ["src0", "src5"], ["fr"]
+SKIP = {"lowres": 0.6, "solo": 0.25}
+INCLUDE = {"solo": 2.0, "highres": 1.5, "1girl": 3.0, "lowres": 0.5}
+SHARES = {"g": 0.20, "s": 0.35, "q": 0.30, "e": 0.15}
+SIZES = buckets.bucket_sizes()
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query by its function's name, with its SQL; `posts` in the SQL stands for the derived view."""
+
+    def keep(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            text = sql.strip()
+            first, _, rest = text.partition(" ")
+            if "posts" in text:
+                text = f"WITH {'RECURSIVE ' if 'RECURSIVE' in text else ''}{posts_sql()}" + (f", {rest.removeprefix('RECURSIVE ')}" if first == "WITH" else f" {text}")
+            ORACLES[f.__name__] = text
+        return f
+
+    return keep
+
+
+def words_sql(column: str) -> str:
+    return f"list_filter(regexp_split_to_array(coalesce({column}, ''), '\\s+'), lambda t: t <> '')"
+
+
+EACH_TAG = """SELECT id, 'general' AS category, unnest(string_split(tag_string_general, ' ')) AS tag FROM posts
+  UNION ALL SELECT id, 'character', unnest(string_split(tag_string_character, ' ')) FROM posts
+  UNION ALL SELECT id, 'copyright', unnest(string_split(tag_string_copyright, ' ')) FROM posts
+  UNION ALL SELECT id, 'artist', unnest(string_split(tag_string_artist, ' ')) FROM posts"""
+COUNTS_SQL = f"each AS ({EACH_TAG}), counts AS (SELECT category, tag, count(*) AS count FROM each WHERE tag <> '' GROUP BY category, tag)"
+READABLE = "replace(replace(replace(replace(coalesce({c}, ''), '(', '\\('), ')', '\\)'), ' ', ', '), '_', ' ')"
+
+
+def readable_sql(c: str) -> str:
+    return READABLE.format(c=c)
+
+
+# Scans, projections, joins
+
+
+@query("SELECT id, score, fav_count, rating, image_width, image_height FROM posts WHERE NOT coalesce(is_deleted, false) AND NOT coalesce(is_banned, false) AND image_width * image_height >= 262144")
+def scan_filter_project(spark, sf):
+    rows = posts(spark, sf).filter(~F.coalesce("is_deleted", F.lit(False)) & ~F.coalesce("is_banned", F.lit(False)) & (F.col("image_width") * F.col("image_height") >= 512 * 512))
+    return existing(rows, ["id", "score", "fav_count", "rating", "image_width", "image_height", "no_such_column"])
+
+
+@query("SELECT p.id, p.score, CAST(e.label AS BIGINT) AS aes_score FROM posts p LEFT JOIN embeddings e ON e.vec_id = p.id")
+def posts_aes_join(spark, sf):
+    scores = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("score"))
+    return with_scores(posts(spark, sf), scores).select("id", "score", "aes_score")
+
+
+@query("SELECT id, score FROM posts ORDER BY id LIMIT 50 OFFSET 25")
+def row_slice(spark, sf):
+    return relational.row_slice(posts(spark, sf).select("id", "score"), 25, 75, "id")
+
+
+@query("""WITH named AS (SELECT id, unnest(list_distinct(list_concat(string_split(coalesce(tag_string_character, ''), ' '), string_split(coalesce(tag_string_artist, ''), ' ')))) AS tag FROM posts)
+SELECT tag, max(id) AS newest_id FROM named WHERE tag IN (SELECT DISTINCT source FROM documents UNION SELECT 'fr') GROUP BY tag""")
+def newest_id_per_tag(spark, sf):
+    wanted = table(spark, sf, "documents").select(F.col("source").alias("tag")).distinct().union(spark.createDataFrame([("fr",)], "tag string"))
+    return relational.newest_ids(posts(spark, sf), wanted)
+
+
+@query("""SELECT id, score, md5 FROM posts WHERE id % 3 <> 0 UNION ALL SELECT id, score + 1000, md5 FROM posts WHERE id % 3 = 0""")
+def prior_upsert_keep_last(spark, sf):
+    rows = posts(spark, sf).select("id", "score", "md5")
+    return relational.upsert(rows, rows.filter("id % 3 = 0").withColumn("score", F.col("score") + 1000))
+
+
+@query("SELECT id, md5, score FROM posts QUALIFY row_number() OVER (PARTITION BY md5 ORDER BY score DESC, id) = 1")
+def md5_dedup(spark, sf):
+    return relational.md5_dedup(posts(spark, sf).select("id", "md5", "score"))
+
+
+@query("""WITH twice AS (SELECT id % 50 AS id, score, fav_count, tag_string FROM posts)
+SELECT id, score, fav_count, tag_string FROM twice QUALIFY row_number() OVER (PARTITION BY id ORDER BY length(tag_string) DESC, score DESC, fav_count DESC NULLS LAST, tag_string) = 1""")
+def best_duplicate(spark, sf):
+    return relational.best_duplicate(posts(spark, sf).select((F.col("id") % 50).alias("id"), "score", "fav_count", "tag_string"))
+
+
+@query(f"SELECT id FROM posts WHERE list_has_any({words_sql('tag_string_artist')}, ['src0', 'src5']) OR list_has_any({words_sql('tag_string_character')}, ['fr'])")
+def target_filter(spark, sf):
+    return relational.target_filter(posts(spark, sf), CHARACTERS, ARTISTS).select("id")
+
+
+@query(f"SELECT id FROM posts WHERE list_has_any({words_sql('tag_string_artist')}, ['src0', 'src5']) OR list_has_any({words_sql('tag_string_character')}, ['fr'])")
+def target_join(spark, sf):
+    return relational.target_join(posts(spark, sf), spark.createDataFrame([(t,) for t in ARTISTS + CHARACTERS], "tag string")).select("id")
+
+
+@query("SELECT id, rating FROM posts WHERE id NOT IN (SELECT doc_id FROM labels) AND id NOT IN (SELECT vec_id FROM embeddings)")
+def exclusion_antijoin(spark, sf):
+    return relational.without(posts(spark, sf).select("id", "rating"), table(spark, sf, "labels").select(F.col("doc_id").alias("id")), table(spark, sf, "embeddings").select(F.col("vec_id").alias("id")))
+
+
+@query("SELECT doc_id AS id FROM documents EXCEPT SELECT vec_id FROM embeddings")
+def missing_ids(spark, sf):
+    return similarity.exclusion(table(spark, sf, "documents").select(F.col("doc_id").alias("id")), table(spark, sf, "embeddings").select(F.col("vec_id").alias("id")))
+
+
+@query("SELECT tag FROM (SELECT source AS tag FROM documents UNION SELECT lang FROM documents) INTERSECT SELECT lang FROM documents")
+def tag_set_operations(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select(F.col("source").alias("tag")).union(d.select("lang")).distinct().intersect(d.select(F.col("lang").alias("tag")))
+
+
+@query(f"""SELECT id FROM posts WHERE NOT (list_contains({words_sql('lower(tag_string)')}, 'lowres') AND NOT list_has_any({words_sql('tag_string_artist')}, ['src0', 'src5']) AND {hash_key_sql('skip:lowres', 'id')} < 0.6)
+  AND NOT (list_contains({words_sql('lower(tag_string)')}, 'solo') AND NOT list_has_any({words_sql('tag_string_artist')}, ['src0', 'src5']) AND {hash_key_sql('skip:solo', 'id')} < 0.25)""")
+def skip_tags_hash(spark, sf):
+    return relational.skip_tags(posts(spark, sf), SKIP, lambda tag: hash_key(f"skip:{tag}", "id"), ARTISTS).select("id")
+
+
+@query("""SELECT id, tag_string_meta FROM posts WHERE regexp_matches(tag_string_general, '\\bsolo\\b') AND regexp_matches(tag_string_general, '\\b(1girl|1boy)\\b')
+  AND NOT regexp_matches(coalesce(tag_string_meta, ''), 'animated|duplicate|lowres|pixel-perfect_duplicate|watermark') AND image_width >= 256 AND image_height >= 256 AND len(string_split(tag_string_character, ' ')) <= 1""")
+def face_filter(spark, sf):
+    return relational.face_filter(posts(spark, sf), fixed.FACE_META).select("id", "tag_string_meta")
+
+
+@query("""WITH u AS (SELECT id, CASE WHEN large_file_url IS NULL OR image_width * image_height <= 589824 OR image_height <= 1200 THEN file_url ELSE large_file_url END AS url FROM posts)
+SELECT id, url, lower(regexp_extract(url, '\\.([A-Za-z0-9]+)$', 1)) AS suffix FROM u WHERE lower(regexp_extract(url, '\\.([A-Za-z0-9]+)$', 1)) IN ('jpg', 'jpeg', 'png', 'webp', 'avif')""")
+def download_choice(spark, sf):
+    return relational.download_choice(posts(spark, sf))
+
+
+# Counts, weights, statistics
+
+
+@query(f"WITH {COUNTS_SQL} SELECT category, tag, count FROM counts")
+def tag_counts(spark, sf):
+    return counts.tag_counts(posts(spark, sf))
+
+
+@query(f"WITH {COUNTS_SQL} SELECT category, tag, count, row_number() OVER (PARTITION BY category ORDER BY count DESC, tag) AS rank FROM counts QUALIFY rank <= 25")
+def top_tags_per_category(spark, sf):
+    return counts.top_tags(counts.tag_counts(posts(spark, sf)), 25).select("category", "tag", "count", F.col("rank").cast("long").alias("rank"))
+
+
+@query(f"WITH {COUNTS_SQL} SELECT tag, count FROM counts WHERE category = 'general' ORDER BY count, tag LIMIT 20")
+def rarest_tags(spark, sf):
+    return counts.tag_counts(posts(spark, sf), {"general": "tag_string_general"}).select("tag", "count").orderBy("count", "tag").limit(20)
+
+
+@query(f"""WITH {COUNTS_SQL}, f AS (SELECT *, 1.0 / (count / sum(count) OVER (PARTITION BY category) + 0.05) AS raw FROM counts),
+m AS (SELECT *, min(raw) OVER (PARTITION BY category) AS lo, max(raw) OVER (PARTITION BY category) AS hi FROM f)
+SELECT category, tag, round(CASE WHEN hi = lo THEN 1.0 ELSE least(greatest(0.25 + (raw - lo) / (hi - lo) * 1.75, 0.25), 2.0) END, 6) AS weight FROM m""")
+def tag_weights(spark, sf):
+    return counts.tag_weights(counts.tag_counts(posts(spark, sf))).withColumn("weight", F.round("weight", 6))
+
+
+CAPTION = f"concat_ws(', ', {readable_sql('tag_string_general')}, {readable_sql('tag_string_artist')})"
+
+
+@query(f"""WITH {COUNTS_SQL}, f AS (SELECT *, 1.0 / (count / sum(count) OVER (PARTITION BY category) + 0.05) AS raw FROM counts),
+m AS (SELECT *, min(raw) OVER (PARTITION BY category) AS lo, max(raw) OVER (PARTITION BY category) AS hi FROM f),
+w AS (SELECT category, tag, CASE WHEN hi = lo THEN 1.0 ELSE least(greatest(0.25 + (raw - lo) / (hi - lo) * 1.75, 0.25), 2.0) END AS weight FROM m),
+c AS (SELECT id, unnest(string_split({CAPTION}, ', ')) AS tag FROM posts),
+k AS (SELECT c.id, w.category, CASE WHEN w.category = 'artist' AND c.tag IN ('src0', 'src5') THEN least(w.weight * 1.55, 2.0) ELSE w.weight END AS weight FROM c JOIN w ON c.tag = w.tag),
+p AS (SELECT id, exp(avg(ln(mean))) AS weight FROM (SELECT id, category, avg(weight) AS mean FROM k GROUP BY id, category) GROUP BY id)
+SELECT posts.id, round(coalesce(p.weight, 1.0), 6) AS weight FROM posts LEFT JOIN p ON p.id = posts.id""")
+def caption_weight(spark, sf):
+    rows = posts(spark, sf)
+    captions = rows.select("id", F.concat_ws(", ", tags.prompt_of(F.col("tag_string_general")), tags.prompt_of(F.col("tag_string_artist"))).alias("caption"))
+    weights = counts.tag_weights(counts.tag_counts(rows))
+    artists = spark.createDataFrame([(a,) for a in ARTISTS], "tag string")
+    return counts.caption_weights(captions, weights, artists).withColumn("weight", F.round("weight", 6))
+
+
+@query(f"""WITH w AS (SELECT id, unnest(list_distinct({words_sql('tag_string')})) AS tag FROM posts)
+SELECT id, round(product(CASE tag WHEN 'solo' THEN 2.0 WHEN 'highres' THEN 1.5 WHEN '1girl' THEN 3.0 WHEN 'lowres' THEN 0.5 ELSE 1.0 END), 6) AS weight FROM w GROUP BY id""")
+def include_weight(spark, sf):
+    return posts(spark, sf).select("id", F.round(tags.include_weight(F.col("tag_string"), INCLUDE), 6).alias("weight"))
+
+
+@query(f"""WITH b AS (SELECT category, tag, count FROM (SELECT 'general' AS category, tag, count(*) AS count FROM (SELECT unnest(string_split(tag_string_general, ' ')) AS tag FROM posts) WHERE tag <> '' GROUP BY tag)),
+a AS (SELECT tag, count(*) AS count FROM (SELECT unnest(string_split(tag_string_general, ' ')) AS tag FROM posts WHERE rating IN ('g', 's')) WHERE tag <> '' GROUP BY tag)
+SELECT coalesce(b.tag, a.tag) AS tag, coalesce(b.count, 0) AS prior, coalesce(a.count, 0) AS filtered, coalesce(a.count, 0) - coalesce(b.count, 0) AS difference,
+  round(CASE WHEN coalesce(b.count, 0) = 0 THEN 0.0 ELSE (coalesce(a.count, 0) - b.count) * 100.0 / b.count END, 6) AS difference_percentage FROM b FULL JOIN a ON a.tag = b.tag""")
+def count_comparison(spark, sf):
+    rows, general = posts(spark, sf), {"general": "tag_string_general"}
+    before, after = counts.tag_counts(rows, general), counts.tag_counts(rows.filter(F.col("rating").isin("g", "s")), general)
+    return counts.comparison(before, after).withColumn("difference_percentage", F.round("difference_percentage", 6))
+
+
+@query("""WITH e AS (SELECT rating, unnest(string_split(tag_string_general, ' ')) AS tag FROM posts)
+SELECT 'general' AS category, tag, count(*) FILTER (rating = 'e') AS e, count(*) FILTER (rating = 'g') AS g, count(*) FILTER (rating = 'q') AS q, count(*) FILTER (rating = 's') AS s FROM e WHERE tag <> '' GROUP BY tag""")
+def tag_distribution_pivot(spark, sf):
+    rows = posts(spark, sf).select("rating", F.explode(tags.split_tags(F.col("tag_string_general"))).alias("tag")).filter("tag != ''")
+    per = rows.groupBy("rating", "tag").agg(F.count(F.lit(1)).alias("count")).withColumn("category", F.lit("general"))
+    return per.groupBy("category", "tag").pivot("rating", ["e", "g", "q", "s"]).agg(F.sum("count")).na.fill(0)
+
+
+@query(f"WITH {COUNTS_SQL} SELECT category, count(*) AS tags, count(*) FILTER (count < 3) AS below_3, count(*) FILTER (count < 20) AS below_20, round(count(*) FILTER (count < 3) / count(*), 6) AS share_3, round(count(*) FILTER (count < 20) / count(*), 6) AS share_20 FROM counts GROUP BY category")
+def rare_shares(spark, sf):
+    out = counts.rare_shares(counts.tag_counts(posts(spark, sf)), (3, 20))
+    return out.withColumns({c: F.round(c, 6) for c in ("share_3", "share_20")})
+
+
+@query(f"""WITH {COUNTS_SQL}, rare AS (SELECT tag FROM counts WHERE category = 'general' AND count < 5),
+e AS (SELECT id, unnest(string_split(tag_string_general, ' ')) AS tag, generate_subscripts(string_split(tag_string_general, ' '), 1) AS pos FROM posts),
+k AS (SELECT id, string_agg(tag, ' ' ORDER BY pos) AS kept FROM e WHERE tag <> '' AND tag NOT IN (SELECT tag FROM rare) GROUP BY id)
+SELECT posts.id, coalesce(k.kept, '') AS tag_string_general FROM posts LEFT JOIN k ON k.id = posts.id""")
+def pruned_tags(spark, sf):
+    rows = posts(spark, sf)
+    return counts.pruned(rows, counts.tag_counts(rows), "tag_string_general", "general", 5).select("id", "tag_string_general")
+
+
+CLUSTER_SQL = " ".join(f"WHEN {' OR '.join(f'contains(tag, {w!r})' for w in words.split())} THEN '{name}'" for name, words in fixed.TAG_CLUSTERS.items())
+
+
+@query(f"WITH {COUNTS_SQL}, c AS (SELECT CASE {CLUSTER_SQL} END AS cluster, count FROM counts WHERE category = 'general') SELECT cluster, CAST(sum(count) AS BIGINT) AS tags FROM c WHERE cluster IS NOT NULL GROUP BY cluster")
+def tag_clusters(spark, sf):
+    return counts.clusters(counts.tag_counts(posts(spark, sf), {"general": "tag_string_general"}))
+
+
+@query("SELECT " + ", ".join(f"count(*) FILTER (list_contains({words_sql('tag_string_general')}, '{t}')) AS n_{t.replace('+', '_plus')}" for t in fixed.PERSON_TAGS) + ", count(*) FILTER (regexp_matches(tag_string_general, '\\bsolo\\b') AND regexp_matches(tag_string_general, '\\b1girl\\b')) AS solo_girl, count(*) FILTER (regexp_matches(tag_string_general, '\\bsolo\\b') AND regexp_matches(tag_string_general, '\\b1boy\\b')) AS solo_boy FROM posts")
+def person_counts(spark, sf):
+    return counts.persons(posts(spark, sf))
+
+
+@query("SELECT rating, count(score) AS count, round(avg(score), 6) AS mean, round(stddev_samp(score), 6) AS std, min(score) AS min, quantile_cont(score, 0.25) AS p25, quantile_cont(score, 0.5) AS p50, quantile_cont(score, 0.75) AS p75, max(score) AS max FROM posts GROUP BY rating")
+def describe_scores(spark, sf):
+    return counts.describe(posts(spark, sf), "score", "rating").withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+
+
+@query("SELECT rating AS value, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM posts GROUP BY rating")
+def rating_share(spark, sf):
+    return counts.shares(posts(spark, sf), "rating").withColumn("share", F.round("share", 6))
+
+
+@query("WITH n AS (SELECT length(tag_string) AS n FROM posts) SELECT round(avg(n), 6) AS mean, round(stddev_pop(n), 6) AS std, CAST(min(n) AS BIGINT) AS min, quantile_cont(n, 0.5) AS median, round(quantile_cont(n, 0.9), 6) AS p90, round(quantile_cont(n, 0.99), 6) AS p99, CAST(max(n) AS BIGINT) AS max, round(count(*) FILTER (n > 225) / count(*), 6) AS over FROM n")
+def length_stats(spark, sf):
+    out = counts.length_stats(posts(spark, sf), F.length("tag_string").cast("long"))
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "std", "p90", "p99", "over")})
+
+
+@query("SELECT date_trunc('month', ts)::TIMESTAMP AS month, CAST(year(ts) AS BIGINT) AS year, count(*) AS count FROM events GROUP BY 1, 2")
+def monthly_counts(spark, sf):
+    return counts.by_month(table(spark, sf, "events"), F.col("ts")).select("month", F.col("year").cast("long").alias("year"), "count")
+
+
+@query("""WITH e AS (SELECT min(score) AS lo, max(score) AS hi FROM posts)
+SELECT CAST(least(floor((score - lo) * 20 / (hi - lo)), 19) AS BIGINT) AS bin, count(*) AS count FROM posts, e GROUP BY 1""")
+def score_histogram(spark, sf):
+    return counts.histogram(posts(spark, sf), "score", 20).select(F.col("bin").cast("long").alias("bin"), "count")
+
+
+# Imputation, tiers, sampling
+
+
+def impute_sql() -> str:
+    parts, source = [], "posts"
+    for metric in impute.METRICS:
+        for kind in ("artist", "character"):
+            new = f"i_{metric}_{kind}"
+            parts.append(
+                f"""{new}_e AS (SELECT id, {metric} AS v, unnest(string_split(coalesce(tag_string_{kind}, ''), ' ')) AS name FROM {source}),
+{new}_m AS (SELECT name, avg(v) AS mean FROM {new}_e WHERE v IS NOT NULL GROUP BY name),
+{new}_g AS (SELECT id, avg(mean) AS guess FROM {new}_e JOIN {new}_m USING (name) WHERE v IS NULL GROUP BY id),
+{new} AS (SELECT s.* REPLACE (coalesce(s.{metric}, g.guess) AS {metric}) FROM {source} s LEFT JOIN {new}_g g ON g.id = s.id)"""
+            )
+            source = new
+        parts.append(f"{new}_f AS (SELECT * REPLACE (coalesce({metric}, (SELECT coalesce(avg({metric}), 0.0) FROM posts)) AS {metric}) FROM {source})")
+        source = f"{new}_f"
+    return ", ".join(parts) + f", imputed AS (SELECT * FROM {source})"
+
+
+IMPUTED = impute_sql()
+
+
+@query(f"WITH {IMPUTED} SELECT id, round(aes_score, 6) AS aes_score, round(fav_count, 6) AS fav_count, round(score, 6) AS score FROM imputed")
+def imputed_metrics(spark, sf):
+    return impute.imputed(posts(spark, sf)).select("id", *[F.round(c, 6).alias(c) for c in impute.METRICS])
+
+
+SAFE = f"list_has_any({words_sql('tag_string_artist')}, ['src0', 'src5'])"
+PRE_SQL = f"""{IMPUTED},
+kept AS (SELECT *, {SAFE} AS protected, len(string_split(tag_string, ' ')) AS n_tags FROM (SELECT * FROM imputed WHERE aes_score IS NOT NULL AND NOT coalesce(is_deleted, false) AND NOT coalesce(is_banned, false)
+  QUALIFY row_number() OVER (PARTITION BY md5 ORDER BY score DESC, id) = 1) WHERE image_width * image_height >= 262144),
+kids AS (SELECT k.id, k.protected, k.n_tags, p.n_tags AS parent_tags, count(*) OVER f AS n, row_number() OVER (PARTITION BY k.parent_id ORDER BY k.n_tags DESC, k.score DESC, k.id) AS best,
+  row_number() OVER (PARTITION BY k.parent_id ORDER BY k.n_tags DESC, k.id) AS most, row_number() OVER (PARTITION BY k.parent_id ORDER BY k.score DESC, k.id) AS top FROM kept k JOIN kept p ON k.parent_id = p.id WINDOW f AS (PARTITION BY k.parent_id)),
+gone AS (SELECT id FROM kids WHERE NOT protected AND NOT CASE WHEN n = 1 THEN n_tags > parent_tags WHEN n = 2 THEN best = 1 ELSE most = 1 OR top = 1 END),
+pre AS (SELECT * FROM kept WHERE id NOT IN (SELECT id FROM gone) AND (CASE WHEN coalesce(tag_string_character, '') = '' THEN 0 ELSE len(string_split(tag_string_character, ' ')) END) <= 4
+  AND (CASE WHEN coalesce(tag_string_copyright, '') = '' THEN 0 ELSE len(string_split(tag_string_copyright, ' ')) END) <= 4)"""
+
+
+def prepared(spark, sf):
+    return tiering.prefiltered(impute.imputed(posts(spark, sf)), ARTISTS)
+
+
+@query(f"WITH {PRE_SQL} SELECT id FROM pre")
+def parent_child_prune(spark, sf):
+    return prepared(spark, sf).select("id")
+
+
+THRESHOLD_SQL = """th AS (SELECT CASE WHEN count(DISTINCT score) > 3 THEN quantile_cont(score, [0.2, 0.6, 0.92]) ELSE [0.0, 0.0, 0.0] END AS s, CASE WHEN count(DISTINCT fav_count) > 3 THEN quantile_cont(fav_count, [0.2, 0.6, 0.92]) ELSE [0.0, 0.0, 0.0] END AS f,
+  CASE WHEN count(DISTINCT aes_score) > 4 THEN quantile_cont(aes_score, [0.25, 0.38, 0.5]) ELSE [0.0, 0.0, 0.0] END AS a FROM pre)"""
+
+
+@query(f"WITH {PRE_SQL}, {THRESHOLD_SQL} SELECT round(s[1], 6) AS s20, round(s[2], 6) AS s60, round(s[3], 6) AS s92, round(f[1], 6) AS f20, round(f[2], 6) AS f60, round(f[3], 6) AS f92, round(a[1], 6) AS a25, round(a[2], 6) AS a38, round(a[3], 6) AS a50 FROM th")
+def tier_percentiles(spark, sf):
+    names = (("t_score", "s20 s60 s92"), ("t_fav_count", "f20 f60 f92"), ("t_aes_score", "a25 a38 a50"))
+    return tiering.thresholds(prepared(spark, sf)).select(*[F.round(F.element_at(c, i + 1), 6).alias(n) for c, ns in names for i, n in enumerate(ns.split())])
+
+
+BAD_SQL = " + ".join(f"CAST(contains(lower(tag_string), '{t}') AS INT)" for t in fixed.NEGATIVE_TAGS)
+GOOD_SQL = " + ".join(f"CAST(contains(lower(tag_string), '{t}') AS INT)" for t in fixed.POSITIVE_TAGS)
+TIER_SQL = f"""{PRE_SQL}, {THRESHOLD_SQL},
+marks AS (SELECT pre.*, {BAD_SQL} AS bad, {GOOD_SQL} AS good, s, f, a FROM pre, th),
+l1 AS (SELECT *, CASE WHEN score >= s[3] AND fav_count >= f[3] AND aes_score >= a[3] AND bad <= 1 AND good > 0 AND least(image_width, image_height) >= 512 THEN 'masterpiece'
+  WHEN NOT protected AND (bad >= 2 OR contains(lower(tag_string), 'banned_artist') OR (score < s[1] AND fav_count < f[1] AND aes_score < a[1])) THEN 'worse_score'
+  WHEN score >= s[2] AND fav_count >= f[2] AND aes_score >= a[2] AND bad <= 2 THEN 'good_score' ELSE 'bad_score' END AS x FROM marks),
+l2 AS (SELECT *, CASE WHEN x IN ('masterpiece', 'good_score') AND new_aesthetic_label = 'worst' THEN CASE WHEN protected THEN 'bad_score' ELSE 'worse_score' END ELSE x END AS y FROM l1),
+l3 AS (SELECT *, CASE WHEN y IN ('bad_score', 'worse_score') AND new_aesthetic_label = 'best' THEN 'good_score' ELSE y END AS z FROM l2),
+tiers AS (SELECT *, CASE WHEN z = 'worse_score' AND protected THEN 'bad_score' ELSE z END AS quality_label FROM l3)"""
+
+
+@query(f"WITH {TIER_SQL} SELECT id, quality_label, CAST(bad AS BIGINT) AS negative_tags, CAST(good AS BIGINT) AS positive_tags, protected FROM tiers")
+def quality_tiers(spark, sf):
+    out = tiering.labelled(prepared(spark, sf))
+    return out.select("id", "quality_label", F.col("negative_tags").cast("long").alias("negative_tags"), F.col("positive_tags").cast("long").alias("positive_tags"), "protected")
+
+
+@query(f"WITH {TIER_SQL} SELECT quality_label, count(*) AS posts, " + ", ".join(f"round({f}({c}), 6) AS {n}_{a}" for c, a in (("score", "score"), ("fav_count", "fav_count"), ("aes_score", "aes_score"), ("CAST(bad AS DOUBLE)", "negative_tags")) for n, f in (("min", "min"), ("max", "max"), ("mean", "avg"))) + " FROM tiers GROUP BY quality_label")
+def tier_stats(spark, sf):
+    out = tiering.tier_stats(tiering.labelled(prepared(spark, sf)).withColumn("negative_tags", F.col("negative_tags").cast("double")))
+    return out.withColumns({c: F.round(c, 6) for c in out.columns if c not in ("quality_label", "posts")})
+
+
+@query(f"""WITH {TIER_SQL} SELECT id, CASE WHEN quality_label = 'worse_score' AND new_aesthetic_label = 'better' THEN 'good_score' WHEN quality_label IN ('bad_score', 'good_score') AND new_aesthetic_label = 'best' THEN 'masterpiece'
+  WHEN quality_label = 'masterpiece' AND new_aesthetic_label = 'worse' THEN 'bad_score' WHEN quality_label IN ('masterpiece', 'good_score', 'bad_score') AND new_aesthetic_label = 'worst' THEN 'worse_score' ELSE quality_label END AS final_tier FROM tiers""")
+def final_tiers(spark, sf):
+    return tiering.labelled(prepared(spark, sf)).select("id", tiering.final_tier(F.col("quality_label"), F.col("new_aesthetic_label")).alias("final_tier"))
+
+
+QUOTA = sampling.quotas(150, SHARES)
+
+
+@query(f"""WITH w AS (SELECT id, rating, list_reduce(list_prepend(1.0, list_transform(list_distinct({words_sql('tag_string')}), lambda t: CASE t WHEN 'solo' THEN 2.0 WHEN 'highres' THEN 1.5 WHEN '1girl' THEN 3.0 WHEN 'lowres' THEN 0.5 ELSE 1.0 END)), lambda x, y: x * y) AS w FROM posts),
+k AS (SELECT id, rating, -ln(greatest({hash_key_sql('draw', 'id')}, 1e-18)) / w AS key FROM w),
+r AS (SELECT *, row_number() OVER (PARTITION BY rating ORDER BY key, id) AS rank FROM k),
+o AS (SELECT *, CASE WHEN rank > CASE rating {' '.join(f"WHEN '{k}' THEN {v}" for k, v in QUOTA.items())} ELSE 0 END THEN 1 ELSE 0 END AS late FROM r)
+SELECT id, rating FROM o ORDER BY late, key, id LIMIT 150""")
+def rating_quota_sample(spark, sf):
+    return sampling.draw(posts(spark, sf), 150, SHARES, INCLUDE, hash_key("draw", "id")).select("id", "rating")
+
+
+@query(f"SELECT id FROM posts ORDER BY {hash_key_sql('uniform', 'id')}, id LIMIT 100")
+def uniform_sample(spark, sf):
+    return sampling.uniform(posts(spark, sf).select("id"), 100, hash_key("uniform", "id"))
+
+
+@query()
+def sampling_run(spark, sf):
+    rows = posts(spark, sf)
+    prior = rows.filter("id % 10 = 0")
+    excluded = rows.filter("id % 50 = 7").select("id")
+    shares = {"masterpiece": 0.25, "good_score": 0.35, "bad_score": 0.3, "worse_score": 0.1}
+    return sampling.sample_posts(rows, prior, excluded, 120, shares, SHARES, INCLUDE, lambda s: hash_key(s, "id"), ["src0"], [], SKIP)
+
+
+# Buckets, shards, export
+
+BUCKET_VALUES = ", ".join(f"({i}, {w}, {h})" for i, (w, h) in enumerate(SIZES))
+ASSIGN_SQL = f"""bt(bucket, target_width, target_height) AS (VALUES {BUCKET_VALUES}),
+near AS (SELECT p.id, p.tag_string, p.image_width, p.image_height, b.*, abs(ln(b.target_width / b.target_height) - ln(p.image_width / p.image_height)) AS diff FROM posts p, bt b),
+assigned AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(diff, 12), bucket) = 1),
+tiered AS (SELECT *, CASE WHEN len(regexp_extract_all({readable_sql('tag_string')}, '[^\\s,]+|,')) + 2 <= 77 THEN 77 WHEN len(regexp_extract_all({readable_sql('tag_string')}, '[^\\s,]+|,')) + 2 <= 152 THEN 152 ELSE 227 END AS tier FROM assigned WHERE diff <= 0.3),
+crowded AS (SELECT * FROM tiered WHERE (bucket, tier) IN (SELECT (bucket, tier) FROM tiered GROUP BY bucket, tier HAVING count(*) >= 8))"""
+
+
+def bucketed(spark, sf):
+    rows = buckets.assigned(posts(spark, sf).select("id", "tag_string", "image_width", "image_height"), SIZES)
+    prompt = tags.prompt_of(F.col("tag_string"))
+    return buckets.crowded(rows.withColumn("prompt", prompt).withColumn("tier", buckets.prompt_tier(prompt)))
+
+
+@query(f"WITH {ASSIGN_SQL} SELECT id, CAST(bucket AS BIGINT) AS bucket, CAST(target_width AS BIGINT) AS target_width, CAST(target_height AS BIGINT) AS target_height FROM assigned WHERE diff <= 0.3")
+def bucket_assign(spark, sf):
+    rows = buckets.assigned(posts(spark, sf).select("id", "image_width", "image_height"), SIZES)
+    return rows.select("id", *[F.col(c).cast("long").alias(c) for c in ("bucket", "target_width", "target_height")])
+
+
+@query(f"WITH {ASSIGN_SQL} SELECT CAST(bucket AS BIGINT) AS bucket, CAST(tier AS BIGINT) AS tier, count(*) AS samples FROM crowded GROUP BY bucket, tier")
+def bucket_tier_prune(spark, sf):
+    return bucketed(spark, sf).groupBy(F.col("bucket").cast("long").alias("bucket"), F.col("tier").cast("long").alias("tier")).agg(F.count(F.lit(1)).alias("samples"))
+
+
+@query(f"WITH {ASSIGN_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY bucket, tier ORDER BY id) - 1 AS idx FROM crowded) SELECT id, CAST(bucket AS BIGINT) AS bucket, CAST(tier AS BIGINT) AS tier, idx, CAST(floor(idx / 10) AS BIGINT) AS shard FROM n")
+def shard_index(spark, sf):
+    out = buckets.sharded(bucketed(spark, sf), 10)
+    return out.select("id", F.col("bucket").cast("long").alias("bucket"), F.col("tier").cast("long").alias("tier"), F.col("idx").cast("long").alias("idx"), "shard")
+
+
+@query()
+def shard_metadata(spark, sf):
+    return buckets.metadata(bucketed(spark, sf))
+
+
+@query()
+def export_rows(spark, sf):
+    return buckets.export_rows(bucketed(spark, sf))
+
+
+# Similarity
+
+BITS_SQL = "h AS (SELECT vec_id AS id, CAST(list_aggregate(list_transform(embedding[1:64], lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), 'string_agg', '') AS BIT) AS hash FROM embeddings)"
+
+
+def hashes(spark, sf):
+    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), similarity.sign_bits(F.col("embedding")).alias("hash"))
+
+
+@query(f"WITH {BITS_SQL} SELECT a.id AS a, b.id AS b, CAST(bit_count(xor(a.hash, b.hash)) AS BIGINT) AS distance FROM h a JOIN h b ON a.id < b.id WHERE bit_count(xor(a.hash, b.hash)) < 18")
+def hamming_pairs(spark, sf):
+    return similarity.hamming_pairs(hashes(spark, sf), 18).select("a", "b", F.col("distance").cast("long").alias("distance"))
+
+
+GROUPS_SQL = f"""{BITS_SQL}, e AS (SELECT a.id AS u, b.id AS v FROM h a JOIN h b ON a.id <> b.id WHERE bit_count(xor(a.hash, b.hash)) < 18),
+c AS (SELECT DISTINCT u AS id, u AS root FROM e UNION SELECT e.v, c.root FROM c JOIN e ON e.u = c.id), g AS (SELECT id, min(root) AS "group" FROM c GROUP BY id)"""
+
+
+@query(f'WITH RECURSIVE {GROUPS_SQL} SELECT id, "group" FROM g')
+def dup_components(spark, sf):
+    return similarity.groups(similarity.hamming_pairs(hashes(spark, sf), 18))
+
+
+MEMBERS_SQL = """m AS (SELECT id, id % 60 AS "group", CASE WHEN id % 7 = 0 THEN id % 4 ELSE 1 END AS tier, CASE WHEN id % 59 = 3 THEN NULL ELSE len(string_split(tag_string, ' ')) END AS tags, score, coalesce(fav_count, 0) AS fav_count FROM posts),
+w AS (SELECT *, max(CASE WHEN tags IS NULL THEN 1 ELSE 0 END) OVER g AS gap, min(tier) OVER g <> max(tier) OVER g AS mixed, max(tier) OVER g AS high, count(*) OVER g AS n, row_number() OVER (PARTITION BY "group" ORDER BY tags DESC NULLS LAST, score DESC, fav_count DESC, id) AS most FROM m WINDOW g AS (PARTITION BY "group")),
+t AS (SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY CASE WHEN most = 1 THEN 1 ELSE 0 END, score DESC, id) AS top FROM w)"""
+
+
+@query(f'WITH {MEMBERS_SQL} SELECT id, "group" FROM t WHERE CASE WHEN gap = 1 THEN true WHEN mixed THEN tier = high WHEN n <= 2 THEN most = 1 ELSE most = 1 OR top = 1 END')
+def duplicate_survivors(spark, sf):
+    n_tags = F.when(F.col("id") % 59 != 3, F.size(tags.split_tags(F.col("tag_string"))))
+    rows = posts(spark, sf).select("id", (F.col("id") % 60).alias("group"), F.when(F.col("id") % 7 == 0, F.col("id") % 4).otherwise(1).alias("tier"), n_tags.alias("tags"), "score", F.coalesce("fav_count", F.lit(0.0)).alias("fav_count"))
+    return similarity.survivors(rows).select("id", "group")
+
+
+# Scalar functions, prompts
+
+
+@query(f"""SELECT id, {readable_sql('tag_string_general')} AS prompt, replace(replace(replace('star_(symbol)', '_', ' '), '(', '\\('), ')', '\\)') AS readable, tag_string_general AS normalized,
+  array_to_string(list_filter(list_transform(string_split({readable_sql('tag_string_general')} || ' , ,  x   y', ','), lambda t: regexp_replace(trim(t), '\\s+', ' ', 'g')), lambda t: t <> ''), ', ') AS sanitized FROM posts""")
+def tag_formats(spark, sf):
+    prompt = tags.prompt_of(F.col("tag_string_general"))
+    return posts(spark, sf).select("id", prompt.alias("prompt"), tags.readable_tag(F.lit("star_(symbol)")).alias("readable"), tags.tags_of_prompt(prompt).alias("normalized"), tags.sanitized(F.concat(prompt, F.lit(" , ,  x   y"))).alias("sanitized"))
+
+
+@query("""WITH f AS (SELECT id, tag_string_general AS t, regexp_extract_all(tag_string_general, '\\b\\d+\\+?(?:boy|girl)s?\\b') AS found FROM posts),
+g AS (SELECT id, t, CASE WHEN len(found) > 0 THEN found WHEN list_contains(string_split(t, ' '), 'solo') THEN ['solo'] ELSE [] END AS found FROM f)
+SELECT id, array_to_string(found, ', ') AS persons, CASE WHEN len(found) = 0 THEN t ELSE trim(regexp_replace(regexp_replace(t, CASE array_to_string(found, '|') WHEN '1girl' THEN '\\b(1girl)\\b' WHEN '2boys' THEN '\\b(2boys)\\b' ELSE '\\b(solo)\\b' END, '', 'g'), '\\s+', ' ', 'g')) END AS rest FROM g""")
+def person_tags(spark, sf):
+    c = F.col("tag_string_general")
+    return posts(spark, sf).select("id", F.array_join(tags.person_tags(c), ", ").alias("persons"), tags.without_person_tags(c).alias("rest"))
+
+
+@query("""SELECT id, CAST(year AS BIGINT) AS year, CASE WHEN year <= 2017 THEN 'oldest' WHEN year <= 2019 THEN 'old' WHEN year <= 2020 THEN 'modern' WHEN year <= 2022 THEN 'recent' ELSE 'newest' END || ', year ' || year AS phrase,
+  CASE WHEN image_width * image_height <= 250000 THEN 'lowres' WHEN image_width * image_height >= 1920000 THEN 'highres' ELSE '' END AS size, CASE WHEN n <= 77 THEN 77 WHEN n <= 152 THEN 152 ELSE 227 END AS tier
+FROM (SELECT *, CAST(substr(created_at, 1, 4) AS INT) AS year, length(tag_string) AS n FROM posts)""")
+def year_era_size(spark, sf):
+    year = tags.year_of(F.col("created_at"))
+    return posts(spark, sf).select("id", year.cast("long").alias("year"), tags.year_phrase(year).alias("phrase"), tags.size_tag(F.col("image_width"), F.col("image_height")).alias("size"), tags.length_tier(F.length("tag_string")).alias("tier"))
+
+
+@query("SELECT doc_id AS id, CAST(doc_id AS BIGINT) AS parsed FROM documents UNION ALL SELECT -1, -1")
+def path_ids(spark, sf):
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.concat(F.lit("a\\b/c/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("path"))
+    rows = d.union(spark.createDataFrame([(-1, "x/y/name.png")], "id long, path string"))
+    return rows.select("id", tags.id_of_path(F.col("path")).alias("parsed"))
+
+
+PROMPT_SQL = f"""p AS (SELECT *, regexp_extract_all(tag_string_general, '\\b\\d+\\+?(?:boy|girl)s?\\b') AS f0 FROM posts),
+q AS (SELECT *, CASE WHEN len(f0) > 0 THEN f0 WHEN list_contains(string_split(tag_string_general, ' '), 'solo') THEN ['solo'] ELSE [] END AS found FROM p),
+r AS (SELECT *, CASE WHEN len(found) = 0 THEN tag_string_general ELSE trim(regexp_replace(regexp_replace(tag_string_general, CASE array_to_string(found, '|') WHEN '1girl' THEN '\\b(1girl)\\b' WHEN '2boys' THEN '\\b(2boys)\\b' ELSE '\\b(solo)\\b' END, '', 'g'), '\\s+', ' ', 'g')) END AS rest, CAST(substr(created_at, 1, 4) AS INT) AS year FROM q)"""
+META_SQL = "array_to_string(list_filter([" + ", ".join(f"'{t}'" for t in fixed.META_TAGS) + f"], lambda t: contains({readable_sql('tag_string_meta')}, replace(t, '_', ' '))), ', ')"
+
+
+@query(f"""WITH {PROMPT_SQL} SELECT id, concat_ws(', ', nullif(array_to_string(found, ', '), ''), nullif({readable_sql('tag_string_character')}, ''), nullif({readable_sql('tag_string_copyright')}, ''),
+  CASE rating WHEN 'e' THEN 'explicit' WHEN 'q' THEN 'questionable' WHEN 's' THEN 'sensitive' ELSE 'general' END, nullif({readable_sql('rest')}, ''), nullif({readable_sql('tag_string_artist')}, ''), 'good score', nullif({META_SQL}, ''),
+  CASE WHEN year <= 2017 THEN 'oldest' WHEN year <= 2019 THEN 'old' WHEN year <= 2020 THEN 'modern' WHEN year <= 2022 THEN 'recent' ELSE 'newest' END || ', year ' || year) AS prompt FROM r""")
+def prompt_assembly(spark, sf):
+    return prompts.prompts(posts(spark, sf).withColumn("final_tier", F.lit("good_score"))).select("id", "prompt")
+
+
+@query()
+def prompt_budget(spark, sf):
+    rows = posts(spark, sf).withColumn("final_tier", F.lit("masterpiece")).withColumn("upsampled_tags", F.lit("long hair, blue eyes, outdoors, sky"))
+    return prompts.prompts(rows, hash_key("synonym", "id"), prompts.words_and_commas, budget=60).select("id", "prompt")
+
+
+@query(f"""SELECT id, concat_ws(', ', CASE WHEN regexp_matches(tag_string_general, '\\b1girl\\b') THEN '1girl' WHEN regexp_matches(tag_string_general, '\\b1boy\\b') THEN '1boy' END, nullif({readable_sql('tag_string_character')}, ''), nullif({readable_sql('tag_string_copyright')}, ''),
+  CASE WHEN tag_string_artist IN ('src0', 'src5') THEN tag_string_artist END, CASE rating WHEN 'e' THEN 'explicit' WHEN 'q' THEN 'questionable' WHEN 's' THEN 'sensitive' ELSE 'general' END) AS prompt FROM posts""")
+def face_prompts(spark, sf):
+    return prompts.face_prompt(posts(spark, sf), ARTISTS)
+
+
+@query()
+def validated_tags(spark, sf):
+    rows = posts(spark, sf)
+    prompt = F.when(F.col("id") % 2 == 0, "1girl, black bikini, long hair").otherwise("2boys, red hair, swimsuit")
+    new = F.lit("short hair, blonde hair, blue eyes, green eyes, white panties, shorts, smile")
+    return rows.select("id", tags.validated(new, prompt, F.col("tag_string_general")).alias("kept"), tags.combined(prompt, F.array(F.lit("blue hair"), F.lit("2girls"), F.lit("hat"), F.lit("1girl"))).alias("added"))
+
+
+@query("SELECT id, '[[10,11],[12,2361],[' || (id % 100 + 300) || ']]' AS parts, '[49406,10,11,267,12,2361,' || (id % 100 + 300) || ',49407]' AS again FROM posts")
+def token_tags(spark, sf):
+    ids = F.array(*[F.lit(x) for x in (49406, 10, 11, 267, 12, 2361)], (F.col("id") % 100 + 300).cast("int"), F.lit(267), F.lit(49407))
+    parts = tokens.token_tags(ids)
+    return posts(spark, sf).select("id", F.to_json(parts).alias("parts"), F.to_json(tokens.token_ids(parts)).alias("again"))
+
+
+@query()
+def shuffled_tokens(spark, sf):
+    ids = F.array(*[F.lit(x) for x in (49406, 10, 11, 267, 12, 267, 13, 14, 15, 267)], (F.col("id") % 100 + 300).cast("int"), F.lit(49407))
+    return posts(spark, sf).select("id", tokens.shuffled(ids, F.col("id")).alias("order"), tokens.shuffled(ids, F.col("id"), most=8).alias("fitted"))
+
+
+@query("""WITH c AS (SELECT id, string_split('a, b, ' || rating, ', ') AS own, ['b', 'zz', 'explicit', 'r' || (id % 7)] AS up FROM posts),
+t AS (SELECT id, list_concat(own, list_filter(up, lambda x: NOT list_contains(own, x) AND x NOT IN ('explicit', 'questionable', 'sensitive', 'general'))) AS tags FROM c),
+n AS (SELECT tag FROM (SELECT unnest(tags) AS tag FROM t) GROUP BY tag HAVING count(*) >= (SELECT count(*) / 5 FROM posts)), l AS (SELECT list(tag) AS often FROM n)
+SELECT id, array_to_string(tags, ', ') AS prompt, array_to_string(list_filter(tags, lambda x: list_contains(often, x)), ', ') AS short FROM t, l""")
+def merged_upsampled(spark, sf):
+    rows = posts(spark, sf)
+    captions = rows.select("id", F.concat(F.lit("a, b, "), "rating").alias("caption"), F.concat(F.lit("b, zz, explicit, r"), (F.col("id") % 7).cast("string")).alias("upsampled"))
+    least = -(-table(spark, sf, "documents").count() // 5)
+    return prompts.merged_upsampled(captions, least)
+
+
+@query("SELECT id, CASE WHEN id % 3 = 0 THEN 'c, d' WHEN id % 3 = 1 THEN '2024, e' ELSE '' END AS rest FROM posts")
+def tags_behind_years(spark, sf):
+    prompt = F.when(F.col("id") % 3 == 0, "a, b, 2023, c, d").when(F.col("id") % 3 == 1, "x, 2023, 2024, e").otherwise("p, q")
+    return posts(spark, sf).select("id", prompts.tags_after_years(prompt).alias("rest"))
+
+
+# Incremental steps
+
+
+@query("""WITH e AS (SELECT event_type AS tag, event_id AS id, ts AS created_at FROM events), n AS (SELECT tag, CAST(quantile_disc(id, 0.6) AS BIGINT) AS stop FROM e GROUP BY tag),
+s AS (SELECT e.tag, n.stop, arg_max(created_at, id) AS seen FROM e JOIN n USING (tag) WHERE id <= stop GROUP BY e.tag, n.stop)
+SELECT e.tag, e.id FROM e JOIN s USING (tag) WHERE e.id > s.stop OR e.created_at >= s.seen - INTERVAL 7 DAY""")
+def fetched_window(spark, sf):
+    rows = table(spark, sf, "events").select(F.col("event_type").alias("tag"), F.col("event_id").alias("id"), F.col("ts").alias("created_at"))
+    newest = rows.groupBy("tag").agg(F.expr("percentile_disc(0.6) WITHIN GROUP (ORDER BY id)").cast("long").alias("newest_id"))
+    return incremental.fetched(rows, newest).select("tag", "id")
+
+
+@query("""SELECT p.id, coalesce(CASE WHEN p.id % 5 <> 0 THEN 'good_score' END, 'bad_score') AS tier, 'class/' || p.id || '.png' AS relative_path FROM posts p WHERE p.id % 2 = 0 AND p.id NOT IN (SELECT doc_id FROM labels)""")
+def carried_over(spark, sf):
+    rows = posts(spark, sf).select("id")
+    paths = rows.filter("id % 2 = 0").select("id", F.concat(F.lit("old/x/"), F.col("id").cast("string"), F.lit(".png")).alias("path"))
+    tiers = rows.filter("id % 5 != 0").select("id", F.lit("good_score").alias("final_tier"))
+    return incremental.carried_over(rows, table(spark, sf, "labels").select(F.col("doc_id").alias("id")), paths, tiers, "class")
+
+
+@query("""SELECT id, 'data/1/' || id || '.png' AS src, 'data/' || (id % 4) || '/' || id || '.png' AS dst FROM posts WHERE id % 4 <> 1""")
+def move_plan(spark, sf):
+    rows = posts(spark, sf).select("id")
+    names = F.element_at(F.array(*[F.lit(n) for n in sorted(fixed.TIER_NUMBER, key=fixed.TIER_NUMBER.get)]), (F.col("id") % 4 + 1).cast("int"))
+    files = rows.select("id", F.concat(F.lit("data/1/"), F.col("id").cast("string"), F.lit(".png")).alias("relative"))
+    return incremental.move_plan(files, rows.select("id", names.alias("final_tier")), fixed.TIER_NUMBER)
+
+
+@query()
+def weighted_token_json(spark, sf):
+    rows = posts(spark, sf).select("id", F.array(F.lit(1)).alias("prefix_tokens"), F.array(F.lit(2), F.lit(3)).alias("general_tokens"), F.array(F.lit(4)).alias("suffix_tokens"))
+    return sinks.with_weight(sinks.token_json(rows), rows.filter("id % 2 = 0").select("id", F.lit(1.5).alias("weight")))
