@@ -30,13 +30,13 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0
     by_name = W.orderBy(F.col("source").asc_nulls_last())
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
     per = per.withColumn("w", w).withColumn("top", F.col("source_size") * F.lit(float(cap))).withColumn("ratio", F.col("top") / F.col("w"))
-    # Water level: sources fill up in order of cap / weight; the level is the first that leaves its source under its cap.
+    # Water level: sources fill up in order of cap / weight; the level is that of the first source that stays under its cap.
     everyone, before = W.partitionBy(), W.orderBy("ratio", F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
     left_w = F.sum("w").over(everyone) - F.coalesce(F.sum("w").over(before), F.lit(0.0))
     left = F.sum("source_size").over(everyone) - F.coalesce(F.sum("top").over(before), F.lit(0.0))
     per = per.withColumn("level", left / left_w)
-    level = F.min(F.when(F.col("level") <= F.col("ratio") * (1 + 1e-12), F.col("level"))).over(everyone)
-    per = per.withColumn("level", level)
+    level = F.min(F.when(F.col("level") <= F.col("ratio") * (1 + 1e-12), F.struct("ratio", F.col("source").isNull().alias("last"), "source", "level"))).over(everyone)
+    per = per.withColumn("level", level["level"])
     return per.select("source", "source_size", "n_docs", F.least("top", F.col("level") * F.col("w")).alias("target"))
 
 

@@ -97,7 +97,7 @@ w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WH
 r AS (SELECT *, top / w AS ratio FROM w),
 l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(top) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
         / (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level FROM r),
-t AS (SELECT source, source_size, least(top, w * min(CASE WHEN level <= ratio * (1 + 1e-12) THEN level END) OVER ()) AS target FROM l),
+t AS (SELECT source, source_size, least(top, w * first_value(CASE WHEN level <= ratio * (1 + 1e-12) THEN level END IGNORE NULLS) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS target FROM l),
 j AS (SELECT k.doc_id, k.size, t.source_size, t.target, CAST(CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS BIGINT) AS epochs,
         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY key, k.doc_id, k.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
       FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)
