@@ -61,6 +61,8 @@ class CountingQuotientFilter:
     def blocks(self) -> Iterator[tuple[int, bytes]]:
         """The filter in pieces by leading quotient bits: header of two lengths, then the four arrays."""
         f = self.fingerprints()
+        if not len(f):
+            return
         cuts = np.flatnonzero(np.diff((f >> np.uint64(64 - BLOCK)).astype(np.int64), prepend=-1))
         for a, b in zip(cuts, [*cuts[1:], len(f)], strict=True):
             part = CountingQuotientFilter.of(f[a:b], self.counts[a:b])
