@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,8 @@ SPACES = " \t\n\x0b\x0c\r"
 BROADCAST_LIMIT = 8 << 20
 
 _own_dir: dict[str, str] = {}
+#: Scratch tables that are still there, in order.
+_written: list[str] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -38,7 +41,27 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{scratch_dir(spark)}/{name}"
     df.write.option("compression", "zstd").parquet(path)
     free_shuffles(spark)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    _written.append(path)
+    out.scratch_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that cut() wrote, once nothing lazy reads them any more."""
+    for t in tables:
+        remove(t.sparkSession, t.scratch_path)
+        _written.remove(t.scratch_path)
+
+
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """cut(make()), and all the tables that were cut on the way deleted."""
+    before = len(_written)
+    out = cut(make(), name)
+    for path in _written[before:-1]:
+        remove(out.sparkSession, path)
+    del _written[before:-1]
+    return out
 
 
 def free_shuffles(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, drop
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -15,13 +15,14 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour instead."""
     pairs = _both_ways(edges)
-    least = pairs.groupBy("u").agg(F.min("v").alias("least")).withColumn("least", F.least("least", "u"))
+    # Written first, so the join deals a crowded node's rows anew instead of leaving them where they were aggregated.
+    least = cut(pairs.groupBy("u").agg(F.min("v").alias("least")).withColumn("least", F.least("least", "u")), "least")
     return pairs.filter("v > u").join(least, "u").select(F.col("least").alias("a"), F.col("v").alias("b")).filter("a != b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest of them; edges have a < b."""
-    least = edges.groupBy("b").agg(F.min("a").alias("least"))
+    least = cut(edges.groupBy("b").agg(F.min("a").alias("least")), "least")
     moved = edges.join(least, "b").select(F.col("least").alias("a"), F.col("a").alias("b")).filter("a != b")
     return moved.union(least.select(F.col("least").alias("a"), "b")).distinct()
 
@@ -34,7 +35,10 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     for _ in range(rounds):
         if not at[0]:
             break
-        edges = cut(_small_star(_large_star(edges)), "edges")
+        large = cut(_large_star(edges), "edges")
+        drop(edges)
+        edges = cut(_small_star(large), "edges")
+        drop(large)
         before, at = at, sign(edges)
         if at == before:
             break

@@ -5,9 +5,10 @@ over the corpus), so two sets can only be similar enough if their prefixes meet
 put in blocks; a block's sets are stored in a prefix tree in global order and the block's probe traverses it: paths
 share partial overlaps, and subtrees are pruned by the overlap that their remaining lengths still allow.
 
-Copies fold into one set before anything is joined. In crowded prefix n-grams members are first held against a few
-pivots, so groups of near copies become one component at linear cost; only pairs of different components that also pass
-the length and position bounds are then compared, all of them. Links are exact: sets are rebuilt from the texts.
+Copies fold into one set before anything is joined. In crowded prefix n-grams members are first held against the set in
+the middle of the crowd, so groups of near copies become one component at linear cost; whoever is left out there is then
+held against all of its crowd, block by block. Elsewhere all pairs of different components are compared whose prefixes
+leave enough overlap possible. Links are exact: sets are rebuilt from the texts.
 
 Defined results: null, empty or white-space texts have the empty set and link with nothing; texts with fewer than `words`
 words are one n-gram; equal sets are linked; repeated rows share a component; an empty table gives an empty result.
@@ -23,15 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .common import cut
+from .common import bounded_broadcast, cut, settled
 from .components import components
 from .hashed import hashed_counts, ids_of
 
 BUCKETS = 1 << 22
-#: Members of a prefix n-gram beyond which pivots go first, and how many.
-CROWD, PIVOTS = 16, 3
-#: Sets of one block, probe aside.
-MEMBERS = 64
+#: Members of a prefix n-gram beyond which they are first held against the middle of the crowd.
+CROWD = 64
+#: Sets and probes of one block, at the most usual.
+MEMBERS, PROBES = 256, 64
 
 
 def ngrams(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +68,9 @@ def needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 
 def ranks(counts: np.ndarray) -> np.ndarray:
     """Leading bits of the global order by bucket: 0 for rare, then by powers of two of the count."""
-    rare = max(64.0, 4.0 * counts.sum() / len(counts))
+    mean = counts.sum() / len(counts)
+    # A bucket holds other n-grams too, so only counts well over the usual load tell frequent ones.
+    rare = mean + 5.0 * mean**0.5 + 8.0
     return np.where(counts < rare, 0, np.floor(np.log2(np.maximum(counts, 1))) + 1).astype(np.uint8)
 
 
@@ -166,15 +169,19 @@ def tree_of(sets: list[tuple[np.ndarray, int]]) -> PrefixTree:
 
 
 def _verify(k: int, percent: int):
-    """Rows (block, role, id, text), sorted by block and role: the probe (role 0), then members. Gives links (a, b)."""
+    """Rows (block, role, id, text), sorted by block and role: probes (role 0), then members. Gives links (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, probe, members = None, None, []
+        block, probes, members = None, [], []
 
         def settle() -> list[tuple[int, int]]:
-            if probe is None or not members:
+            if not probes or not members:
                 return []
-            return [(probe[1], i) for i in tree_of(members).similar(probe[0], percent)] if len(probe[0]) else []
+            tree = tree_of(members)
+            return [(i, j) for s, i in probes for j in tree.similar(s, percent) if i != j]
+
+        def out(links: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
 
         for b in batches:
             links = []
@@ -186,30 +193,103 @@ def _verify(k: int, percent: int):
                     s, row = sets[ends[i] : ends[i + 1]], at + i
                     if keys[row] != block:
                         links += settle()
-                        block, probe, members = keys[row], None, []
-                    if roles[row] == 0:
-                        probe = (s, ids[row])
-                    elif len(s):
-                        members.append((s.copy(), ids[row]))
+                        block, probes, members = keys[row], [], []
+                    if len(s):
+                        (members if roles[row] else probes).append((s.copy(), ids[row]))
             if links:
-                yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
+                yield out(links)
         if links := settle():
-            yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
+            yield out(links)
 
     return run
 
 
+def _checked(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links of blocks (block, role, id); texts: (id, text)."""
+    rows = rows.join(texts, "id").select("block", "role", "id", "text")
+    return rows.repartition("block").sortWithinPartitions("block", "role").mapInArrow(_verify(k, percent), "a long, b long")
+
+
+def texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of some documents: few ids are broadcast, many are shuffled with the documents."""
+    ids = cut(ids.select(F.col("id").alias("doc_id")).distinct(), "ids")
+    texts = rows.join(bounded_broadcast(ids, ids.count(), 16), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
+    return cut(texts.select(F.col("doc_id").alias("id"), "text"), "texts")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links among the distinct pairs (probe, member); texts: (id, text)."""
+    """Links among the distinct pairs (probe, member)."""
     # A probe's members are dealt to blocks of about MEMBERS by hash, so a crowded probe is spread over tasks.
-    per = pairs.groupBy("probe").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("parts"))
-    blocked = pairs.join(per, "probe").withColumn("part", F.pmod(F.xxhash64("member"), F.col("parts")))
-    blocked = cut(blocked.select("probe", "part", "member"), "pairs")
-    probes = blocked.select("probe", "part").distinct().select("probe", "part", F.lit(0).alias("role"), F.col("probe").alias("id"))
-    rows = probes.unionByName(blocked.select("probe", "part", F.lit(1).alias("role"), F.col("member").alias("id")))
-    rows = rows.join(texts, "id").select(F.struct("probe", "part").alias("block"), "role", "id", "text")
-    rows = rows.select(F.concat_ws(":", "block.probe", "block.part").alias("block"), "role", "id", "text")
-    return rows.repartition("block").sortWithinPartitions("block", "role").mapInArrow(_verify(k, percent), "a long, b long")
+    per = cut(pairs.groupBy("probe").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("parts")), "parts")
+    blocked = pairs.join(per, "probe").select("probe", F.pmod(F.xxhash64("member"), F.col("parts")).alias("part"), "member")
+    block = F.concat_ws(":", "probe", "part").alias("block")
+    probes = blocked.select("probe", "part").distinct().select(block, F.lit(0).alias("role"), F.col("probe").alias("id"))
+    return _checked(probes.unionByName(blocked.select(block, F.lit(1).alias("role"), F.col("member").alias("id"))), texts, k, percent)
+
+
+def families_checked(families: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links in families (family, rep, own): every rep that is not the family's own against all its reps, in blocks.
+
+    Probes and members are dealt to parts; each part of probes meets each part of members in a block of its own, so rows
+    grow with parts, not with pairs.
+    """
+    sizes = families.groupBy("family").agg(F.count_if(~F.col("own")).alias("n_probes"), F.count(F.lit(1)).alias("n_members")).filter("n_probes > 0")
+    sizes = cut(sizes.select("family", F.ceil(F.col("n_probes") / PROBES).alias("p_parts"), F.ceil(F.col("n_members") / MEMBERS).alias("m_parts")), "sizes")
+    rows = families.join(sizes, "family")
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    mine = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
+    probes = rows.filter(~F.col("own")).select("family", mine("p_parts").alias("p"), F.explode(upto("m_parts")).alias("m"), F.lit(0).alias("role"), F.col("rep").alias("id"))
+    members = rows.select("family", F.explode(upto("p_parts")).alias("p"), mine("m_parts").alias("m"), F.lit(1).alias("role"), F.col("rep").alias("id"))
+    both = probes.unionByName(members)
+    return _checked(both.select(F.concat_ws(":", "family", "p", "m").alias("block"), "role", "id"), texts, k, percent)
+
+
+def _components(rows: DataFrame, full: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, component) of the linked sets. rows: (doc_id, text); full: sets that are not empty; reps: (sig, n, rep)."""
+    tokens = full.filter("tokens is not null").select("doc_id", F.explode("tokens").alias("token"))
+    shared = cut(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("crowd")).filter("crowd > 1").select("token"), "shared")
+    met = cut(tokens.join(bounded_broadcast(shared, shared.count(), 16), "token"), "met")
+    of_doc = full.filter("tokens is not null").select("doc_id", "sig", "n", F.element_at("tokens", -1).alias("last")).join(reps.select("sig", "rep"), "sig").drop("sig")
+    met = met.join(of_doc, "doc_id").select("token", "rep", "n", "last").distinct()
+    crowds = cut(met.groupBy("token").agg(F.count(F.lit(1)).alias("crowd")).filter("crowd > 1"), "crowds")
+    met = met.join(crowds, "token")
+    # How much of a prefix is crowded tells how close a set is to the middle of its crowd, and bounds what pairs share there.
+    met = cut(met, "met")
+    held = cut(met.groupBy("rep").agg(F.count_if(F.col("crowd") > CROWD).alias("crowded"), F.count(F.lit(1)).alias("shared")), "held")
+    met = met.join(held, "rep")
+    few = met.filter(F.col("crowd") <= CROWD)
+    close = lambda x, y: (x * 100 >= y * percent) & (y * 100 >= x * percent)
+    least = lambda x, y: F.ceil((x + y) * percent / (100.0 + percent) - 1e-9)
+    tail = lambda n: F.ceil(n * percent / 100.0 - 1e-9) - 1
+    # First, members of an n-gram against the set in the middle of them, which makes near copies one component at linear
+    # cost. Nothing is settled by what is not linked here, so pairs that share little can wait.
+    middle = met.groupBy("token").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("share"), (-F.col("rep")).alias("neg"), F.col("n").alias("n"))).alias("m")).select("token", (-F.col("m.neg")).alias("pivot"), F.col("m.n").alias("pivot_n"))
+    middle = cut(middle, "middle")
+    around = met.join(middle, "token").select("token", "rep", "n", "crowd", "pivot", "pivot_n")
+    crowd = around.filter(F.col("crowd") > CROWD)
+    stars = around.filter(close(F.col("n"), F.col("pivot_n")) & (F.col("rep") != F.col("pivot"))).groupBy("pivot", "rep", "n", "pivot_n").agg(F.count(F.lit(1)).alias("common"), F.max("crowd").alias("crowd"))
+    likely = 2 * F.col("common") >= least(F.col("n"), F.col("pivot_n")) - tail(F.least("n", "pivot_n"))
+    stars = stars.filter(likely | (F.col("crowd") > CROWD)).select(F.col("pivot").alias("probe"), F.col("rep").alias("member"))
+    stars = cut(stars, "stars")
+    links = cut(verified(stars, texts_of(rows, stars.select(F.explode(F.array("probe", "member")).alias("id"))), words, percent), "links")
+    first = components(links)
+    named = first.select("node", "component")
+    family = crowd.select("pivot", "rep").distinct().join(named.select(F.col("node").alias("rep"), F.col("component").alias("of_rep")), "rep", "left").join(named.select(F.col("node").alias("pivot"), F.col("component").alias("of_pivot")), "pivot", "left")
+    family = family.select(F.coalesce("of_pivot", "pivot").alias("family"), "rep", (F.coalesce("of_rep", "rep") == F.coalesce("of_pivot", "pivot")).alias("own")).distinct()
+    family = cut(family, "families")
+    # The rest: pairs of different components that meet outside crowds. What a pair shares is at most what it shares among
+    # the first members up to the lesser last token of both prefixes, and all that follows in the set that ends there.
+    rest = cut(few.select("token", "rep", "n", "last", "crowded").join(named.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "rest")
+    a, b = (rest.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "last", "crowded", "component")]) for s in "ab")
+    cross = a.join(b, "token").filter((F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b")) & close(F.col("n_a"), F.col("n_b")))
+    room = F.least("crowded_a", "crowded_b") + tail(F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))) - least(F.col("n_a"), F.col("n_b"))
+    cross = cross.groupBy(F.col("rep_b").alias("probe"), F.col("rep_a").alias("member"), room.alias("room")).agg(F.count(F.lit(1)).alias("common")).filter("common + room >= 0").select("probe", "member")
+    cross = cut(cross, "cross")
+    mixed = family.groupBy("family").agg(F.count_if(~F.col("own")).alias("n")).filter("n > 0").select("family")
+    family = cut(family.join(cut(mixed, "mixed"), "family"), "families")
+    texts = texts_of(rows, cross.select(F.explode(F.array("probe", "member")).alias("id")).union(family.select("rep")))
+    more = cut(verified(cross, texts, words, percent).unionByName(families_checked(family, texts, words, percent)), "links")
+    return components(links.unionByName(more))
 
 
 def similarity_groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -219,32 +299,10 @@ def similarity_groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col
     order = spark.sparkContext.broadcast(ranks(hashed_counts(rows, [BUCKETS], _sketch(words))[0]))
     sets = cut(rows.mapInArrow(_prefixes(order, words, percent), "doc_id long, n long, sig binary, tokens array<long>"), "sets")
     full = sets.filter("n > 0 and doc_id is not null")
-    # Copies: equal sets meet once, as the set of the smallest doc_id.
-    reps = full.groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.first("tokens", ignorenulls=True).alias("tokens"))
-    reps = cut(reps, "reps")
-    tokens = reps.select("rep", "n", F.posexplode("tokens").alias("at", "token"))
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("crowd"), *[F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), F.col("rep").alias("rep"), F.col("n").alias("n"))).alias(f"p{i}") for i in range(PIVOTS)]).filter("crowd > 1")
-    met = cut(tokens.join(shared, "token"), "met")
-    close = lambda x, y: (x * 100 >= y * percent) & (y * 100 >= x * percent)
-    texts = rows.join(met.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").groupBy("doc_id").agg(F.first("text").alias("text"))
-    texts = cut(texts.select(F.col("doc_id").alias("id"), "text"), "texts")
-    pivots = met.filter(F.col("crowd") > CROWD).select("rep", "n", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")).filter(close(F.col("n"), F.col("p.n")))
-    pivots = pivots.select(F.col("p.rep").alias("probe"), F.col("rep").alias("member")).filter("probe != member").distinct()
-    links = cut(verified(pivots, texts, words, percent), "links")
-    first = components(links)
-    rest = met.select("token", "rep", "n", "at").join(first.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    # N-grams whose members are all of one component already have nothing left to find.
-    mixed = rest.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("token")
-    rest = cut(rest.join(mixed, "token"), "rest")
-    a, b = (rest.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "at", "component")]) for s in "ab")
-    least = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100.0 + percent) - 1e-9)
-    reach = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    cross = a.join(b, "token").filter((F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b")) & close(F.col("n_a"), F.col("n_b")))
-    # Of all n-grams that two sets share the first in order gives the tightest bound, and similar sets pass it there.
-    cross = cross.filter(reach >= least).select(F.col("rep_b").alias("probe"), F.col("rep_a").alias("member")).distinct()
-    more = verified(cross, texts, words, percent)
-    groups = components(links.unionByName(cut(more, "links")))
-    of_set = reps.select("sig", "n", "rep").join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select("sig", F.coalesce("component", "rep").alias("component"))
+    # Copies: equal sets go by the smallest doc_id from here on. Tokens are carried once per set and task.
+    reps = cut(full.groupBy("sig", "n").agg(F.min("doc_id").alias("rep")), "reps")
+    groups = settled(lambda: _components(rows, full, reps, words, percent), "groups")
+    of_set = reps.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select("sig", F.coalesce("component", "rep").alias("component"))
     of_set = cut(of_set, "classes")
     out = sets.select("doc_id", "n", "sig").join(of_set, "sig", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
