@@ -237,9 +237,9 @@ def person_counts(spark, sf):
     return counts.persons(posts(spark, sf))
 
 
-@query("SELECT rating, count(score) AS count, round(avg(score), 6) AS mean, round(stddev_samp(score), 6) AS std, min(score) AS min, quantile_cont(score, 0.25) AS p25, quantile_cont(score, 0.5) AS p50, quantile_cont(score, 0.75) AS p75, max(score) AS max FROM posts GROUP BY rating")
+@query("SELECT rating, count(score) AS count, round(avg(score), 6) AS mean, round(stddev_samp(score), 6) AS std, min(score) AS min, round(quantile_cont(score, 0.25), 6) AS p25, round(quantile_cont(score, 0.5), 6) AS p50, round(quantile_cont(score, 0.75), 6) AS p75, max(score) AS max FROM posts GROUP BY rating")
 def describe_scores(spark, sf):
-    return counts.describe(posts(spark, sf), "score", "rating").withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+    return counts.describe(posts(spark, sf), "score", "rating").withColumns({c: F.round(c, 6) for c in ("mean", "std", "p25", "p50", "p75")})
 
 
 @query("SELECT rating AS value, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM posts GROUP BY rating")
