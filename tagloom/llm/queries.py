@@ -38,7 +38,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(table(spark, sf_dir, "documents"), quality_weights(table(spark, sf_dir, "labels")))
-    return out.select("doc_id", "size", "source_size", "target", "taken", "epochs")
+    return out.withColumn("target", F.round("target", 6)).select("doc_id", "size", "source_size", "target", "taken", "epochs")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +101,7 @@ t AS (SELECT source, source_size, least(top, w * first_value(CASE WHEN level <=
 j AS (SELECT k.doc_id, k.size, t.source_size, t.target, CAST(CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS BIGINT) AS epochs,
         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY key, k.doc_id, k.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
       FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, round(target, 6) AS target,
   CAST(size * (epochs + CASE WHEN start + size / 2.0 <= target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken, epochs FROM j
 """
 
