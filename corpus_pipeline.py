@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import bounded_broadcast, cut, ship, table
+from tagloom.llm.common import bounded_broadcast, cut, settled, ship, table
 from tagloom.llm.decontaminate import contaminated
 from tagloom.llm.exact_dedup import exact_groups
 from tagloom.llm.jaccard_join import similarity_groups
@@ -23,33 +23,35 @@ from tagloom.llm.queries import quality_weights
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def keep(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """docs whose doc_id is (left_semi) or is not (left_anti) among ids; rows without a doc_id go with left_semi only.
+def without(docs: DataFrame, rejected: Callable[[], DataFrame]) -> DataFrame:
+    """docs whose doc_id an operator does not reject; rows without a doc_id stay.
 
-    The smaller side, ids, is broadcast while it is small and shuffled with docs beyond.
+    The operator's scratch tables go as soon as the ids are written. These are broadcast while they are few and shuffled
+    with docs beyond.
     """
-    ids = cut(ids.select("doc_id").distinct(), "ids")
-    return docs.join(bounded_broadcast(ids, ids.count(), 16), "doc_id", how).select(docs.columns)
+    ship(docs.sparkSession)
+    ids = settled(lambda: rejected().select("doc_id").distinct(), "ids")
+    return docs.join(bounded_broadcast(ids, ids.count(), 16), "doc_id", "left_anti").select(docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    return keep(docs, classify(docs, table(spark, sf_dir, "labels")).filter("not kept"), "left_anti")
+    return without(docs, lambda: classify(docs, table(spark, sf_dir, "labels")).filter("not kept"))
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays."""
-    return keep(docs, exact_groups(docs).filter("not kept"), "left_anti")
+    return without(docs, lambda: exact_groups(docs).filter("not kept"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked at a Jaccard similarity of 0.8 over five-word shingles the one with the smallest id stays."""
-    return keep(docs, similarity_groups(docs, words=5, percent=80).filter("component_id != doc_id"), "left_anti")
+    return without(docs, lambda: similarity_groups(docs, words=5, percent=80).filter("component_id != doc_id"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items, as they are or with new numbers and names, go."""
-    return keep(docs, contaminated(docs, table(spark, sf_dir, "benchmark")), "left_anti")
+    return without(docs, lambda: contaminated(docs, table(spark, sf_dir, "benchmark")))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
