@@ -14,7 +14,7 @@ from . import wordhash
 #: Buckets of one shipped block of counters.
 BLOCK = 1 << 16
 #: Hashes held before they are counted.
-HELD = 1 << 21
+HELD = 1 << 20
 
 Extract = Callable[[np.ndarray, np.ndarray, np.ndarray], Iterator[tuple[int, np.ndarray]]]
 

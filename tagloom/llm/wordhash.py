@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; a longer text makes a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _B = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -23,7 +23,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=24)
 def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i modulo 2^64 for i up to n."""
     up, down = np.full(n + 1, base & _MASK, np.uint64), np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
@@ -32,7 +32,7 @@ def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int, base: int = _B) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(20, int(n).bit_length()), base)
+    return _powers(1 << max(16, int(n).bit_length()), base)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
