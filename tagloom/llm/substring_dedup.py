@@ -7,8 +7,8 @@ of `window`/2+1 words with the least hash, the last of equals) as its anchor, an
 block. The blocks of all documents are indexed by anchor and by the hash of the whole block. A document is parsed
 against the index: a block that occurs whole in a smaller document is a long factor, all of it duplicate. Where only the
 anchor agrees a factor ends inside the block; there, at the factor's boundary, windows are compared one by one. Equal
-windows always share their anchor, so nothing is missed, and one copy of each different block stands for all its copies,
-so nothing grows with the square of a group.
+windows always share their anchor, so nothing is missed. One document's copies of each different block stand for all its
+copies (in later documents the whole block is duplicate), so nothing grows with the square of a group.
 
 Defined results: null or empty text has no words; texts shorter than the window lose nothing; rows that repeat a doc_id
 are taken for the same text; a null doc_id is neither smaller nor larger, so it keeps all; an empty table gives an empty
@@ -69,6 +69,14 @@ def blocks(h: np.ndarray, bounds: np.ndarray, window: int) -> tuple[np.ndarray,
     return start, size, grams[anchor[first]], span_hashes(h, start, start + size - 1 + window)
 
 
+def repeats(text: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Which blocks occur earlier in their own text."""
+    order = np.lexsort((whole, text))
+    out = np.zeros(len(text), bool)
+    out[order[1:]] = (whole[order[1:]] == whole[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
+    return out
+
+
 def _index(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -80,8 +88,8 @@ def _index(window: int):
                 text = np.searchsorted(bounds, start, "right") - 1
                 raw = data.tobytes()
                 digests = [hashlib.sha256(b" ".join(raw[x:y].split())).digest() for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
-                lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(v)) for v in ((start - bounds[text]).astype(np.int32), size.astype(np.int32), anchor.view(np.int64), whole.view(np.int64))]
-                yield pa.record_batch([b.column(0)[at : at + len(n)], pa.array(n.astype(np.int64)), pa.array(digests, pa.binary()), *lists], ["doc_id", "n_words", "sha", "start", "size", "anchor", "whole"])
+                lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(v)) for v in ((start - bounds[text]).astype(np.int32), size.astype(np.int32), anchor.view(np.int64), whole.view(np.int64), repeats(text, whole))]
+                yield pa.record_batch([b.column(0)[at : at + len(n)], pa.array(n.astype(np.int64)), pa.array(digests, pa.binary()), *lists], ["doc_id", "n_words", "sha", "start", "size", "anchor", "whole", "again"])
 
     return run
 
@@ -136,8 +144,8 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def parse(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(index, factors): one row per document (doc_id, n_words, sha, ...), and the long factors (doc_id, factors, text)."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    index = cut(rows.mapInArrow(_index(window), "doc_id long, n_words long, sha binary, start array<int>, size array<int>, anchor array<long>, whole array<long>"), "index")
-    each = index.filter("doc_id is not null").select("doc_id", F.explode(F.arrays_zip("start", "size", "anchor", "whole")).alias("b")).select("doc_id", "b.*")
+    index = cut(rows.mapInArrow(_index(window), "doc_id long, n_words long, sha binary, start array<int>, size array<int>, anchor array<long>, whole array<long>, again array<boolean>"), "index")
+    each = index.filter("doc_id is not null").select("doc_id", F.explode(F.arrays_zip("start", "size", "anchor", "whole", "again")).alias("b")).select("doc_id", "b.*")
     # Anchors that occur once cannot start a factor; counting is pre-aggregated, so a common passage costs no task more.
     shared = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (F.min("whole") != F.max("whole")).alias("mixed")).filter("n > 1").select("anchor", "mixed")
     met = cut(each.join(shared, "anchor"), "met")
@@ -146,8 +154,11 @@ def parse(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: s
     long = met.join(again, ["anchor", "whole"]).filter("doc_id > holder").select("doc_id", "start", (F.col("start") + F.col("size") - 1 + window).alias("end"))
     ids = cut(met.select("doc_id").distinct(), "ids")
     texts = cut(rows.join(bounded_broadcast(ids, ids.count(), 16), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text")), "texts")
-    # Factor boundaries: of every block that differs from another one of its anchor, one copy's windows.
-    edge = first.filter("mixed").select(F.col("first.doc_id").alias("doc_id"), F.struct(F.col("first.start").alias("start"), F.col("first.size").alias("size"), F.col("anchor").alias("anchor")).alias("b"))
+    # Factor boundaries: of every block that differs from another one of its anchor, the windows of all copies in the
+    # first document that holds it. Long factors reach later documents only, so that document's own repeats count too.
+    edge = first.filter("mixed").select("anchor", "whole", F.col("first.doc_id").alias("doc_id"), F.col("first.start").alias("start"), F.col("first.size").alias("size"))
+    own = met.filter("again and mixed").select("anchor", "whole", "doc_id", "start", "size").join(edge.select("anchor", "whole", "doc_id"), ["anchor", "whole", "doc_id"])
+    edge = edge.unionByName(own).select("doc_id", F.struct("start", "size", "anchor").alias("b"))
     edge = texts.join(edge.groupBy("doc_id").agg(F.collect_list("b").alias("wanted")), "doc_id").select("doc_id", "text", "wanted")
     windows = cut(edge.mapInArrow(_windows(window), "anchor long, hash long, doc_id long, start int"), "windows")
     holders = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("holder"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")

@@ -246,6 +246,30 @@ def test_substring_dedup(rows, docs, empty):
     assert substring_dedup.removed(docs.withColumn("doc_id", F.lit(None).cast("long"))).filter("n_removed > 0").count() == 0
 
 
+def test_substring_dedup_repeats_inside_a_document(spark):
+    """Lines and passages that one document repeats and smaller ones hold with other neighbours."""
+    rng, words = random.Random(11), vocabulary(300, 3)
+    some = lambda n: [rng.choice(words) for _ in range(n)]
+    texts = {}
+    for i in range(0, 90, 3):
+        line = some(rng.randint(9, 30))
+        texts[i] = some(6) + line[rng.randint(0, 4) :] + some(9)
+        texts[i + 1] = some(5) + line[: rng.randint(8, 12)] + some(5)
+        around = some(12)
+        texts[i + 2] = some(7) + (around + line + around) * 2 + some(7) + line * 3 + some(3) + line + some(9) + around + line + around
+    d = spark.createDataFrame([(i, " ".join(w), "", "", 0, "", 0) for i, w in texts.items()], SCHEMA)
+    for window in (8, 12):
+        first = {}
+        for i in sorted(texts):
+            for j in range(len(texts[i]) - window + 1):
+                first.setdefault(tuple(texts[i][j : j + window]), i)
+        for r in substring_dedup.removed(d, window).collect():
+            w = texts[r.doc_id]
+            out = {j + k for j in range(len(w) - window + 1) if first[tuple(w[j : j + window])] < r.doc_id for k in range(window)}
+            kept = " ".join(x for j, x in enumerate(w) if j not in out)
+            assert (r.n_removed, r.kept_sha256) == (len(out), hashlib.sha256(kept.encode()).hexdigest())
+
+
 def test_decontamination(spark, docs, empty):
     items = ["If Alice has 5 apples and gives 2 of them to Bob then how many apples are left for Alice to eat", "short plain item words", "", None, "what is the total weight in pounds of these 3.5 kg of flour on the table", "9 8 7 6 5 4 3 2 1"]
     bench = spark.createDataFrame([(i, t, "x") for i, t in enumerate(items)], "item_id long, text string, doc_id string")
