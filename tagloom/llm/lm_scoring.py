@@ -6,12 +6,14 @@ its words of target loss minus background loss, in nats; lower is more like the
 background counts are scaled to the target's total, and a document's own n-grams are left out of both models (of the
 target where it is in the sample), so documents the models were counted on are not favoured.
 
-Counts live in hashed tables of fixed size (PAIRS and WORDS buckets), so what is broadcast does not grow; what is
-counted, shipped and added up on the executors follows the input.
+Every n-gram has its own counter, told apart by 64-bit hashes. Documents are taken in chunks; a chunk sends its different
+n-grams, sorted, in ranges of hashes to where each range is added up over all chunks, and gets the sums back in the same
+order. So the counts are a distributed table that grows with the input, no task holds more than one range or one
+chunk's share of it, and a common n-gram is one entry of a chunk.
 
 Defined results: null text is empty and scores 0 with 0 words; a text of one word is scored by the unigram models; with
-no labels the target is the whole corpus and all scores are 0; repeated rows score alike; an empty table gives an empty
-result.
+no document labelled good the target is the whole corpus and all scores are 0; repeated rows score alike; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,76 +22,156 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import wordhash
-from .hashed import hashed_counts, ids_of, sample_labels, sums_by_text
+from .common import bounded_broadcast, cut
+from .hashed import sample_labels, sums_by_text
 
-PAIRS, WORDS = 1 << 22, 1 << 20
+#: Words that the unigram models allow for at least; beyond it the corpus' different words count.
+WORDS = 1 << 20
 #: Words that the unigram model weighs in each bigram context.
 BACKOFF = 8.0
+#: Bytes of text whose n-grams are sent together, and bytes of all text for each range of hashes.
+CHUNK, RANGE = 4 << 20, 16 << 20
 
 
 def bigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, bounds by text, pair hashes, True where a word has a word before it in its text)."""
+    """(word hashes, bounds by text, pair hashes, True where a word has a word before it in its text).
+
+    Hashes of words are odd, hashes of pairs even.
+    """
     h, bounds, _, _ = wordhash.words(data, offsets, lower=True)
     follows = np.ones(len(h), bool)
     follows[bounds[:-1][bounds[:-1] < len(h)]] = False
     pairs = wordhash.mix(np.concatenate((h[:1], h[:-1])) * np.uint64(31) + h)
-    return h, bounds, pairs, follows
+    return h | np.uint64(1), bounds, pairs & ~np.uint64(1), follows
 
 
-def own(buckets: np.ndarray, text: np.ndarray, size: int) -> np.ndarray:
-    """How often each item's bucket occurs in the item's own text."""
-    _, at, n = np.unique(text * size + buckets, return_inverse=True, return_counts=True)
-    return n[at].astype(np.float32)
+def own(items: np.ndarray, text: np.ndarray, size: int) -> np.ndarray:
+    """How often each item occurs in the item's own text."""
+    _, at, n = np.unique(text * size + items, return_inverse=True, return_counts=True)
+    return n[at]
 
 
-def losses(word_n: np.ndarray, before_n: np.ndarray, pair_n: np.ndarray, total: np.ndarray, follows: np.ndarray) -> np.ndarray:
+def losses(word_n: np.ndarray, before_n: np.ndarray, pair_n: np.ndarray, total: np.ndarray, follows: np.ndarray, vocabulary: int) -> np.ndarray:
     """Loss of each word from counts of the word, of the word before it, of both, and of all words."""
-    alone = (word_n + 1.0) / (total + WORDS)
+    alone = (word_n + 1.0) / (total + vocabulary)
     return -np.log(np.where(follows, (pair_n + BACKOFF * alone) / (before_n + BACKOFF), alone))
 
 
+PARTS = pa.schema([("chunk", pa.int64()), ("range", pa.int32()), ("doc_id", pa.int64()), ("good", pa.bool_()), ("text", pa.string()), ("n_words", pa.int64()), ("h", pa.binary()), ("n", pa.binary()), ("n_good", pa.binary())])
+
+
+def _chunks(bits: int, size: int):
+    """Rows (doc_id, good, text): the same with their chunk, and the counts of each chunk's n-grams by range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held, marks, n_bytes = TaskContext.get().partitionId() << 32, [], [], 0
+
+        def ranges() -> Iterator[pa.RecordBatch]:
+            grams, at, n = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+            if not len(grams):
+                return
+            good = np.bincount(at, np.concatenate(marks), len(grams)).astype(np.uint32)
+            which = grams >> np.uint64(64 - bits)
+            starts = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1])))
+            slices = list(zip(starts, [*starts[1:], len(grams)], strict=True))
+            pieces = [pa.array([x[a:b].tobytes() for a, b in slices], pa.binary()) for x in (grams, n.astype(np.uint32), good)]
+            k = len(slices)
+            empty = [pa.nulls(k, PARTS.field(c).type) for c in ("doc_id", "good", "text", "n_words")]
+            yield pa.record_batch([pa.array([chunk] * k, pa.int64()), pa.array(which[starts].astype(np.int32)), *empty, *pieces], schema=PARTS)
+
+        for b in batches:
+            for at, data, offsets in wordhash.chunks(b.column(2)):
+                h, bounds, pairs, follows = bigrams(data, offsets)
+                n, k = np.diff(bounds), len(offsets) - 1
+                ids, good, texts = (b.column(c)[at : at + k] for c in range(3))
+                mine = np.repeat(good.to_numpy(zero_copy_only=False).astype(bool), n)
+                held += [h, pairs[follows]]
+                marks += [mine, mine[follows]]
+                n_bytes += len(data)
+                yield pa.record_batch([pa.array([chunk] * k, pa.int64()), pa.nulls(k, pa.int32()), ids, good, texts.cast(pa.string()), pa.array(n.astype(np.int64)), *[pa.nulls(k, pa.binary())] * 3], schema=PARTS)
+                if n_bytes >= size:
+                    yield from ranges()
+                    chunk, held, marks, n_bytes = chunk + 1, [], [], 0
+        if held:
+            yield from ranges()
+
+    return run
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (range, chunk, h, n, n_good) in order of range: for each the sums over all chunks; different words once a range."""
+    key, held = None, []
+
+    def sums() -> Iterator[pa.RecordBatch]:
+        grams, at = np.unique(np.concatenate([np.frombuffer(h, np.uint64) for _, h, _, _ in held]), return_inverse=True)
+        totals = [np.bincount(at, np.concatenate([np.frombuffer(x[k], np.uint32) for x in held]), len(grams)).astype(np.int64)[at] for k in (2, 3)]
+        ends = np.cumsum([len(x[1]) // 8 for x in held])
+        slices = list(zip([0, *ends[:-1]], ends, strict=True))
+        words = [int((grams & np.uint64(1)).sum()), *[0] * (len(held) - 1)]
+        yield pa.record_batch([pa.array([x[0] for x in held], pa.int64()), pa.array([key] * len(held), pa.int32()), pa.array(words, pa.int64()), *[pa.array([t[a:b].tobytes() for a, b in slices], pa.binary()) for t in totals]], ["chunk", "range", "words", "n", "n_good"])
+
+    for b in batches:
+        for k, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if k != key and held:
+                yield from sums()
+                held = []
+            key = k
+            held.append(row)
+    if held:
+        yield from sums()
+
+
+def _score(total: int, back_total: int, vocabulary: int, whole: bool):
+    """Chunk's documents and sums: the documents' scores. whole: the target is the whole corpus."""
+    scale = total / max(back_total, 1)
+
+    def run(docs: pa.Table, sums: pa.Table) -> pa.Table:
+        order = np.argsort(sums.column("range").to_numpy())
+        back, target = (np.frombuffer(b"".join(x[i] for i in order), np.int64).astype(float) for x in (sums.column(c).to_pylist() for c in ("n", "n_good")))
+        if whole:
+            target = back
+        parts = [bigrams(data, offsets) for _, data, offsets in wordhash.chunks(docs.column("text"))]
+        h, pairs, follows = (np.concatenate([x[k] for x in parts]) for k in (0, 2, 3))
+        n = np.concatenate([np.diff(x[1]) for x in parts])
+        bounds = np.concatenate(([0], np.cumsum(n)))
+        grams, at = np.unique(np.concatenate((h, pairs[follows])), return_inverse=True)
+        if len(grams) != len(back):
+            raise RuntimeError("a chunk's n-grams are not those that were counted")
+        text = np.repeat(np.arange(len(n)), n)
+        w, p = at[: len(h)], np.zeros(len(h), np.int64)
+        p[follows] = at[len(h) :]
+        own_w, own_p = own(w, text, len(grams)), np.zeros(len(h), np.int64)
+        own_p[follows] = own(p[follows], text[follows], len(grams))
+        before, own_before = np.concatenate((w[:1], w[:-1])), np.concatenate((own_w[:1], own_w[:-1]))
+        mine = np.ones(len(n), bool) if whole else docs.column("good").to_numpy().astype(bool)
+        part = mine[text]
+        t = losses(target[w] - part * own_w, target[before] - part * own_before, target[p] - part * own_p, total - (mine * n)[text], follows, vocabulary)
+        g = losses((back[w] - own_w) * scale, (back[before] - own_before) * scale, (back[p] - own_p) * scale, total - (n * scale)[text], follows, vocabulary)
+        t, g = (sums_by_text(x, bounds) / np.maximum(n, 1) for x in (t, g))
+        return pa.table([docs.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(t), pa.array(g), pa.array(t - g)], ["doc_id", "n_words", "target_loss", "background_loss", "difference"])
+
+    return run
+
+
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, target_loss, background_loss, difference."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     ids, marks = sample_labels(labels, "quality", sample)
-    good = ids[marks > 0.5]
-
-    def both(ids_: np.ndarray, data: np.ndarray, offsets: np.ndarray):
-        h, bounds, pairs, follows = bigrams(data, offsets)
-        yield 0, h
-        yield 1, pairs[follows]
-        mine = np.repeat(np.isin(ids_, good), np.diff(bounds))
-        yield 2, h[mine]
-        yield 3, pairs[follows & mine]
-
-    counts = [x.astype(np.float32) for x in hashed_counts(rows, [WORDS, PAIRS, WORDS, PAIRS], both)]
-    if not counts[2].any():
-        counts[2:] = counts[:2]
-    total, back_total = (float(counts[k].sum(dtype=np.float64)) for k in (2, 0))
-    scale = np.float32(total / max(back_total, 1.0))
-    tables = docs.sparkSession.sparkContext.broadcast(counts)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back_words, back_pairs, words, pairs_ = tables.value
-        for b in batches:
-            all_ids = ids_of(b)
-            for at, data, offsets in wordhash.chunks(b.column(1)):
-                h, bounds, pairs, follows = bigrams(data, offsets)
-                n = np.diff(bounds)
-                text = np.repeat(np.arange(len(n)), n)
-                w, p = (h & np.uint64(WORDS - 1)).view(np.int64), (pairs & np.uint64(PAIRS - 1)).view(np.int64)
-                p = np.where(follows, p, -1 - w)
-                own_w, own_p = own(w, text, WORDS), own(p, text, 2 * PAIRS)
-                p = np.maximum(p, 0)
-                before, own_before = np.concatenate((w[:1], w[:-1])), np.concatenate((own_w[:1], own_w[:-1]))
-                mine = np.isin(all_ids[at : at + len(n)], good) if len(good) else np.ones(len(n), bool)
-                part = mine[text].astype(np.float32)
-                t = losses(words[w] - part * own_w, words[before] - part * own_before, pairs_[p] - part * own_p, total - (mine * n)[text], follows)
-                g = losses((back_words[w] - own_w) * scale, (back_words[before] - own_before) * scale, (back_pairs[p] - own_p) * scale, total - (n * scale)[text], follows)
-                t, g = (sums_by_text(x, bounds) / np.maximum(n, 1) for x in (t, g))
-                yield pa.record_batch([b.column(0)[at : at + len(n)], pa.array(n.astype(np.int64)), pa.array(t), pa.array(g), pa.array(t - g)], ["doc_id", "n_words", "target_loss", "background_loss", "difference"])
-
-    return rows.mapInArrow(score, "doc_id long, n_words long, target_loss double, background_loss double, difference double")
+    good = docs.sparkSession.createDataFrame([(int(i),) for i in ids[marks > 0.5]], "doc_id long")
+    rows = rows.join(bounded_broadcast(good.withColumn("good", F.lit(True)), good.count(), 16), "doc_id", "left").select("doc_id", F.coalesce("good", F.lit(False)).alias("good"), "text")
+    n_bytes = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
+    bits = max(1, (n_bytes // RANGE).bit_length())
+    parts = cut(rows.mapInArrow(_chunks(bits, CHUNK), "chunk long, range int, doc_id long, good boolean, text string, n_words long, h binary, n binary, n_good binary"), "parts")
+    texts = parts.filter("range is null").select("chunk", "doc_id", "good", "text", "n_words")
+    back_total, total = (x or 0 for x in texts.agg(F.sum("n_words"), F.sum(F.when(F.col("good"), F.col("n_words")))).first())
+    each = parts.filter("range is not null").select("range", "chunk", "h", "n", "n_good")
+    sums = cut(each.repartition("range").sortWithinPartitions("range").mapInArrow(_add, "chunk long, range int, words long, n binary, n_good binary"), "sums")
+    vocabulary = max(WORDS, sums.agg(F.sum("words")).first()[0] or 0)
+    score = _score(total or back_total, back_total, vocabulary, not total)
+    both = texts.drop("n_words").groupBy("chunk").cogroup(sums.select("chunk", "range", "n", "n_good").groupBy("chunk"))
+    return both.applyInArrow(score, "doc_id long, n_words long, target_loss double, background_loss double, difference double")

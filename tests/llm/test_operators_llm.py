@@ -344,6 +344,33 @@ def test_lm_scores(spark, empty, labels):
     assert lm_scoring.cross_entropy_difference(empty, lab).count() == 0
 
 
+def test_lm_counts_are_exact(spark, monkeypatch):
+    """Brute force of both models with each document left out of them, in several chunks and ranges."""
+    for name in ("CHUNK", "RANGE"):
+        monkeypatch.setattr(lm_scoring, name, 50_000, raising=False)
+    rng, words = random.Random(8), vocabulary(4000, 8)
+    texts = {i: [rng.choice(words[: rng.choice((60, 4000))]) for _ in range(rng.randint(0, 400))] for i in range(300)}
+    d = spark.createDataFrame([(i, " ".join(w), "", "", 0, "", 0) for i, w in texts.items()], SCHEMA).repartition(3)
+    lab = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(0, 200)], "doc_id long, quality int")
+    grams = {i: (Counter(w), Counter(zip(w, w[1:], strict=False))) for i, w in texts.items()}
+    good = {i for i in range(0, 200) if i % 3 == 0}
+    models = [[sum((grams[i][k] for i in ids), Counter()) for k in (0, 1)] for ids in (good, texts)]
+    total, back = (sum(m[0].values()) for m in models)
+
+    def loss(i, model, left_out, scale):
+        (c1, c2), (o1, o2), w = model, grams[i] if left_out else (Counter(), Counter()), texts[i]
+        alone = lambda x: ((c1[x] - o1[x]) * scale + 1) / (total - sum(o1.values()) * scale + lm_scoring.WORDS)
+        pair = lambda x, y: ((c2[x, y] - o2[x, y]) * scale + lm_scoring.BACKOFF * alone(y)) / ((c1[x] - o1[x]) * scale + lm_scoring.BACKOFF)
+        return -sum(np.log([alone(w[0]), *(pair(x, y) for x, y in zip(w, w[1:], strict=False))])) / len(w) if w else 0.0
+
+    got = lm_scoring.cross_entropy_difference(d, lab).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.n_words == len(texts[r.doc_id])
+        assert r.target_loss == pytest.approx(loss(r.doc_id, models[0], r.doc_id in good, 1.0), abs=1e-9)
+        assert r.background_loss == pytest.approx(loss(r.doc_id, models[1], True, total / back), abs=1e-9)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p>";</script></head><body><nav><ul><li><a href="/x">Menu</a></li></ul></nav>
 <!-- <p>no</p> --><div class="{main}"><h1>Head {i}</h1><p>First &amp; {body}<br>more   words<p>Second <b>bold</b> a < b<div class="share-box">Share this</div>
 <form><input value="a > b">Search</form></div><div class="sidebar">Also read other things {i}</div><section id="comments"><p>Nice post {i}</p></section><footer>&copy; us</footer></body></html>"""
