@@ -1,15 +1,15 @@
 """Cross-entropy difference scores.
 
-Two bigram models with one vocabulary, one order and one smoothing: the target model is counted on documents labelled
-good (a sample bounded by `sample` rows), the background model on every document. A document's score is the mean over
+Two bigram models with one vocabulary, one order and one smoothing: the target model is counted on all documents labelled
+good (of several labels of one document the mean counts), the background model on every document. A document's score is the mean over
 its words of target loss minus background loss, in nats; lower is more like the target. The models are matched:
 background counts are scaled to the target's total, and a document's own n-grams are left out of both models (of the
-target where it is in the sample), so documents the models were counted on are not favoured.
+target where it is labelled good), so documents the models were counted on are not favoured.
 
-Every n-gram has its own counter, told apart by 64-bit hashes. Documents are taken in chunks; a chunk sends its different
-n-grams, sorted, in ranges of hashes to where each range is added up over all chunks, and gets the sums back in the same
-order. So the counts are a distributed table that grows with the input, no task holds more than one range or one
-chunk's share of it, and a common n-gram is one entry of a chunk.
+Every n-gram has its own counter, told apart by 56-bit hashes. Documents are dealt into chunks; a chunk sends its different
+n-grams, sorted and packed, in ranges of hashes to where each range is added up over all chunks, and gets the sums back in
+the same order. So the counts are a distributed table that grows with the input, a task works on one range or one chunk
+at a time, and a common n-gram is one entry of a chunk. Ids of good documents go to the chunks; nothing is broadcast.
 
 Defined results: null text is empty and scores 0 with 0 words; a text of one word is scored by the unigram models; with
 no document labelled good the target is the whole corpus and all scores are 0; repeated rows score alike; an empty table
@@ -22,20 +22,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .common import bounded_broadcast, cut
-from .hashed import sample_labels, sums_by_text
+from .common import cut, free_shuffles
+from .hashed import sums_by_text
 
 #: Words that the unigram models allow for at least; beyond it the corpus' different words count.
 WORDS = 1 << 20
 #: Words that the unigram model weighs in each bigram context.
 BACKOFF = 8.0
 #: Bytes of text whose n-grams are sent together, and bytes of all text for each range of hashes.
-CHUNK, RANGE = 4 << 20, 16 << 20
+CHUNK, RANGE = 4 << 20, 32 << 20
+#: Bits of an n-gram's hash.
+BITS = 56
 
 
 def bigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -47,6 +49,7 @@ def bigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     follows = np.ones(len(h), bool)
     follows[bounds[:-1][bounds[:-1] < len(h)]] = False
     pairs = wordhash.mix(np.concatenate((h[:1], h[:-1])) * np.uint64(31) + h)
+    h, pairs = (x >> np.uint64(64 - BITS) for x in (h, pairs))
     return h | np.uint64(1), bounds, pairs & ~np.uint64(1), follows
 
 
@@ -62,58 +65,68 @@ def losses(word_n: np.ndarray, before_n: np.ndarray, pair_n: np.ndarray, total:
     return -np.log(np.where(follows, (pair_n + BACKOFF * alone) / (before_n + BACKOFF), alone))
 
 
-PARTS = pa.schema([("chunk", pa.int64()), ("range", pa.int32()), ("doc_id", pa.int64()), ("good", pa.bool_()), ("text", pa.string()), ("n_words", pa.int64()), ("h", pa.binary()), ("n", pa.binary()), ("n_good", pa.binary())])
-
-
-def _chunks(bits: int, size: int):
-    """Rows (doc_id, good, text): the same with their chunk, and the counts of each chunk's n-grams by range."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, held, marks, n_bytes = TaskContext.get().partitionId() << 32, [], [], 0
-
-        def ranges() -> Iterator[pa.RecordBatch]:
-            grams, at, n = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
-            if not len(grams):
-                return
-            good = np.bincount(at, np.concatenate(marks), len(grams)).astype(np.uint32)
-            which = grams >> np.uint64(64 - bits)
-            starts = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1])))
-            slices = list(zip(starts, [*starts[1:], len(grams)], strict=True))
-            pieces = [pa.array([x[a:b].tobytes() for a, b in slices], pa.binary()) for x in (grams, n.astype(np.uint32), good)]
-            k = len(slices)
-            empty = [pa.nulls(k, PARTS.field(c).type) for c in ("doc_id", "good", "text", "n_words")]
-            yield pa.record_batch([pa.array([chunk] * k, pa.int64()), pa.array(which[starts].astype(np.int32)), *empty, *pieces], schema=PARTS)
-
-        for b in batches:
-            for at, data, offsets in wordhash.chunks(b.column(2)):
-                h, bounds, pairs, follows = bigrams(data, offsets)
-                n, k = np.diff(bounds), len(offsets) - 1
-                ids, good, texts = (b.column(c)[at : at + k] for c in range(3))
-                mine = np.repeat(good.to_numpy(zero_copy_only=False).astype(bool), n)
-                held += [h, pairs[follows]]
-                marks += [mine, mine[follows]]
-                n_bytes += len(data)
-                yield pa.record_batch([pa.array([chunk] * k, pa.int64()), pa.nulls(k, pa.int32()), ids, good, texts.cast(pa.string()), pa.array(n.astype(np.int64)), *[pa.nulls(k, pa.binary())] * 3], schema=PARTS)
-                if n_bytes >= size:
-                    yield from ranges()
-                    chunk, held, marks, n_bytes = chunk + 1, [], [], 0
-        if held:
-            yield from ranges()
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of one length, by planes of bytes, compressed."""
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in columns]
+    return pa.compress(b"".join(planes), "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int, *types: type) -> list[np.ndarray]:
+    sizes = [np.dtype(t).itemsize for t in types]
+    raw, out, at = np.frombuffer(pa.decompress(data, n * sum(sizes), "zstd"), np.uint8), [], 0
+    for t, size in zip(types, sizes, strict=True):
+        out.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(t).ravel())
+        at += n * size
+    return out
+
+
+def chunk_grams(docs: pa.Table) -> tuple[np.ndarray, ...]:
+    """(words of each text, True where a word has one before it, the chunk's different n-grams, numbers of words and of following pairs among these)."""
+    parts = [bigrams(data, offsets) for _, data, offsets in wordhash.chunks(docs.column("text"))]
+    h, pairs, follows = (np.concatenate([x[k] for x in parts]) for k in (0, 2, 3))
+    n = np.concatenate([np.diff(x[1]) for x in parts])
+    grams, at = np.unique(np.concatenate((h, pairs[follows])), return_inverse=True)
+    return n, follows, grams, at[: len(h)], at[len(h) :]
+
+
+def marked_good(docs: pa.Table, good: pa.Array) -> np.ndarray:
+    return np.asarray(pa.compute.is_in(docs.column("doc_id").combine_chunks(), good).to_numpy(zero_copy_only=False), bool) & docs.column("doc_id").is_valid().to_numpy()
+
+
+def _count(bits: int):
+    """A chunk's documents and good ids: counts of its n-grams by range, with hashes as steps from one to the next."""
+
+    def run(docs: pa.Table, good: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if len(docs):
+            n, follows, grams, w, p = chunk_grams(docs)
+            mine = np.repeat(marked_good(docs, good.column("doc_id").combine_chunks()), n)
+            counts = [np.bincount(at, part, len(grams)) for at, part in ((w, None), (p, None), (w, mine), (p, mine[follows]))]
+            counts = [(counts[k] + counts[k + 1]).astype(np.uint32) for k in (0, 2)]
+            which = grams >> np.uint64(BITS - bits)
+            starts = np.flatnonzero(np.diff(which, prepend=which[:1] + np.uint64(1)))
+            steps = np.diff(grams, prepend=np.uint64(0))
+            steps[starts] = grams[starts]
+            chunk = docs.column("chunk")[0].as_py()
+            out = [(chunk, int(which[a]), int(b - a), packed(steps[a:b], *(c[a:b] for c in counts))) for a, b in zip(starts, [*starts[1:], len(grams)], strict=True)]
+        return pa.table([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["chunk", "range", "size", "data"])
 
     return run
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (range, chunk, h, n, n_good) in order of range: for each the sums over all chunks; different words once a range."""
+    """Rows (range, chunk, size, data) in order of range: for each the sums over all chunks; the range's totals once."""
     key, held = None, []
 
     def sums() -> Iterator[pa.RecordBatch]:
-        grams, at = np.unique(np.concatenate([np.frombuffer(h, np.uint64) for _, h, _, _ in held]), return_inverse=True)
-        totals = [np.bincount(at, np.concatenate([np.frombuffer(x[k], np.uint32) for x in held]), len(grams)).astype(np.int64)[at] for k in (2, 3)]
-        ends = np.cumsum([len(x[1]) // 8 for x in held])
-        slices = list(zip([0, *ends[:-1]], ends, strict=True))
-        words = [int((grams & np.uint64(1)).sum()), *[0] * (len(held) - 1)]
-        yield pa.record_batch([pa.array([x[0] for x in held], pa.int64()), pa.array([key] * len(held), pa.int32()), pa.array(words, pa.int64()), *[pa.array([t[a:b].tobytes() for a, b in slices], pa.binary()) for t in totals]], ["chunk", "range", "words", "n", "n_good"])
+        parts = [unpacked(data, size, np.uint64, np.uint32, np.uint32) for _, size, data in held]
+        grams, at = np.unique(np.concatenate([np.cumsum(x[0]) for x in parts]), return_inverse=True)
+        totals = [np.bincount(at, np.concatenate([x[k] for x in parts]), len(grams)).astype(np.int64) for k in (1, 2)]
+        word = (grams & np.uint64(1)).astype(bool)
+        once = [[int(x), *[0] * (len(held) - 1)] for x in (word.sum(), *(t[word].sum() for t in totals))]
+        ends = np.cumsum([x[1] for x in held])
+        data = [packed(*(t[at[b - x[1] : b]] for t in totals)) for x, b in zip(held, ends, strict=True)]
+        yield pa.record_batch([pa.array([x[0] for x in held], pa.int64()), pa.array([key] * len(held), pa.int32()), pa.array([x[1] for x in held], pa.int32()), pa.array(data, pa.binary()), *(pa.array(x, pa.int64()) for x in once)], ["chunk", "range", "size", "data", "words", "n", "n_good"])
 
     for b in batches:
         for k, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -127,51 +140,52 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _score(total: int, back_total: int, vocabulary: int, whole: bool):
-    """Chunk's documents and sums: the documents' scores. whole: the target is the whole corpus."""
+    """A chunk's documents, and its sums and good ids: the documents' scores. whole: the target is the whole corpus."""
     scale = total / max(back_total, 1)
 
-    def run(docs: pa.Table, sums: pa.Table) -> pa.Table:
-        order = np.argsort(sums.column("range").to_numpy())
-        back, target = (np.frombuffer(b"".join(x[i] for i in order), np.int64).astype(float) for x in (sums.column(c).to_pylist() for c in ("n", "n_good")))
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        names = ["doc_id", "n_words", "target_loss", "background_loss", "difference"]
+        if not len(docs):
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), *[pa.float64()] * 3)], names)
+        sums = sorted((r["range"], r["size"], r["data"]) for r in known.select(["range", "size", "data"]).filter(known.column("range").is_valid()).to_pylist())
+        sums = [unpacked(data, size, np.int64, np.int64) for _, size, data in sums]
+        back, target = (np.concatenate([x[k] for x in sums] or [np.zeros(0)]).astype(float) for k in (0, 1))
         if whole:
             target = back
-        parts = [bigrams(data, offsets) for _, data, offsets in wordhash.chunks(docs.column("text"))]
-        h, pairs, follows = (np.concatenate([x[k] for x in parts]) for k in (0, 2, 3))
-        n = np.concatenate([np.diff(x[1]) for x in parts])
-        bounds = np.concatenate(([0], np.cumsum(n)))
-        grams, at = np.unique(np.concatenate((h, pairs[follows])), return_inverse=True)
+        n, follows, grams, w, after = chunk_grams(docs)
         if len(grams) != len(back):
             raise RuntimeError("a chunk's n-grams are not those that were counted")
-        text = np.repeat(np.arange(len(n)), n)
-        w, p = at[: len(h)], np.zeros(len(h), np.int64)
-        p[follows] = at[len(h) :]
-        own_w, own_p = own(w, text, len(grams)), np.zeros(len(h), np.int64)
-        own_p[follows] = own(p[follows], text[follows], len(grams))
+        bounds, text = np.concatenate(([0], np.cumsum(n))), np.repeat(np.arange(len(n)), n)
+        p = np.zeros(len(w), np.int64)
+        p[follows] = after
+        own_w, own_p = own(w, text, len(grams)), np.zeros(len(w), np.int64)
+        own_p[follows] = own(after, text[follows], len(grams))
         before, own_before = np.concatenate((w[:1], w[:-1])), np.concatenate((own_w[:1], own_w[:-1]))
-        mine = np.ones(len(n), bool) if whole else docs.column("good").to_numpy().astype(bool)
+        mine = np.ones(len(n), bool) if whole else marked_good(docs, known.column("doc_id").combine_chunks())
         part = mine[text]
         t = losses(target[w] - part * own_w, target[before] - part * own_before, target[p] - part * own_p, total - (mine * n)[text], follows, vocabulary)
         g = losses((back[w] - own_w) * scale, (back[before] - own_before) * scale, (back[p] - own_p) * scale, total - (n * scale)[text], follows, vocabulary)
         t, g = (sums_by_text(x, bounds) / np.maximum(n, 1) for x in (t, g))
-        return pa.table([docs.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(t), pa.array(g), pa.array(t - g)], ["doc_id", "n_words", "target_loss", "background_loss", "difference"])
+        return pa.table([docs.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(t), pa.array(g), pa.array(t - g)], names)
 
     return run
 
 
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, target_loss, background_loss, difference."""
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    ids, marks = sample_labels(labels, "quality", sample)
-    good = docs.sparkSession.createDataFrame([(int(i),) for i in ids[marks > 0.5]], "doc_id long")
-    rows = rows.join(bounded_broadcast(good.withColumn("good", F.lit(True)), good.count(), 16), "doc_id", "left").select("doc_id", F.coalesce("good", F.lit(False)).alias("good"), "text")
     n_bytes = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
-    bits = max(1, (n_bytes // RANGE).bit_length())
-    parts = cut(rows.mapInArrow(_chunks(bits, CHUNK), "chunk long, range int, doc_id long, good boolean, text string, n_words long, h binary, n binary, n_good binary"), "parts")
-    texts = parts.filter("range is null").select("chunk", "doc_id", "good", "text", "n_words")
-    back_total, total = (x or 0 for x in texts.agg(F.sum("n_words"), F.sum(F.when(F.col("good"), F.col("n_words")))).first())
-    each = parts.filter("range is not null").select("range", "chunk", "h", "n", "n_good")
-    sums = cut(each.repartition("range").sortWithinPartitions("range").mapInArrow(_add, "chunk long, range int, words long, n binary, n_good binary"), "sums")
-    vocabulary = max(WORDS, sums.agg(F.sum("words")).first()[0] or 0)
-    score = _score(total or back_total, back_total, vocabulary, not total)
-    both = texts.drop("n_words").groupBy("chunk").cogroup(sums.select("chunk", "range", "n", "n_good").groupBy("chunk"))
-    return both.applyInArrow(score, "doc_id long, n_words long, target_loss double, background_loss double, difference double")
+    n_chunks, bits = n_bytes // CHUNK + 1, max(1, (n_bytes // RANGE).bit_length())
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(n_chunks)))
+    good = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg("quality").alias("quality"))
+    good = cut(good.filter("quality > 0.5").select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).alias("chunk")), "good")
+    parts = rows.groupBy("chunk").cogroup(good.groupBy("chunk")).applyInArrow(_count(bits), "chunk long, range int, size int, data binary")
+    each = parts.select("range", "chunk", "size", "data").repartition("range").sortWithinPartitions("range")
+    sums = cut(each.mapInArrow(_add, "chunk long, range int, size int, data binary, words long, n long, n_good long"), "sums")
+    words, back_total, total = (x or 0 for x in sums.agg(F.sum("words"), F.sum("n"), F.sum("n_good")).first())
+    known = sums.select("chunk", "range", "size", "data").unionByName(good, allowMissingColumns=True)
+    # The counting job's shuffles are let go before the texts are dealt out again.
+    del parts, each
+    free_shuffles(docs.sparkSession)
+    score = _score(total or back_total, back_total, max(WORDS, words), not total)
+    return rows.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, "doc_id long, n_words long, target_loss double, background_loss double, difference double")

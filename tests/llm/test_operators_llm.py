@@ -371,6 +371,13 @@ def test_lm_counts_are_exact(spark, monkeypatch):
         assert r.background_loss == pytest.approx(loss(r.doc_id, models[1], True, total / back), abs=1e-9)
 
 
+def test_lm_target_is_every_good_document(spark, docs, rows):
+    """Where all documents are good, both models are one, however many labels there are."""
+    lab = spark.range(45_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    got = lm_scoring.cross_entropy_difference(docs, lab.unionByName(lab.limit(50))).collect()
+    assert len(got) == len(rows) and all(r.difference == pytest.approx(0, abs=1e-9) for r in got)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p>";</script></head><body><nav><ul><li><a href="/x">Menu</a></li></ul></nav>
 <!-- <p>no</p> --><div class="{main}"><h1>Head {i}</h1><p>First &amp; {body}<br>more   words<p>Second <b>bold</b> a < b<div class="share-box">Share this</div>
 <form><input value="a > b">Search</form></div><div class="sidebar">Also read other things {i}</div><section id="comments"><p>Nice post {i}</p></section><footer>&copy; us</footer></body></html>"""
