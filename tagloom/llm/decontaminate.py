@@ -10,8 +10,10 @@ cover at least `coverage` of the item's windows.
 The benchmark's windows are broadcast only where their number times their width is under common.BROADCAST_LIMIT; beyond
 it the join shuffles both sides.
 
-Defined results: null or empty text has no windows; items shorter than WINDOW words are matched whole; windows with
-fewer than LITERAL literal words (the whole item if it is shorter than that) are not used, since they fit anything;
+Windows with fewer than LITERAL literal words would fit anything as templates, so they match on their values alone.
+
+Defined results: null or empty text has no windows; items shorter than WINDOW words are matched whole; items of fewer
+than LITERAL words or of numbers only are not used, since they fit anything;
 equal items each report; repeated rows of a doc_id count once; an empty table gives an empty result; further columns of
 either table are ignored.
 """
@@ -58,16 +60,32 @@ def values(mark: Column) -> Column:
     return F.regexp_extract_all(F.lower(mark), F.lit(f"({_NUMBER}|[\\x02\\x03]?{_LETTER}+)"), F.lit(1))
 
 
-def window_hashes(words: Column, k: int) -> Column:
-    """Hashes of all windows of k words; the words are bound once."""
-    per = lambda w: F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.xxhash64(F.slice(w, i, k))))
+def literals(words: Column) -> Column:
+    return F.size(F.filter(words, lambda w: w > "\x03"))
+
+
+def window_hashes(words: Column, own: Column, k: int) -> Column:
+    """Hashes of all windows of k template words, or of their values where fewer than LITERAL words are literal.
+
+    words are bound once; values, and the literals of each window, are looked at only in texts where slots stand dense
+    enough for such a window.
+    """
+    dense = f"(?:[\\x01-\\x03](?: [^\\x01-\\x03 ]+){{0,{LITERAL - 1}}} ?){{{max(1, k - LITERAL + 1)}}}"
+
+    def per(w: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(w) - (k - 1))
+        plain = F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, k)))
+        either = lambda v: F.transform(starts, lambda i: F.when(literals(F.slice(w, i, k)) >= LITERAL, F.xxhash64(F.slice(w, i, k))).otherwise(F.xxhash64(F.slice(v, i, k), F.lit("values"))))
+        return F.when(F.size(w) >= k, F.when(F.array_join(w, " ").rlike(dense), F.element_at(F.transform(F.array(own), either), 1)).otherwise(plain))
+
     return F.element_at(F.transform(F.array(words), per), 1)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, n_matched, n_windows, coverage, exact."""
     items = benchmark.select(benchmark[item_col].alias("item_id"), text_of(benchmark, item_text_col).alias("t"))
-    items = items.select("item_id", template(marked(F.col("t"))).alias("item_words"), values(marked(F.col("t"))).alias("item_values")).filter("size(item_words) > 0").distinct()
+    items = items.select("item_id", template(marked(F.col("t"))).alias("item_words"), values(marked(F.col("t"))).alias("item_values")).distinct()
+    items = items.filter((F.size("item_words") >= LITERAL) & F.exists("item_words", lambda w: w != "\x01"))
     items = items.withColumn("k", F.least(F.size("item_words"), F.lit(WINDOW)))
     sizes = sorted(r[0] for r in items.select("k").distinct().collect())
     spark = docs.sparkSession
@@ -78,12 +96,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, i
     found = []
     for k in sizes:
         mine = items.filter(F.col("k") == k)
-        mine = mine.select("item_id", "item_words", "item_values", F.posexplode(window_hashes(F.col("item_words"), k)).alias("item_at", "hash"))
+        mine = mine.select("item_id", "item_words", "item_values", F.posexplode(window_hashes(F.col("item_words"), F.col("item_values"), k)).alias("item_at", "hash"))
         slot = F.slice("item_words", F.col("item_at") + 1, k)
-        mine = mine.filter(F.size(F.filter(slot, lambda w: w > "\x03")) >= LITERAL)
         mine = mine.select("hash", "item_id", "item_at", slot.alias("slot"), F.slice("item_values", F.col("item_at") + 1, k).alias("item_values"))
         # Explode carries ids and hashes only; texts of documents with a hit are fetched again afterwards.
-        at = F.posexplode(window_hashes(template(marked(F.col("text"))), k)).alias("at", "hash")
+        at = F.posexplode(window_hashes(template(marked(F.col("text"))), values(marked(F.col("text"))), k)).alias("at", "hash")
         met = rows.select("doc_id", at).join(bounded_broadcast(mine.select("hash", "item_id", "item_at"), mine.count(), WIDTH), "hash")
         per_doc = met.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "item_at", "at")).alias("hits"))
         per_doc = cut(per_doc, "hits")
@@ -94,7 +111,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, i
         both = words_of.join(per_doc, "doc_id")
         cutout = lambda h: F.struct(h["item_id"].alias("item_id"), h["item_at"].alias("item_at"), h["at"].alias("at"), F.slice("words", h["at"] + 1, k).alias("words"), F.slice("values", h["at"] + 1, k).alias("values"))
         hits = both.select("doc_id", F.explode(F.transform("hits", cutout)).alias("h")).select("doc_id", "h.*")
-        hits = hits.join(bounded_broadcast(mine, mine.count(), WIDTH), ["item_id", "item_at"]).filter(F.col("words") == F.col("slot"))
+        hits = hits.join(bounded_broadcast(mine, mine.count(), WIDTH), ["item_id", "item_at"])
+        hits = hits.filter((F.col("words") == F.col("slot")) & ((literals(F.col("slot")) >= LITERAL) | (F.col("values") == F.col("item_values"))))
         pairs = F.filter(F.transform(F.arrays_zip("slot", "item_values", "values"), lambda z: F.struct(z["slot"].alias("kind"), z["item_values"].alias("theirs"), z["values"].alias("ours"))), lambda z: z["kind"] <= "\x03")
         found.append(hits.select("doc_id", "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), pairs.alias("pairs")))
     hits = reduce(DataFrame.unionByName, found)

@@ -291,6 +291,16 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_literal_poor_items(spark):
+    """Windows that are mostly numbers or names match as they are, and only so."""
+    items = ["Compute 12 + 7 * 3 - 4 = 29 and 8 / 2 + 1 = 5", "these: Anna Berta Carla Dora Emma Frida Greta Hanna Ida", "meet Tom Baker", "12 3"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"We read: {t} and went on" for t in items[:3]] + ["We read: Compute 11 + 7 * 3 - 5 = 27 and 9 / 3 + 1 = 4", "We read: these: Anja Berit Clara Doris Elsa Fanny Gerda Heidi Ines", "we meet Ann Baker 12 3"]
+    d = spark.createDataFrame([(i, t, "", "", 0, "", 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {(r.doc_id, r.item_id): (r.exact, r.coverage) for r in decontaminate.contaminated(d, bench).collect()}
+    assert got == {(i, i): (True, 1.0) for i in range(3)}
+
+
 def test_decontamination_finds_every_planted_item(spark):
     """Brute force: word windows of items, without their slots, in sf0.01."""
     sf = "/root/testdata/sf0.01"
