@@ -3,8 +3,9 @@
 Tokens of a page are its containers (by path of tag and class from the root) and its text blocks (by path and content).
 Over the pages of a host every token has an occurrence vector; tokens with the same vector form an equivalence class.
 The class that occurs once on every page is the template's skeleton; classes on at least half of the pages nest inside
-it along their paths. The main slot is the deepest container of a valid class that holds most of the host's running
-text; blocks that belong to the skeleton are template, whatever slot they stand in. What is left of the main slot,
+it along their paths. The main slot is the outermost article or main container of a valid class that holds most of the
+host's running text, else the deepest container outside of which no running text is left but the skeleton's; blocks
+that belong to the skeleton are template, whatever slot they stand in. What is left of the main slot,
 without the parts that are never article (menus, forms, adverts, comments, ...), is the text.
 
 Vectors are compared by a fingerprint (exclusive or of hashes of page and count), so they are aggregated piece by piece
@@ -30,7 +31,7 @@ from .common import cut
 
 #: Pages that a host needs before its template is trusted.
 MIN_PAGES = 5
-#: Share of a host's or page's running text that the main slot holds at least.
+#: Share of a host's running text that an article or main container holds at least to be the main slot.
 MOST = 0.5
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
@@ -134,8 +135,8 @@ def _measure(found: list[tuple[str, bool, int, str]]) -> Counter:
 
 
 def _deepest(held: Counter, total: int) -> str:
-    """The deepest container that holds most of the text; of equals the fuller, then the first by name."""
-    fit = [(p.count("/"), n, p) for p, n in held.items() if n >= MOST * total]
+    """The deepest container that holds all of the text; of equals the first by name."""
+    fit = [(p.count("/"), n, p) for p, n in held.items() if n >= total]
     return min(fit, key=lambda x: (-x[0], -x[1], x[2]))[2] if fit and total else ""
 
 
@@ -150,7 +151,7 @@ def hash_text(text: str) -> str:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, page, token, n, chars) of every page; the root token stands for the page itself."""
+    """(host, page, token, n, chars, path) of every page; the root token stands for the page itself. path: of blocks only."""
     for b in batches:
         for i in range(0, b.num_rows, 64):
             rows = []
@@ -160,27 +161,42 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held = _measure(found)
                 opened = Counter(path for path, never, _, text in blocks(html) if text is None and not never)
                 once = Counter(block_token(path, text) for path, _, _, text in found)
-                rows.append((host, page, "", 1, sum(len(t) for _, never, _, t in found if not never)))
-                rows += [(host, page, p, n, held[p]) for p, n in opened.items()]
-                rows += [(host, page, t, n, 0) for t, n in once.items()]
+                paths, running = {}, Counter()
+                for path, never, links, text in found:
+                    token = block_token(path, text)
+                    paths[token] = path
+                    running[token] += 0 if never else len(text) - min(links, len(text))
+                rows.append((host, page, "", 1, sum(running.values()), None))
+                rows += [(host, page, p, n, held[p], None) for p, n in opened.items()]
+                rows += [(host, page, t, n, running[t], paths[t]) for t, n in once.items()]
             if rows:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64()), strict=True)], ["host", "page", "token", "n", "chars"])
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.string()), strict=True)], ["host", "page", "token", "n", "chars", "path"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, main, template): main slot's path and skeleton blocks of each host. pages: (host, page_id, html)."""
-    tokens = pages.mapInArrow(_tokens, "host string, page long, token string, n int, chars long")
-    vectors = tokens.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"))
+    tokens = pages.mapInArrow(_tokens, "host string, page long, token string, n int, chars long, path string")
+    vectors = tokens.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"), F.max("path").alias("path"))
     vectors = cut(vectors, "vectors")
     root = vectors.filter("token = ''").select("host", F.col("vector").alias("root_vector"), F.col("pages").alias("all_pages"), F.col("chars").alias("all_chars")).filter(F.col("all_pages") >= MIN_PAGES)
     of_host = vectors.filter("token != ''").join(root, "host")
     skeleton = (F.col("vector") == F.col("root_vector")) & (F.col("pages") == F.col("all_pages"))
     # A skeleton block is on every page, so a host has no more of them than its shortest page has blocks.
-    fixed = of_host.filter(skeleton & F.col("token").startswith("#")).groupBy("host").agg(F.collect_list("token").alias("template"))
-    # Valid classes: at least half of the host's pages. The main slot is the deepest of them with most of the text.
-    slot = of_host.filter(~F.col("token").startswith("#") & (F.col("pages") * 2 >= F.col("all_pages")) & (F.col("chars") >= F.col("all_chars") * MOST) & (F.col("all_chars") > 0))
+    blocks_ = of_host.filter(skeleton & F.col("token").startswith("#"))
+    fixed = blocks_.groupBy("host").agg(F.collect_list("token").alias("template"))
+    # The skeleton's running text by container, with all its parents; '' has all of it.
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    inside = blocks_.filter("chars > 0").select("host", F.explode(above).alias("token"), "chars").groupBy("host", "token").agg(F.sum("chars").alias("fixed_chars"))
+    # Valid classes: at least half of the host's pages. Outside of the main slot there is no text but the skeleton's.
+    valid = of_host.filter(~F.col("token").startswith("#") & (F.col("pages") * 2 >= F.col("all_pages")) & (F.col("all_chars") > 0))
+    valid = valid.join(inside, ["host", "token"], "left").join(inside.filter("token = ''").select("host", F.col("fixed_chars").alias("all_fixed")), "host", "left")
+    own = F.coalesce("all_fixed", F.lit(0))
+    all_of = F.col("chars") - F.coalesce("fixed_chars", F.lit(0)) >= F.col("all_chars") - own
+    named = F.element_at(F.split(F.element_at(F.split("token", "/"), -1), "[.]"), 1).isin("article", "main") & (F.col("chars") >= F.col("all_chars") * MOST)
     depth = F.length("token") - F.length(F.replace("token", F.lit("/")))
-    main = slot.groupBy("host").agg(F.max(F.struct(depth.alias("depth"), "chars", "token")).alias("best")).select("host", F.col("best.token").alias("main"))
+    best = F.max(F.struct(named.alias("named"), F.when(named, -depth).otherwise(depth).alias("depth"), "chars", "token"))
+    main = valid.filter(named | all_of).groupBy("host").agg(best.alias("best")).select("host", F.col("best.token").alias("main"))
     return root.select("host").join(main, "host", "left").join(fixed, "host", "left")
 
 

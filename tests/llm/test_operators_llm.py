@@ -408,6 +408,22 @@ def test_html(spark):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_main_slot_keeps_the_whole_article(spark):
+    """Headings, leads and siblings of the container that holds most of the text stay."""
+    rng, words = random.Random(4), vocabulary(200)
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    pages, want = [], {}
+    for i in range(8):
+        head, lead, body = some(4), some(20), some(80)
+        around = "<html><body><nav>Menu</nav><p>Welcome to this site</p>{}<footer>us</footer></body></html>"
+        pages.append((i, "http://a.example/", around.format(f"<article class=story><h1>{head}</h1><p>{lead}</p><section><p>{body}</p></section></article>")))
+        pages.append((i + 10, "http://b.example/", around.format(f"<div class=post><h1>{head}</h1><div class=intro><p>{lead}</p></div><div class=body><p>{body}</p></div></div>")))
+        pages.append((i + 20, f"http://c{i}.example/", f"<html><body><nav>Menu</nav><div class=post><h1>{head}</h1><div class=intro><p>{lead}</p></div><div class=body><p>{body}</p></div></div></body></html>"))
+        want |= {i + k: f"{head}\n\n{lead}\n\n{body}" for k in (0, 10, 20)}
+    got = html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want
+
+
 def test_html_on_pages(spark):
     """Every paragraph and heading of the article, found here by a plain pattern."""
     from html import unescape
