@@ -34,6 +34,9 @@ MIN_PAGES = 5
 #: Share of a host's running text that an article or main container holds at least to be the main slot.
 MOST = 0.5
 
+#: Containers of a path.
+DEEPEST = 200
+
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
 _CLASS = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _CONTAINERS = frozenset("html body div section article main nav header footer aside form table ul ol dl figure details dialog fieldset menu center".split())
@@ -54,6 +57,7 @@ def blocks(page: str) -> Iterator[tuple[str, bool, bool, str]]:
     Containers that open are given too, with text None.
     """
     stack: list[tuple[str, str, bool]] = []
+    is_open: Counter = Counter()
     path, never, link, at, end = "", False, False, 0, len(page)
     while at < end:
         m = _TAG.search(page, at)
@@ -78,9 +82,10 @@ def blocks(page: str) -> Iterator[tuple[str, bool, bool, str]]:
         if tag not in _CONTAINERS:
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+            while is_open[tag]:
+                last = stack.pop()[0]
+                is_open[last] -= 1
+                if last == tag:
                     break
             path, never = (stack[-1][1], stack[-1][2]) if stack else ("", False)
             continue
@@ -88,11 +93,14 @@ def blocks(page: str) -> Iterator[tuple[str, bool, bool, str]]:
         words = {w for n in names for w in re.split(r"[\s_-]+", n.lower())}
         in_article = "/article" in path or "/main" in path
         out = never or tag in _NEVER or (tag == "header" and not in_article) or bool(words & _SIGNS and tag not in ("html", "body")) or " hidden" in m[3]
-        path = f"{path}/{tag}" + ("." + re.sub(r"\d+", "#", names[0].split()[0].lower()) if names and names[0].split() else "")
-        if len(stack) < 200:
-            stack.append((tag, path, out))
+        # Deeper containers count for end tags, but paths grow no further.
+        deep = len(stack) >= DEEPEST
+        path = path if deep else f"{path}/{tag}" + ("." + re.sub(r"\d+", "#", names[0].split()[0].lower()) if names and names[0].split() else "")
+        stack.append((tag, path, out))
+        is_open[tag] += 1
         never = out
-        yield path, never, link, None
+        if not deep:
+            yield path, never, link, None
 
 
 def page_blocks(page: str) -> list[tuple[str, bool, int, str]]:

@@ -424,6 +424,12 @@ def test_html_main_slot_keeps_the_whole_article(spark):
     assert {r.page_id: r.text for r in got} == want
 
 
+def test_html_deep_nesting():
+    deep = "<div>" * 150
+    found = html_extract.page_blocks(f"<body><article>{deep}{deep}<p>in</p>{'</div>' * 300}<p>after</p></article><div class=menu>{deep}{deep}{'</div>' * 300}<p>menu</p></div></body>")
+    assert [(p, never, t) for p, never, _, t in found if t != "in"] == [("/body/article", False, "after"), ("/body/div.menu", True, "menu")]
+
+
 def test_html_on_pages(spark):
     """Every paragraph and heading of the article, found here by a plain pattern."""
     from html import unescape
