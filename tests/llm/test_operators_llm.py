@@ -402,7 +402,7 @@ def test_html(spark):
     assert len(got) == len(pages)
     text = {r.page_id: r.text for r in got}
     for i in range(12):
-        assert text[i] == f"Head {i}\n\nFirst & {body[i]}more words\n\nSecond bold a < b"
+        assert text[i] == f"Head {i}\n\nFirst & {body[i]} more words\n\nSecond bold a < b"
     assert text[50] == text[51] == "" and text[52] == "Only text" and text[53] == "Cut of&am"
     assert all(r.n_chars == len(r.text) for r in got)
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
@@ -425,9 +425,89 @@ def test_html_main_slot_keeps_the_whole_article(spark):
 
 
 def test_html_deep_nesting():
-    deep = "<div>" * 150
-    found = html_extract.page_blocks(f"<body><article>{deep}{deep}<p>in</p>{'</div>' * 300}<p>after</p></article><div class=menu>{deep}{deep}{'</div>' * 300}<p>menu</p></div></body>")
-    assert [(p, never, t) for p, never, _, t in found if t != "in"] == [("/body/article", False, "after"), ("/body/div.menu", True, "menu")]
+    deep = "<div>" * 5000
+    page = f"<body><article>{deep}<p>in</p>{'</div>' * 5000}<p>after</p></article><div class=menu>{deep}{'</div>' * 5000}<p>menu</p></div></body>"
+    assert html_extract.main_text(html_extract.parse(page)) == "in\n\nafter"
+
+
+def extracted(spark, pages):
+    got = html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert len(got) == len(pages)
+    return {r.page_id: r.text for r in got}
+
+
+def test_html_repeats(spark):
+    """Pages that repeat as a whole, sentences on all pages, and halves in lists, tables and sections stay."""
+    rng, words = random.Random(7), vocabulary(200)
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    frame = "<html><body><nav><a href=/>Home</a></nav><div class=top><p>Welcome to this site</p></div><div class=post>{}</div><div class=cookie-note>We use cookies</div><p>All rights reserved</p></body></html>"
+    same = f"<h1>{some(4)}</h1><p>{some(60)}</p>"
+    lines, want, pages = [some(9) for _ in range(30)], {}, []
+    for i in range(6):
+        # 0: one article on all pages of a host, with and without an article container.
+        pages += [(i, "http://a.example/", frame.format(same)), (10 + i, "http://b.example/", f"<body><nav>Menu</nav><article>{same}</article></body>")]
+        # 20: a sentence that all pages hold between others; template text at both ends goes.
+        parts = [lines[i], "As we say every week", lines[i + 6]]
+        pages.append((20 + i, "http://c.example/", frame.format("".join(f"<p>{x}</p>" for x in parts))))
+        want[20 + i] = "\n\n".join(parts)
+        # 30: half of the text in a list, a table or a section; div-only host.
+        kind = [f"<ul><li>{lines[i]} {lines[i + 1]}</li><li>{lines[i + 2]}</li></ul>", f"<table><tr><td>{lines[i]}</td><td>{lines[i + 1]}</td></tr><tr><th>{lines[i + 2]}</th></tr></table>", f"<section><p>{lines[i]}<br>{lines[i + 1]}</p><p>{lines[i + 2]}</p></section>"][i % 3]
+        pages += [(30 + i, "http://d.example/", frame.format(f"<h1>T {i}</h1><p>{lines[i + 12]}</p>{kind}<p>{lines[i + 20]}</p>")), (40 + i, "http://e.example/", f"<body><article><h1>T {i}</h1><p>{lines[i + 12]}</p>{kind}<p>{lines[i + 20]}</p></article></body>")]
+        want[30 + i] = want[40 + i] = "\n\n".join([f"T {i}", lines[i + 12], f"{lines[i]} {lines[i + 1]}", lines[i + 2], lines[i + 20]])
+    got = extracted(spark, pages)
+    head, text = re.findall(r">([^<]+)<", same)
+    assert all(f"{head}\n\n{text}" in got[i] and "Home" not in got[i] and "cookies" not in got[i] for i in range(6))
+    assert all(got[10 + i] == f"{head}\n\n{text}" for i in range(6))
+    assert {i: got[i] for i in want} == want
+
+
+def test_html_names():
+    some = "Some words of the article that are long enough"
+    text = lambda page: html_extract.main_text(html_extract.parse(page))
+    assert text(f"<body><div class='social-history'><p>{some}</p></div><div class='social-links'>Share</div></body>") == some
+    assert text(f"<body><form id=frame><div class=menu>Menu</div><h1>Head</h1><p style='overflow: hidden'>{some}</p></form><form>Search</form><div hidden>no</div><div style='x:y; display: none'>no</div></body>") == f"Head\n\n{some}"
+    assert text(f"<html><head><title>T</title><meta charset=utf-8><body><p>{some}") == some
+    assert text(f"<body><p>{some} <svg>no end<p>More") == f"{some} no end\n\nMore"
+
+
+def test_html_template_is_ordered_and_nested():
+    tokens = [{"token": html_extract.ROOT, "class": 1, "rank": 0}, *({"token": t, "class": 1, "rank": t} for t in (1, 2, 3)), {"token": 4, "class": 2, "rank": 5}, {"token": 5, "class": 2, "rank": 6}, {"token": 6, "class": 3, "rank": 7}]
+    template, root = html_extract.Template.make(tokens), html_extract.ROOT
+
+    def valid(*pages):
+        bad = {}
+        for p in pages:
+            for c, t, low, high in html_extract.faults(template, [root, *p]):
+                was = bad.get((c, t), (low, high))
+                bad[c, t] = (min(was[0], low), max(was[1], high))
+        return html_extract.valid_tokens(template, [{"class": c, "token": t, "low": a, "high": b} for (c, t), (a, b) in bad.items()])
+
+    assert valid([1, 4, 5, 4, 5, 2, 3], [1, 4, 5, 2, 6, 3]) == {root, 1, 2, 3, 4, 5, 6}
+    # Out of order on one page: the token goes. Spread over gaps, or not in whole rounds: the class goes.
+    assert valid([1, 2, 3], [1, 3, 2, 6]) in ({root, 1, 2, 4, 5, 6}, {root, 1, 3, 4, 5, 6})
+    assert valid([1, 2, 6, 3], [1, 6, 2, 3]) == {root, 1, 2, 3, 4, 5}
+    assert valid([1, 4, 5, 5, 4, 2, 3]) == {root, 1, 2, 3, 6}
+    assert valid([1, 4, 2, 5, 3]) == {root, 1, 2, 3, 6}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 12), max_size=14))
+def test_rising(ranks):
+    from itertools import combinations
+
+    got = sorted(html_extract.rising(ranks))
+    assert all(ranks[a] < ranks[b] for a, b in zip(got, got[1:], strict=False))
+    assert not any(all(x < y for x, y in zip(c, c[1:], strict=False)) for c in combinations(ranks, len(got) + 1)) if len(ranks) <= 9 else True
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<div class=ad>", "</div>", "<article>", "</article>", "<form>", "</form>", "<td>", "<br>", "<script>", "</script>", "<!--", "-->", "<a href='", "\"", "a &lt; b", " word ", "<", ">", "<svg>", "<head>", "<h1>"]), max_size=25))
+def test_html_broken_markup(parts):
+    page = html_extract.parse("".join(parts))
+    assert len(page.where) == len(page.text) == len(page.after) and all(t == " ".join(t.split()) and t for t in page.text)
+    assert isinstance(html_extract.main_text(page), str)
+    seq, nth = html_extract.sequence(page)
+    assert len(seq) == len(nth) == len(page.parent) + len(page.text)
 
 
 def test_html_on_pages(spark):
