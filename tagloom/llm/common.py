@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
-#: Bytes of a table up to which it may be broadcast; beyond it joins shuffle both sides.
+#: Bytes of a table up to which it may be broadcast; beyond it joins shuffle both sides. The session's setting
+#: spark.tagloom.broadcastLimit goes first; 0 shuffles always.
 BROADCAST_LIMIT = 8 << 20
+#: A key with more than this part of all rows is dealt over several tasks.
+SHARE = 512
 
 _own_dir: dict[str, str] = {}
 #: Scratch tables that are still there, in order.
@@ -24,12 +27,18 @@ _written: list[str] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """A new folder where driver and executors share it."""
+    return f"{shared_dir(spark)}/tagloom-{uuid.uuid4().hex}"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``. Where it is unset, a temporary folder in local mode and an error on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        app = spark.sparkContext.applicationId
-        base = _own_dir.setdefault(app, "file://" + tempfile.mkdtemp(prefix="tagloom-"))
-    return f"{base.rstrip('/')}/tagloom-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = _own_dir.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="tagloom-"))
+    return base.rstrip("/")
 
 
 def cut(df: DataFrame, name: str = "t") -> DataFrame:
@@ -104,8 +113,24 @@ def unit_hash(seed: str, *cols: Column) -> Column:
 
 
 def bounded_broadcast(small: DataFrame, rows: int, width: int) -> DataFrame:
-    """Broadcast hint only where rows x width bytes stays under BROADCAST_LIMIT."""
-    return F.broadcast(small) if rows * width <= BROADCAST_LIMIT else small
+    """Broadcast hint only where rows x width bytes stays under the limit."""
+    limit = int(small.sparkSession.conf.get("spark.tagloom.broadcastLimit", str(BROADCAST_LIMIT)))
+    return F.broadcast(small) if rows * width <= limit else small.hint("merge")
+
+
+def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], by: list[str], count: str = "n", how: str = "inner") -> DataFrame:
+    """rows joined to keyed, a written table with one row per key and the number of rows that it meets.
+
+    A key with more than 1/SHARE of these rows is dealt over tasks by a hash of the columns `by` and its row of keyed is
+    repeated for each part. Such keys are fewer than SHARE by their definition, so they are broadcast. Both sides are
+    shuffled at every size.
+    """
+    total = keyed.agg(F.sum(count)).first()[0] or 0
+    hot = keyed.filter(F.col(count) * SHARE > total).select(*on, F.ceil(F.col(count) * SHARE / F.lit(max(total, 1))).cast("int").alias("_parts"))
+    hot = F.broadcast(hot)
+    left = rows.join(hot, on, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*by), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+    right = keyed.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return left.join(right.hint("merge"), [*on, "_part"], how).drop("_part")
 
 
 _shipped: set[str] = set()
