@@ -4,11 +4,16 @@ A word falls when a window of `window` consecutive words that covers it also sta
 
 Documents are cut into reference blocks that depend on content alone: every window names one of its word runs (the one
 of `window`/2+1 words with the least hash, the last of equals) as its anchor, and neighbouring windows with one anchor make a
-block. The blocks of all documents are indexed by anchor and by the hash of the whole block. A document is parsed
-against the index: a block that occurs whole in a smaller document is a long factor, all of it duplicate. Where only the
-anchor agrees a factor ends inside the block; there, at the factor's boundary, windows are compared one by one. Equal
-windows always share their anchor, so nothing is missed. One document's copies of each different block stand for all its
-copies (in later documents the whole block is duplicate), so nothing grows with the square of a group.
+block. The blocks of all documents are indexed by anchor and by the hash of the whole block. A document's matches in the
+index are found block by block: a block that occurs whole in a smaller document is a match of its whole length; where
+only the anchor agrees the match ends inside the block, at a factor's boundary, and windows are compared one by one there.
+Equal windows always share their anchor, so nothing is missed. Then the document is factored greedily from left to right:
+the longest match at the place reached is the next factor, a word without a match is a literal. Matches are as long as
+the window at least, so every factor is part of a duplicate span. One document's copies of each different block stand for
+all its copies (in later documents the whole block is duplicate), so nothing grows with the square of a group, and rows of
+a common passage are dealt over tasks.
+
+Blocks and windows are equal when two 64-bit hashes of them are; texts are not looked at again.
 
 Defined results: null or empty text has no words; texts shorter than the window lose nothing; rows that repeat a doc_id
 are taken for the same text; a null doc_id is neither smaller nor larger, so it keeps all; an empty table gives an empty
@@ -26,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .common import bounded_broadcast, cut
+from .common import bounded_broadcast, cut, spread_join
 from .hashed import ids_of
 
 
@@ -118,12 +123,22 @@ def _windows(window: int):
     return run
 
 
-def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Which of n words lie in one of the factors [start, end)."""
-    turns = np.zeros(n + 1, np.int64)
-    np.add.at(turns, np.clip(starts, 0, n), 1)
-    np.add.at(turns, np.clip(ends, 0, n), -1)
-    return np.cumsum(turns[:-1]) > 0
+def factored(n: int, starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """Greedy factors [start, end) of n words, given the matches in the index [start, end); words between are literals."""
+    order = np.argsort(starts, kind="stable")
+    begins, reach = starts[order], np.maximum.accumulate(ends[order]) if len(ends) else ends
+    out, at = [], 0
+    while at < n:
+        # The tail of a match is a match as well, so the longest one here is the one that reaches farthest.
+        k = int(np.searchsorted(begins, at, "right"))
+        if k and reach[k - 1] > at:
+            out.append((at, min(int(reach[k - 1]), n)))
+            at = out[-1][1]
+        elif k < len(begins):
+            at = int(begins[k])
+        else:
+            break
+    return out
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,10 +147,11 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, removed, digests, kept = [], [], [], []
             for doc_id, text, factors in zip(*(c.to_pylist() for c in b.slice(i, 100).columns), strict=True):
                 words = (text or "").encode().split()
-                out = covered(len(words), np.array([f["start"] for f in factors], np.int64), np.array([f["end"] for f in factors], np.int64))
-                left = b" ".join(w for w, gone in zip(words, out, strict=True) if not gone)
+                spans = factored(len(words), np.array([f["start"] for f in factors], np.int64), np.array([f["end"] for f in factors], np.int64))
+                edges = [0, *(x for span in spans for x in span), len(words)]
+                left = b" ".join(w for x, y in zip(edges[::2], edges[1::2], strict=True) for w in words[x:y])
                 ids.append(doc_id)
-                removed.append(int(out.sum()))
+                removed.append(sum(y - x for x, y in spans))
                 digests.append(hashlib.sha256(left).digest())
                 kept.append(left.decode())
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.binary()), pa.array(kept, pa.string())], ["doc_id", "n_removed", "kept_sha", "kept_text"])
@@ -147,11 +163,11 @@ def parse(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: s
     index = cut(rows.mapInArrow(_index(window), "doc_id long, n_words long, sha binary, start array<int>, size array<int>, anchor array<long>, whole array<long>, again array<boolean>"), "index")
     each = index.filter("doc_id is not null").select("doc_id", F.explode(F.arrays_zip("start", "size", "anchor", "whole", "again")).alias("b")).select("doc_id", "b.*")
     # Anchors that occur once cannot start a factor; counting is pre-aggregated, so a common passage costs no task more.
-    shared = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (F.min("whole") != F.max("whole")).alias("mixed")).filter("n > 1").select("anchor", "mixed")
-    met = cut(each.join(shared, "anchor"), "met")
+    shared = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (F.min("whole") != F.max("whole")).alias("mixed")).filter("n > 1")
+    met = cut(spread_join(each, cut(shared, "shared"), ["anchor"], ["doc_id", "start"]).drop("n"), "met")
     first = cut(met.groupBy("anchor", "whole", "mixed").agg(F.min(F.struct("doc_id", "start", "size")).alias("first"), F.count(F.lit(1)).alias("n")), "first")
-    again = first.filter("n > 1").select("anchor", "whole", F.col("first.doc_id").alias("holder"))
-    long = met.join(again, ["anchor", "whole"]).filter("doc_id > holder").select("doc_id", "start", (F.col("start") + F.col("size") - 1 + window).alias("end"))
+    again = first.filter("n > 1").select("anchor", "whole", "n", F.col("first.doc_id").alias("holder"))
+    long = spread_join(met, again, ["anchor", "whole"], ["doc_id", "start"]).filter("doc_id > holder").select("doc_id", "start", (F.col("start") + F.col("size") - 1 + window).alias("end"))
     ids = cut(met.select("doc_id").distinct(), "ids")
     texts = cut(rows.join(bounded_broadcast(ids, ids.count(), 16), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text")), "texts")
     # Factor boundaries: of every block that differs from another one of its anchor, the windows of all copies in the
@@ -161,8 +177,8 @@ def parse(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: s
     edge = edge.unionByName(own).select("doc_id", F.struct("start", "size", "anchor").alias("b"))
     edge = texts.join(edge.groupBy("doc_id").agg(F.collect_list("b").alias("wanted")), "doc_id").select("doc_id", "text", "wanted")
     windows = cut(edge.mapInArrow(_windows(window), "anchor long, hash long, doc_id long, start int"), "windows")
-    holders = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("holder"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    short = windows.join(holders, ["anchor", "hash"]).filter("doc_id > holder").select("doc_id", "start", (F.col("start") + window).alias("end"))
+    holders = cut(windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("holder"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "holders")
+    short = spread_join(windows, holders, ["anchor", "hash"], ["doc_id", "start"]).filter("doc_id > holder").select("doc_id", "start", (F.col("start") + window).alias("end"))
     # A document's factors are no more than its windows.
     factors = long.unionByName(short).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("factors"))
     return index.select("doc_id", "n_words", "sha"), texts.join(factors, "doc_id").select("doc_id", "text", "factors")
