@@ -10,8 +10,12 @@ the middle of the crowd, so groups of near copies become one component at linear
 held against all of its crowd, block by block. Elsewhere all pairs of different components are compared whose prefixes
 leave enough overlap possible. Links are exact: sets are rebuilt from the texts.
 
+Sets are compared by their members' 64-bit hashes (58 bits and the order's 6), equal sets by 128-bit signatures.
+
 Defined results: null, empty or white-space texts have the empty set and link with nothing; texts with fewer than `words`
-words are one n-gram; equal sets are linked; repeated rows share a component; an empty table gives an empty result.
+words are one n-gram; equal sets are linked; repeated rows share a component; a row without a doc_id links nothing
+and has the component of the documents with its very set, null if there is none; doc_ids are taken as longs; an empty
+table gives an empty result; further columns of the input are ignored, but the one that `key_col` names is handed on.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from . import wordhash
 from .common import bounded_broadcast, cut, settled
 from .components import components
-from .hashed import hashed_counts, ids_of
+from .hashed import hashed_counts
 
 BUCKETS = 1 << 22
 #: Members of a prefix n-gram beyond which they are first held against the middle of the crowd.
@@ -74,6 +78,11 @@ def ranks(counts: np.ndarray) -> np.ndarray:
     return np.where(counts < rare, 0, np.floor(np.log2(np.maximum(counts, 1))) + 1).astype(np.uint8)
 
 
+def keyed(order: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Hashes in the global order: the order's leading bits, then the hash."""
+    return (order[h & np.uint64(BUCKETS - 1)].astype(np.uint64) << np.uint64(58)) | (h >> np.uint64(6))
+
+
 def _sketch(k: int):
     def run(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray):
         yield 0, ngrams(data, offsets, k)[0]
@@ -82,20 +91,19 @@ def _sketch(k: int):
 
 
 def _prefixes(rank, k: int, percent: int):
-    """(doc_id, n, sig, tokens): the set's size, a 128-bit signature, and its prefix in global order.
+    """(doc_id, n, sig, tokens, key): the set's size, a 128-bit signature, and its prefix in global order.
 
-    Of equal sets that a task meets only the first carries tokens.
+    Of equal sets that a task meets only the first one with a doc_id carries tokens.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = rank.value, set()
         for b in batches:
-            all_ids = ids_of(b)
+            known = b.column(0).is_valid().to_numpy(zero_copy_only=False)
             for at, data, offsets in wordhash.chunks(b.column(1)):
                 size = len(offsets) - 1
                 h, text = ngrams(data, offsets, k)
-                keys = (order[h & np.uint64(BUCKETS - 1)].astype(np.uint64) << np.uint64(58)) | (h >> np.uint64(6))
-                keys, text = distinct(keys, text)
+                keys, text = distinct(keyed(order, h), text)
                 ends = np.searchsorted(text, np.arange(size + 1))
                 n = np.diff(ends)
                 one, two = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
@@ -109,14 +117,14 @@ def _prefixes(rank, k: int, percent: int):
                 for i in range(size):
                     sig = one[i].tobytes() + two[i].tobytes()
                     sigs.append(sig)
-                    if not n[i] or sig in seen:
+                    if not n[i] or not known[at + i] or sig in seen:
                         tokens.append(None)
                         continue
                     if len(seen) > 200_000:
                         seen.clear()
                     seen.add(sig)
                     tokens.append(signed[ends[i] : ends[i] + length[i]])
-                yield pa.record_batch([pa.array(all_ids[at : at + size], mask=b.column(0)[at : at + size].is_null().to_numpy(zero_copy_only=False)), pa.array(n), pa.array(sigs, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))], ["doc_id", "n", "sig", "tokens"])
+                yield pa.record_batch([b.column(0)[at : at + size], pa.array(n), pa.array(sigs, pa.binary()), pa.array(tokens, pa.list_(pa.int64())), b.column(2)[at : at + size]], ["doc_id", "n", "sig", "tokens", "key"])
 
     return run
 
@@ -168,11 +176,11 @@ def tree_of(sets: list[tuple[np.ndarray, int]]) -> PrefixTree:
     return PrefixTree(sorted(sets, key=lambda x: x[0].astype(">u8").tobytes()))
 
 
-def _verify(k: int, percent: int):
+def _verify(rank, k: int, percent: int):
     """Rows (block, role, id, text), sorted by block and role: probes (role 0), then members. Gives links (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, probes, members = None, [], []
+        order, block, probes, members = rank.value, None, [], []
 
         def settle() -> list[tuple[int, int]]:
             if not probes or not members:
@@ -187,7 +195,8 @@ def _verify(k: int, percent: int):
             links = []
             keys, roles, ids = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
             for at, data, offsets in wordhash.chunks(b.column(3)):
-                sets, text = distinct(*ngrams(data, offsets, k))
+                h, text = ngrams(data, offsets, k)
+                sets, text = distinct(keyed(order, h), text)
                 ends = np.searchsorted(text, np.arange(len(offsets)))
                 for i in range(len(offsets) - 1):
                     s, row = sets[ends[i] : ends[i + 1]], at + i
@@ -204,10 +213,10 @@ def _verify(k: int, percent: int):
     return run
 
 
-def _checked(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _checked(rows: DataFrame, texts: DataFrame, rank, k: int, percent: int) -> DataFrame:
     """Links of blocks (block, role, id); texts: (id, text)."""
     rows = rows.join(texts, "id").select("block", "role", "id", "text")
-    return rows.repartition("block").sortWithinPartitions("block", "role").mapInArrow(_verify(k, percent), "a long, b long")
+    return rows.repartition("block").sortWithinPartitions("block", "role").mapInArrow(_verify(rank, k, percent), "a long, b long")
 
 
 def texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -217,17 +226,17 @@ def texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return cut(texts.select(F.col("doc_id").alias("id"), "text"), "texts")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, rank, k: int, percent: int) -> DataFrame:
     """Links among the distinct pairs (probe, member)."""
     # A probe's members are dealt to blocks of about MEMBERS by hash, so a crowded probe is spread over tasks.
     per = cut(pairs.groupBy("probe").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("parts")), "parts")
     blocked = pairs.join(per, "probe").select("probe", F.pmod(F.xxhash64("member"), F.col("parts")).alias("part"), "member")
     block = F.concat_ws(":", "probe", "part").alias("block")
     probes = blocked.select("probe", "part").distinct().select(block, F.lit(0).alias("role"), F.col("probe").alias("id"))
-    return _checked(probes.unionByName(blocked.select(block, F.lit(1).alias("role"), F.col("member").alias("id"))), texts, k, percent)
+    return _checked(probes.unionByName(blocked.select(block, F.lit(1).alias("role"), F.col("member").alias("id"))), texts, rank, k, percent)
 
 
-def families_checked(families: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def families_checked(families: DataFrame, texts: DataFrame, rank, k: int, percent: int) -> DataFrame:
     """Links in families (family, rep, own): every rep that is not the family's own against all its reps, in blocks.
 
     Probes and members are dealt to parts; each part of probes meets each part of members in a block of its own, so rows
@@ -241,10 +250,10 @@ def families_checked(families: DataFrame, texts: DataFrame, k: int, percent: int
     probes = rows.filter(~F.col("own")).select("family", mine("p_parts").alias("p"), F.explode(upto("m_parts")).alias("m"), F.lit(0).alias("role"), F.col("rep").alias("id"))
     members = rows.select("family", F.explode(upto("p_parts")).alias("p"), mine("m_parts").alias("m"), F.lit(1).alias("role"), F.col("rep").alias("id"))
     both = probes.unionByName(members)
-    return _checked(both.select(F.concat_ws(":", "family", "p", "m").alias("block"), "role", "id"), texts, k, percent)
+    return _checked(both.select(F.concat_ws(":", "family", "p", "m").alias("block"), "role", "id"), texts, rank, k, percent)
 
 
-def _components(rows: DataFrame, full: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+def _components(rows: DataFrame, full: DataFrame, reps: DataFrame, rank, words: int, percent: int) -> DataFrame:
     """(node, component) of the linked sets. rows: (doc_id, text); full: sets that are not empty; reps: (sig, n, rep)."""
     tokens = full.filter("tokens is not null").select("doc_id", F.explode("tokens").alias("token"))
     shared = cut(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("crowd")).filter("crowd > 1").select("token"), "shared")
@@ -271,7 +280,7 @@ def _components(rows: DataFrame, full: DataFrame, reps: DataFrame, words: int, p
     likely = 2 * F.col("common") >= least(F.col("n"), F.col("pivot_n")) - tail(F.least("n", "pivot_n"))
     stars = stars.filter(likely | (F.col("crowd") > CROWD)).select(F.col("pivot").alias("probe"), F.col("rep").alias("member"))
     stars = cut(stars, "stars")
-    links = cut(verified(stars, texts_of(rows, stars.select(F.explode(F.array("probe", "member")).alias("id"))), words, percent), "links")
+    links = cut(verified(stars, texts_of(rows, stars.select(F.explode(F.array("probe", "member")).alias("id"))), rank, words, percent), "links")
     first = components(links)
     named = first.select("node", "component")
     family = crowd.select("pivot", "rep").distinct().join(named.select(F.col("node").alias("rep"), F.col("component").alias("of_rep")), "rep", "left").join(named.select(F.col("node").alias("pivot"), F.col("component").alias("of_pivot")), "pivot", "left")
@@ -288,21 +297,22 @@ def _components(rows: DataFrame, full: DataFrame, reps: DataFrame, words: int, p
     mixed = family.groupBy("family").agg(F.count_if(~F.col("own")).alias("n")).filter("n > 0").select("family")
     family = cut(family.join(cut(mixed, "mixed"), "family"), "families")
     texts = texts_of(rows, cross.select(F.explode(F.array("probe", "member")).alias("id")).union(family.select("rep")))
-    more = cut(verified(cross, texts, words, percent).unionByName(families_checked(family, texts, words, percent)), "links")
+    more = cut(verified(cross, texts, rank, words, percent).unionByName(families_checked(family, texts, rank, words, percent)), "links")
     return components(links.unionByName(more))
 
 
-def similarity_groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+def similarity_groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links), and key_col's column."""
     spark = docs.sparkSession
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), (docs[key_col] if key_col else F.lit(None)).cast("long").alias("key"))
     order = spark.sparkContext.broadcast(ranks(hashed_counts(rows, [BUCKETS], _sketch(words))[0]))
-    sets = cut(rows.mapInArrow(_prefixes(order, words, percent), "doc_id long, n long, sig binary, tokens array<long>"), "sets")
+    sets = cut(rows.mapInArrow(_prefixes(order, words, percent), "doc_id long, n long, sig binary, tokens array<long>, key long"), "sets")
     full = sets.filter("n > 0 and doc_id is not null")
     # Copies: equal sets go by the smallest doc_id from here on. Tokens are carried once per set and task.
     reps = cut(full.groupBy("sig", "n").agg(F.min("doc_id").alias("rep")), "reps")
-    groups = settled(lambda: _components(rows, full, reps, words, percent), "groups")
+    groups = settled(lambda: _components(rows.select("doc_id", "text"), full, reps, order, words, percent), "groups")
     of_set = reps.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select("sig", F.coalesce("component", "rep").alias("component"))
     of_set = cut(of_set, "classes")
-    out = sets.select("doc_id", "n", "sig").join(of_set, "sig", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = sets.select("doc_id", "n", "sig", "key").join(of_set, "sig", "left")
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "key")
+    return out.withColumnRenamed("key", key_col) if key_col else out.drop("key")
