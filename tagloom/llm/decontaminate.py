@@ -2,26 +2,27 @@
 
 Numbers, units after numbers, and names (capitalised words inside a sentence) become typed placeholders, all else is
 lower-cased and parted at punctuation. Windows of WINDOW words of the templates of both sides meet in a hash join; what
-agrees at one offset of document and item forms an alignment. In an alignment each value that an item holds in a slot
-must always face the same value of the document and the other way round, so a question with new numbers or names is
-caught while texts that only share a mould are not. A document is contaminated by an item when consistent alignments
-cover at least `coverage` of the item's windows.
+agrees at one offset of document and item forms an alignment. In an alignment a value that an item holds in a slot must
+always face the same value of the document, so a question with new numbers or names is caught while texts that only
+share a mould are not; where an alignment breaks this, only its windows whose values are all the item's own count. A
+document is contaminated by an item when consistent windows cover at least `coverage` of the item's windows.
 
-The benchmark's windows are broadcast only where their number times their width is under common.BROADCAST_LIMIT; beyond
-it the join shuffles both sides.
+All documents are read once for the join, whatever lengths items have, and the few with a hit once more to check the hits
+word by word. The benchmark's windows are broadcast only where their number times their width is under
+common.BROADCAST_LIMIT; beyond it the join shuffles both sides.
 
 Windows with fewer than LITERAL literal words would fit anything as templates, so they match on their values alone.
 
 Defined results: null or empty text has no windows; items shorter than WINDOW words are matched whole; items of fewer
-than LITERAL words or of numbers only are not used, since they fit anything;
-equal items each report; repeated rows of a doc_id count once; an empty table gives an empty result; further columns of
-either table are ignored.
+than LITERAL words or of numbers only are not used, since they fit anything, nor are rows of the benchmark without an
+item_id; equal items each report; repeated rows of a document count once; texts that share a doc_id (or have none, which
+counts as one) are judged one by one and share a row per item, that of the text which holds most of it; an empty table
+gives an empty result; further columns of either table are ignored, but the one of docs that `key_col` names takes part
+in the key.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +30,8 @@ from .common import bounded_broadcast, cut, text_of
 
 WINDOW = 8
 LITERAL = 3
-#: Bytes that one window row of the benchmark takes, at the most usual.
-WIDTH = 512
+#: Bytes that one window of the benchmark takes in memory, at the most usual: its hash and place, and with its words.
+WIDTH, WORDY = 64, 512
 #: Units that become placeholders behind a number.
 UNITS = (
     "mm cm dm m km inch inches foot feet ft yard yards yd mile miles mg g kg gram grams kilogram kilograms ton tons tonne tonnes oz ounce ounces lb lbs pound pounds ml cl l liter liters litre litres gallon gallons "
@@ -64,68 +65,66 @@ def literals(words: Column) -> Column:
     return F.size(F.filter(words, lambda w: w > "\x03"))
 
 
-def window_hashes(words: Column, own: Column, k: int) -> Column:
-    """Hashes of all windows of k template words, or of their values where fewer than LITERAL words are literal.
+def window_hashes(words: Column, own: Column, sizes: list[int]) -> Column:
+    """(k, at, hash) of all windows of k template words for each k, or of their values where fewer than LITERAL words are
+    literal.
 
     words are bound once; values, and the literals of each window, are looked at only in texts where slots stand dense
     enough for such a window.
     """
-    dense = f"(?:[\\x01-\\x03](?: [^\\x01-\\x03 ]+){{0,{LITERAL - 1}}} ?){{{max(1, k - LITERAL + 1)}}}"
 
-    def per(w: Column) -> Column:
+    def of_size(w: Column, k: int) -> Column:
+        dense = f"(?:[\\x01-\\x03](?: [^\\x01-\\x03 ]+){{0,{LITERAL - 1}}} ?){{{max(1, k - LITERAL + 1)}}}"
         starts = F.sequence(F.lit(1), F.size(w) - (k - 1))
-        plain = F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, k)))
-        either = lambda v: F.transform(starts, lambda i: F.when(literals(F.slice(w, i, k)) >= LITERAL, F.xxhash64(F.slice(w, i, k))).otherwise(F.xxhash64(F.slice(v, i, k), F.lit("values"))))
-        return F.when(F.size(w) >= k, F.when(F.array_join(w, " ").rlike(dense), F.element_at(F.transform(F.array(own), either), 1)).otherwise(plain))
+        row = lambda i, *x: F.struct(F.lit(k).alias("k"), (i - 1).alias("at"), F.xxhash64(*x).alias("hash"))
+        plain = F.transform(starts, lambda i: row(i, F.slice(w, i, k)))
+        either = lambda v: F.transform(starts, lambda i: F.when(literals(F.slice(w, i, k)) >= LITERAL, row(i, F.slice(w, i, k))).otherwise(row(i, F.slice(v, i, k), F.lit("values"))))
+        return F.when(F.size(w) >= k, F.when(F.array_join(w, " ").rlike(dense), F.element_at(F.transform(F.array(own), either), 1)).otherwise(plain)).otherwise(F.array().cast("array<struct<k:int,at:int,hash:bigint>>"))
 
-    return F.element_at(F.transform(F.array(words), per), 1)
+    return F.element_at(F.transform(F.array(words), lambda w: F.concat(*[of_size(w, k) for k in sizes])), 1)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per contaminated document and item: doc_id, item_id, n_matched, n_windows, coverage, exact."""
-    items = benchmark.select(benchmark[item_col].alias("item_id"), text_of(benchmark, item_text_col).alias("t"))
+def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """One row per contaminated document and item: doc_id, item_id, n_matched, n_windows, coverage, exact, and key_col's
+    column."""
+    items = benchmark.filter(benchmark[item_col].isNotNull()).select(benchmark[item_col].alias("item_id"), text_of(benchmark, item_text_col).alias("t"))
     items = items.select("item_id", template(marked(F.col("t"))).alias("item_words"), values(marked(F.col("t"))).alias("item_values")).distinct()
     items = items.filter((F.size("item_words") >= LITERAL) & F.exists("item_words", lambda w: w != "\x01"))
-    items = items.withColumn("k", F.least(F.size("item_words"), F.lit(WINDOW)))
-    sizes = sorted(r[0] for r in items.select("k").distinct().collect())
-    spark = docs.sparkSession
-    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id {benchmark.schema[item_col].dataType.simpleString()}, n_matched long, n_windows long, coverage double, exact boolean"
+    items = cut(items.withColumn("own_k", F.least(F.size("item_words"), F.lit(WINDOW))), "items")
+    sizes = sorted(r[0] for r in items.select("own_k").distinct().collect())
+    keys = ["doc_id", *([key_col] if key_col else [])]
     if not sizes:
-        return spark.createDataFrame([], schema)
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).filter("text is not null")
-    found = []
-    for k in sizes:
-        mine = items.filter(F.col("k") == k)
-        mine = mine.select("item_id", "item_words", "item_values", F.posexplode(window_hashes(F.col("item_words"), F.col("item_values"), k)).alias("item_at", "hash"))
-        slot = F.slice("item_words", F.col("item_at") + 1, k)
-        mine = mine.select("hash", "item_id", "item_at", slot.alias("slot"), F.slice("item_values", F.col("item_at") + 1, k).alias("item_values"))
-        # Explode carries ids and hashes only; texts of documents with a hit are fetched again afterwards.
-        at = F.posexplode(window_hashes(template(marked(F.col("text"))), values(marked(F.col("text"))), k)).alias("at", "hash")
-        met = rows.select("doc_id", at).join(bounded_broadcast(mine.select("hash", "item_id", "item_at"), mine.count(), WIDTH), "hash")
-        per_doc = met.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "item_at", "at")).alias("hits"))
-        per_doc = cut(per_doc, "hits")
-        # Equal hashes are checked word by word, for which the documents with a hit are parted into words once more.
-        ids = per_doc.select("doc_id")
-        words_of = rows.join(bounded_broadcast(ids, ids.count(), 16), "doc_id", "left_semi")
-        words_of = cut(words_of.select("doc_id", template(marked(F.col("text"))).alias("words"), values(marked(F.col("text"))).alias("values")), "words")
-        both = words_of.join(per_doc, "doc_id")
-        cutout = lambda h: F.struct(h["item_id"].alias("item_id"), h["item_at"].alias("item_at"), h["at"].alias("at"), F.slice("words", h["at"] + 1, k).alias("words"), F.slice("values", h["at"] + 1, k).alias("values"))
-        hits = both.select("doc_id", F.explode(F.transform("hits", cutout)).alias("h")).select("doc_id", "h.*")
-        hits = hits.join(bounded_broadcast(mine, mine.count(), WIDTH), ["item_id", "item_at"])
-        hits = hits.filter((F.col("words") == F.col("slot")) & ((literals(F.col("slot")) >= LITERAL) | (F.col("values") == F.col("item_values"))))
-        pairs = F.filter(F.transform(F.arrays_zip("slot", "item_values", "values"), lambda z: F.struct(z["slot"].alias("kind"), z["item_values"].alias("theirs"), z["values"].alias("ours"))), lambda z: z["kind"] <= "\x03")
-        found.append(hits.select("doc_id", "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), pairs.alias("pairs")))
-    hits = reduce(DataFrame.unionByName, found)
+        types = [docs.schema[id_col].dataType, *([docs.schema[key_col].dataType] if key_col else [])]
+        named = ", ".join(f"{k} {t.simpleString()}" for k, t in zip(keys, types, strict=True))
+        return docs.sparkSession.createDataFrame([], f"{named}, item_id {benchmark.schema[item_col].dataType.simpleString()}, n_matched long, n_windows long, coverage double, exact boolean")
+    rows = docs.select(docs[id_col].alias("doc_id"), *([docs[key_col]] if key_col else []), docs[text_col].alias("text")).filter("text is not null")
+    rows = rows.withColumn("doc", F.xxhash64(*keys, "text"))
+    mine = items.select("item_id", "own_k", "item_words", "item_values", F.explode(window_hashes(F.col("item_words"), F.col("item_values"), sizes)).alias("w")).filter("w.k = own_k")
+    mine = mine.select("w.hash", "w.k", "item_id", F.col("w.at").alias("item_at"), F.slice("item_words", F.col("w.at") + 1, F.col("own_k")).alias("slot"), F.slice("item_values", F.col("w.at") + 1, F.col("own_k")).alias("theirs"))
+    mine = cut(mine, "windows")
+    n_mine = mine.count()
+    # Explode carries keys and hashes only; texts of documents with a hit are fetched again afterwards.
+    each = rows.select("doc", F.explode(window_hashes(template(marked(F.col("text"))), values(marked(F.col("text"))), sizes)).alias("w")).select("doc", "w.*")
+    hits = cut(each.join(bounded_broadcast(mine.select("hash", "k", "item_id", "item_at"), n_mine, WIDTH), ["hash", "k"]).drop("hash"), "hits")
+    # Equal hashes are checked word by word, for which the documents with a hit are parted into words once more. A document
+    # has no more places than words, however many items meet there.
+    places = cut(hits.groupBy("doc").agg(F.collect_set(F.struct("k", "at")).alias("places")), "places")
+    words_of = rows.join(bounded_broadcast(places.select("doc"), places.count(), 16), "doc", "left_semi").dropDuplicates(["doc"])
+    words_of = words_of.select(*keys, "doc", template(marked(F.col("text"))).alias("words"), values(marked(F.col("text"))).alias("values"))
+    part = lambda p: F.struct(p["k"].alias("k"), p["at"].alias("at"), F.slice("words", p["at"] + 1, p["k"]).alias("words"), F.slice("values", p["at"] + 1, p["k"]).alias("ours"))
+    found = words_of.join(places, "doc").select(*keys, "doc", F.explode(F.transform("places", part)).alias("p")).select(*keys, "doc", "p.*")
+    met = found.join(hits, ["doc", "k", "at"]).join(bounded_broadcast(mine.drop("hash", "k"), n_mine, WORDY), ["item_id", "item_at"])
+    met = met.filter((F.col("words") == F.col("slot")) & ((literals(F.col("slot")) >= LITERAL) | (F.col("ours") == F.col("theirs"))))
+    pairs = F.filter(F.transform(F.arrays_zip("slot", "theirs", "ours"), lambda z: F.struct(z["slot"].alias("kind"), z["theirs"].alias("theirs"), z["ours"].alias("ours"))), lambda z: z["kind"] <= "\x03")
+    met = met.select("doc", *keys, "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), pairs.alias("pairs")).withColumn("exact", F.forall("pairs", lambda z: z["theirs"] == z["ours"]))
     # An alignment has each item position once, so what it gathers is bounded by the item's length.
-    aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("item_at").alias("ats"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
-    theirs = F.size(F.array_distinct(F.transform("pairs", lambda z: F.struct(z["kind"], z["theirs"]))))
-    ours = F.size(F.array_distinct(F.transform("pairs", lambda z: F.struct(z["kind"], z["ours"]))))
-    aligned = aligned.filter((theirs == F.size("pairs")) & (ours == F.size("pairs")))
-    aligned = aligned.withColumn("exact", F.forall("pairs", lambda z: z["theirs"] == z["ours"]))
-    # Alignments of one document and item are at most as many as the item has windows per occurrence; merged by counting.
-    per_at = aligned.select("doc_id", "item_id", F.explode("ats").alias("item_at"), "exact").groupBy("doc_id", "item_id", "item_at").agg(F.max("exact").alias("exact"))
-    per = per_at.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_matched"), F.min("exact").alias("exact"))
-    n_windows = items.groupBy("item_id").agg(F.max(F.size("item_words") - F.col("k") + 1).cast("long").alias("n_windows"))
-    n_items = benchmark.count()
-    out = per.join(bounded_broadcast(n_windows, n_items, 64), "item_id").withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
-    return out.filter(F.col("coverage") >= coverage).select("doc_id", "item_id", "n_matched", "n_windows", "coverage", "exact")
+    aligned = met.groupBy("doc", *keys, "item_id", "shift").agg(F.collect_set(F.struct("item_at", "pairs", "exact")).alias("windows"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("facing"))
+    same = lambda x, y: (x["kind"] == y["kind"]) & (x["theirs"] == y["theirs"])
+    clash = F.exists("facing", lambda x: F.size(F.filter("facing", lambda y: same(x, y))) > 1)
+    kept = F.when(clash, F.filter("windows", lambda w: w["exact"])).otherwise(F.col("windows"))
+    per_at = aligned.select("doc", *keys, "item_id", F.explode(kept).alias("w")).groupBy("doc", *keys, "item_id", F.col("w.item_at").alias("item_at")).agg(F.max("w.exact").alias("exact"))
+    per = per_at.groupBy("doc", *keys, "item_id").agg(F.count(F.lit(1)).alias("n_matched"), F.min("exact").alias("exact"))
+    per = per.groupBy(*keys, "item_id").agg(F.max(F.struct("n_matched", "exact")).alias("best")).select(*keys, "item_id", "best.*")
+    n_windows = items.groupBy("item_id").agg(F.max(F.size("item_words") - F.col("own_k") + 1).cast("long").alias("n_windows"))
+    out = per.join(bounded_broadcast(n_windows, n_mine, WIDTH), "item_id").withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
+    return out.filter(F.col("coverage") >= coverage).select(*keys, "item_id", "n_matched", "n_windows", "coverage", "exact")

@@ -173,15 +173,17 @@ def test_toxicity_edges(docs, rows, labels):
 
 
 @settings(max_examples=40, deadline=None)
-@given(st.lists(st.lists(st.integers(0, 2**64 - 1), max_size=20), min_size=1, max_size=4))
-def test_quotient_filters_merge(parts):
+@given(st.lists(st.lists(st.integers(0, 2**64 - 1), max_size=20), min_size=1, max_size=9), st.integers(4, 24))
+def test_quotient_filters_merge(parts, bits):
     small = [[x % 50 * 2**58 // 7 for x in p] for p in parts]
-    one, *rest = [exact_dedup.CountingQuotientFilter.of(np.array(p, np.uint64)) for p in small]
-    whole = one.merge(*rest)
+    merger = exact_dedup.Merger()
+    for p in small:
+        merger.add(exact_dedup.CountingQuotientFilter.of(np.array(p, np.uint64)))
+    whole = merger.whole()
     want = Counter(x for p in small for x in p)
     assert dict(zip(whole.fingerprints().tolist(), whole.counts.tolist(), strict=True)) == dict(want)
-    again = [exact_dedup.CountingQuotientFilter.read(b) for _, b in whole.blocks()]
-    assert sum((x.fingerprints().tolist() for x in again), []) == sorted(want)
+    again = [exact_dedup.CountingQuotientFilter.read(b) for _, b in whole.blocks(bits)]
+    assert sum((x.fingerprints().tolist() for x in again), []) == sorted(want) and [n for x in again for n in x.counts.tolist()] == [want[f] for f in sorted(want)]
 
 
 def test_exact_dedup(rows, docs, empty):
@@ -198,7 +200,18 @@ def test_exact_dedup(rows, docs, empty):
         assert r.text_sha256 == hashlib.sha256(norm(rows[r.doc_id][1]).encode()).hexdigest()
     assert exact_dedup.exact_groups(empty).count() == 0
     twice = exact_dedup.exact_groups(docs.filter("doc_id = 5").unionByName(docs.filter("doc_id = 5"))).collect()
-    assert [r.group_size for r in twice] == [2, 2]
+    assert [r.group_size for r in twice] == [2, 2] and sorted(r.kept for r in twice) == [False, True]
+
+
+def test_exact_dedup_ids(spark):
+    """Exactly one row of each group stays, whatever ids are missing or repeated; the key goes along."""
+    texts = [(None, "a b"), (3, "ab"), (3, "ab"), (None, "ab "), (7, "a  b"), (7, "a  b"), (None, "c"), (None, "c"), (8, "d"), (None, None), (9, "")]
+    d = spark.createDataFrame([(i, t, "", "", 0, str(k), k) for k, (i, t) in enumerate(texts)], SCHEMA).repartition(4)
+    got = sorted(exact_dedup.exact_groups(d, key_col="hash").collect(), key=lambda r: r.hash)
+    assert [r.hash for r in got] == list(range(len(texts)))
+    assert [r.keep_id for r in got] == [7] * 6 + [None, None, 8, 9, 9] and [r.group_size for r in got] == [6] * 6 + [2, 2, 1, 2, 2]
+    kept = [r.hash for r in got if r.kept]
+    assert len(kept) == 4 and kept[0] in (4, 5) and kept[1] in (6, 7) and kept[2:] == [8, 10]
 
 
 def test_quality_held_out(spark):
@@ -246,6 +259,27 @@ def test_substring_dedup(rows, docs, empty):
     assert substring_dedup.removed(docs.withColumn("doc_id", F.lit(None).cast("long"))).filter("n_removed > 0").count() == 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 40), st.lists(st.tuples(st.integers(0, 39), st.integers(1, 25)), max_size=8))
+def test_greedy_factors(n, found):
+    """Factors cover what the matches cover, follow one another, and each reaches as far as any match there."""
+    spans = [(a, min(n, a + k)) for a, k in found if a < n]
+    got = substring_dedup.factored(n, np.array([a for a, _ in spans], np.int64), np.array([b for _, b in spans], np.int64))
+    assert {i for a, b in got for i in range(a, b)} == {i for a, b in spans for i in range(a, b)}
+    assert all(x[1] <= y[0] for x, y in zip(got, got[1:], strict=False))
+    assert all(b == max(y for x, y in spans if x <= a < y) for a, b in got)
+
+
+def test_spread_join(spark):
+    """A third of all rows under one key are dealt over tasks, and nothing is lost or doubled."""
+    rows = spark.range(6000).select(F.col("id"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 700).alias("k"))
+    per = common.cut(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")))
+    for how in ("inner", "left"):
+        got = common.spread_join(rows, per.filter("k < 500"), ["k"], ["id"], how=how)
+        want = rows.join(per.filter("k < 500"), "k", how)
+        assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect(), key=lambda r: tuple(r)) if how == "inner" else got.count() == 6000
+
+
 def test_substring_dedup_repeats_inside_a_document(spark):
     """Lines and passages that one document repeats and smaller ones hold with other neighbours."""
     rng, words = random.Random(11), vocabulary(300, 3)
@@ -291,6 +325,18 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_ids_and_slots(spark):
+    """Documents without an id, repeated ids, items of all lengths, and slots that disagree in part."""
+    items = {1: "Anna sold 3 red and 5 blue balls to her brother Tom on a sunny day in May", 2: "how many stars are there", 3: "long way to go", 4: " ".join(f"word{chr(97 + i)}" for i in range(12))}
+    bench = spark.createDataFrame([*items.items(), (None, items[4])], "item_id long, text string")
+    rows = [(None, f"x {items[4]} y"), (None, f"x {items[4]} y"), (5, items[2]), (5, items[3]), (5, "nothing"), (None, "nothing"), (6, "we saw Anna sold 4 red and 4 blue balls to her brother Jim on a sunny day in May"), (7, items[1] + " then " + items[2])]
+    d = spark.createDataFrame([(i, t, "", "", 0, "", k) for k, (i, t) in enumerate(rows)], SCHEMA)
+    got = [(r.doc_id, r.item_id, r.exact) for r in decontaminate.contaminated(d, bench).collect()]
+    assert sorted(got, key=str) == sorted([(None, 4, True), (5, 2, True), (5, 3, True), (6, 1, False), (7, 1, True), (7, 2, True)], key=str)
+    keyed = {r.hash for r in decontaminate.contaminated(d, bench, key_col="hash").collect()}
+    assert keyed == {0, 1, 2, 3, 6, 7}
+
+
 def test_decontamination_of_literal_poor_items(spark):
     """Windows that are mostly numbers or names match as they are, and only so."""
     items = ["Compute 12 + 7 * 3 - 4 = 29 and 8 / 2 + 1 = 5", "these: Anna Berta Carla Dora Emma Frida Greta Hanna Ida", "meet Tom Baker", "12 3"]
@@ -570,6 +616,17 @@ def test_jaccard_crowds(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_groups(rows, 4, 85)
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (3, 2, 1, 0), (1, 0, 2, 3)])
+def test_jaccard_null_ids(spark, order):
+    """Rows without an id link nothing and take no links from others, wherever they come."""
+    words = vocabulary(60, 3)
+    near = words[:50] + ["x"]
+    rows = [(None, " ".join(words[:50])), (1, " ".join(words[:50])), (2, " ".join(near)), (None, "only here and nowhere else at all")]
+    d = spark.createDataFrame([(rows[k][0], rows[k][1], "", "", 0, "", k) for k in order], SCHEMA).coalesce(1)
+    got = {r.hash: (r.doc_id, r.component_id) for r in jaccard_join.similarity_groups(d, 4, 85, key_col="hash").collect()}
+    assert got == {0: (None, 1), 1: (1, 1), 2: (2, 1), 3: (None, None)}
+
+
 def test_jaccard_edges(spark, empty):
     assert jaccard_join.similarity_groups(empty).count() == 0
     odd = spark.createDataFrame([(7, "a b", "", "", 0, "", 0), (8, "A  b", "", "", 0, "", 0), (9, None, "", "", 0, "", 0), (10, "", "", "", 0, "", 0), (7, "a b", "", "", 0, "", 0)], SCHEMA)
