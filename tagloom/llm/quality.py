@@ -2,16 +2,21 @@
 
 Two generative models over hashed n-grams (words and punctuation runs, and pairs of neighbours), one of target text
 (documents labelled good, a sample bounded by `sample` rows), one of raw text (all documents), give every document a
-log importance weight: the sum over its n-grams of log p_target - log p_raw. Documents are then sampled without
-replacement by Gumbel top-k: key = weight / temperature + Gumbel noise by hash of the id, the k largest keys stay. The
-weight is taken per n-gram (with SHORT further n-grams of weight 0, so a few words cannot decide), so long documents are not
-favoured; k is the number of documents whose weight passes the cut that best parts the labels of the sample's second
-half, which the target model has not seen.
+weight: the mean over its n-grams of log p_target - log p_raw (with SHORT further n-grams of weight 0, so a few words
+cannot decide). Documents are then resampled without replacement by Gumbel top-k: key = `length` * weight + Gumbel noise by
+hash of the id, the k largest keys stay. That is the log importance weight of a text of `length` n-grams with the
+document's mean, so all documents are judged as if they were of one length; sums over their own n-grams would draw by
+length first. As with sums, the noise (deviation 1.28) is small against the weights of long texts: it decides among
+documents whose means differ by about 1 / length, that is near the cut, and leaves clear cases alone, which a filter that
+must keep clean documents needs. A smaller `length` resamples more freely. k is the number of documents whose weight passes the
+cut that best parts the labels of the sample's second half, which the target model has not seen.
 
 The k-th key is found by counting keys in ever finer histograms, never by a global sort.
 
 Defined results: null text is empty; a text without n-grams is not kept; ties at the cut are all kept; repeated rows
-share key and fate; with no labels all non-empty documents stay; an empty table gives an empty result.
+share key and fate; rows without a doc_id have no label and share one draw of noise; doc_ids are taken as longs; with no
+labels all non-empty documents stay; an empty table gives an empty result; further columns of the input are ignored, but
+the one that `key_col` names is handed on.
 """
 
 from __future__ import annotations
@@ -54,7 +59,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def importance(docs: DataFrame, labels: DataFrame, sample: int = 20_000, smooth: float = 3.0) -> tuple[DataFrame, bool]:
-    """(doc_id, weight, n_grams, label) and whether there were any good and bad labels."""
+    """(doc_id, weight, n_grams, label, key_of) of rows (doc_id, text, key_of), and whether there were any good and bad labels."""
     ids, marks = sample_labels(labels, "quality", sample)
     seen = (ids.view(np.uint64) * np.uint64(2654435761) >> np.uint64(7)) % np.uint64(2) == 0
     good, judged = ids[seen & (marks > 0.5)], (ids[~seen], marks[~seen])
@@ -88,10 +93,10 @@ def importance(docs: DataFrame, labels: DataFrame, sample: int = 20_000, smooth:
                 n = np.diff(bounds) + np.diff(pair_bounds)
                 rows = slice(at, at + len(offsets) - 1)
                 mark = label_at(all_ids[rows], *judged)
-                yield pa.record_batch([b.column(0)[rows.start : rows.stop], pa.array(w / (n + SHORT)), pa.array(n.astype(np.int64)), pa.array(mark, mask=np.isnan(mark))], ["doc_id", "weight", "n_grams", "label"])
+                yield pa.record_batch([b.column(0)[rows], pa.array(w / (n + SHORT)), pa.array(n.astype(np.int64)), pa.array(mark, mask=np.isnan(mark)), b.column(2)[rows]], ["doc_id", "weight", "n_grams", "label", "key_of"])
 
     both_kinds = bool(len(good) and (judged[1] > 0.5).any() and (judged[1] <= 0.5).any())
-    return docs.mapInArrow(score, "doc_id long, weight double, n_grams long, label double"), both_kinds
+    return docs.mapInArrow(score, "doc_id long, weight double, n_grams long, label double, key_of long"), both_kinds
 
 
 def best_cut(weights: np.ndarray, good: np.ndarray) -> float:
@@ -129,20 +134,20 @@ def kth_largest(keys: DataFrame, k: int, bins: int = 4096, rounds: int = 6) -> f
     return low
 
 
-def classify(docs: DataFrame, labels: DataFrame, sample: int = 20_000, temperature: float = 0.002, seed: str = "gumbel", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, weight (mean log importance), n_grams, key, kept."""
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+def classify(docs: DataFrame, labels: DataFrame, sample: int = 20_000, length: float = 500.0, seed: str = "gumbel", id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """One row per document: doc_id, weight (mean log importance), n_grams, key, kept, and key_col's column."""
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), (docs[key_col] if key_col else F.lit(None)).cast("long").alias("key_of"))
     scored, both = importance(rows, labels, sample)
     scored = cut(scored, "weights")
-    if not both:
-        return scored.select("doc_id", "weight", "n_grams", F.col("weight").alias("key"), (F.col("n_grams") > 0).alias("kept"))
-    marked = np.array(scored.filter("label is not null and n_grams > 0").select("weight", "label").limit(2 * sample).collect(), float).reshape(-1, 2)
-    if not len(marked):
-        return scored.select("doc_id", "weight", "n_grams", F.col("weight").alias("key"), (F.col("n_grams") > 0).alias("kept"))
-    edge = best_cut(marked[:, 0], marked[:, 1] > 0.5)
-    gumbel = -F.log(-F.log(unit_hash(seed, F.coalesce("doc_id", F.lit(-1)))))
-    keyed = scored.withColumn("key", F.col("weight") / F.lit(temperature) + gumbel)
-    full = keyed.filter("n_grams > 0")
-    k = full.filter(F.col("weight") > edge).count()
-    least = kth_largest(full, k)
-    return keyed.select("doc_id", "weight", "n_grams", "key", ((F.col("n_grams") > 0) & (F.col("key") >= F.lit(least))).alias("kept"))
+    some = F.col("n_grams") > 0
+    # The judged half of the sample: as many documents at most; rows that share an id count once, with the best weight.
+    marked = scored.filter("label is not null and n_grams > 0").groupBy("doc_id").agg(F.max("weight"), F.max("label")).collect() if both else []
+    if marked:
+        edge = best_cut(np.array([r[1] for r in marked]), np.array([r[2] for r in marked]) > 0.5)
+        gumbel = -F.log(-F.log(unit_hash(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit("none")))))
+        scored = scored.withColumn("key", F.col("weight") * F.lit(float(length)) + gumbel)
+        k = scored.filter(some & (F.col("weight") > edge)).count()
+        kept = some & (F.col("key") >= F.lit(kth_largest(scored.filter(some), k)))
+    else:
+        scored, kept = scored.withColumn("key", F.col("weight")), some
+    return scored.select("doc_id", "weight", "n_grams", "key", kept.alias("kept"), *([F.col("key_of").alias(key_col)] if key_col else []))
