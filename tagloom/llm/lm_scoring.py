@@ -2,9 +2,10 @@
 
 Two bigram models with one vocabulary, one order and one smoothing: the target model is counted on all documents labelled
 good (of several labels of one document the mean counts), the background model on every document. A document's score is the mean over
-its words of target loss minus background loss, in nats; lower is more like the target. The models are matched:
-background counts are scaled to the target's total, and a document's own n-grams are left out of both models (of the
-target where it is labelled good), so documents the models were counted on are not favoured.
+its words of target loss minus background loss, in nats; lower is more like the target. The models are matched in all
+but their counts: vocabulary, order and smoothing are one and the same, so what a single occurrence weighs against the
+smoothing is the same in both. A document's own n-grams are left out of both models (of the target where it is labelled
+good), so documents the models were counted on are not favoured.
 
 Every n-gram has its own counter, told apart by 56-bit hashes. Documents are dealt into chunks; a chunk sends its different
 n-grams, sorted and packed, in ranges of hashes to where each range is added up over all chunks, and gets the sums back in
@@ -12,8 +13,9 @@ the same order. So the counts are a distributed table that grows with the input,
 at a time, and a common n-gram is one entry of a chunk. Ids of good documents go to the chunks; nothing is broadcast.
 
 Defined results: null text is empty and scores 0 with 0 words; a text of one word is scored by the unigram models; with
-no document labelled good the target is the whole corpus and all scores are 0; repeated rows score alike; an empty table
-gives an empty result.
+no document labelled good the target is the whole corpus and all scores are 0; repeated rows score alike; rows without a
+doc_id are never labelled; doc_ids are taken as longs; an empty table gives an empty result; further columns of the input
+are ignored.
 """
 
 from __future__ import annotations
@@ -62,7 +64,9 @@ def own(items: np.ndarray, text: np.ndarray, size: int) -> np.ndarray:
 def losses(word_n: np.ndarray, before_n: np.ndarray, pair_n: np.ndarray, total: np.ndarray, follows: np.ndarray, vocabulary: int) -> np.ndarray:
     """Loss of each word from counts of the word, of the word before it, of both, and of all words."""
     alone = (word_n + 1.0) / (total + vocabulary)
-    return -np.log(np.where(follows, (pair_n + BACKOFF * alone) / (before_n + BACKOFF), alone))
+    # Words that begin their text have no word before them; what stands in before_n there is not theirs.
+    before = np.where(follows, before_n, 0)
+    return -np.log(np.where(follows, (pair_n + BACKOFF * alone) / (before + BACKOFF), alone))
 
 
 def packed(*columns: np.ndarray) -> bytes:
@@ -141,7 +145,6 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _score(total: int, back_total: int, vocabulary: int, whole: bool):
     """A chunk's documents, and its sums and good ids: the documents' scores. whole: the target is the whole corpus."""
-    scale = total / max(back_total, 1)
 
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         names = ["doc_id", "n_words", "target_loss", "background_loss", "difference"]
@@ -164,7 +167,7 @@ def _score(total: int, back_total: int, vocabulary: int, whole: bool):
         mine = np.ones(len(n), bool) if whole else marked_good(docs, known.column("doc_id").combine_chunks())
         part = mine[text]
         t = losses(target[w] - part * own_w, target[before] - part * own_before, target[p] - part * own_p, total - (mine * n)[text], follows, vocabulary)
-        g = losses((back[w] - own_w) * scale, (back[before] - own_before) * scale, (back[p] - own_p) * scale, total - (n * scale)[text], follows, vocabulary)
+        g = losses(back[w] - own_w, back[before] - own_before, back[p] - own_p, back_total - n[text], follows, vocabulary)
         t, g = (sums_by_text(x, bounds) / np.maximum(n, 1) for x in (t, g))
         return pa.table([docs.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(t), pa.array(g), pa.array(t - g)], names)
 
