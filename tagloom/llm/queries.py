@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_dir, table
+from .common import shared_dir, table
 from .decontaminate import contaminated
 from .exact_dedup import exact_groups
 from .html_extract import extract
@@ -32,7 +32,9 @@ def quality_weights(labels: DataFrame) -> DataFrame:
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    out = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), cache=f"{scratch_dir(spark)}/token-cache")
+    # The cache stays for later runs. This tokenizer turns white space into one space and never joins over it.
+    cache = spark.conf.get("spark.tagloom.tokenCache", None) or f"{shared_dir(spark)}/tagloom-token-cache"
+    out = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), cache, spaces=True, pieces=True)
     return out.withColumn("over_limit", F.col("n_tokens") > OVER_LIMIT)
 
 
@@ -46,8 +48,8 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Labels only say toxic or not; toxic documents with many telling features make the higher grades.
-    return severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", degrees=(8, 16))
+    # Labels only say toxic or not, so toxic documents are parted into three grades.
+    return severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", degrees=3)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

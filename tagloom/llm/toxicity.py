@@ -6,12 +6,17 @@ its expected severity, the sum of these probabilities.
 
 The model is fitted on a sample bounded by `sample` rows (by hash of the id); features are the words that tell the
 grades of the sample apart. Besides words, the first PREFIX bytes of longer words are features, so inflected and
-compounded forms of a stem share its weight. Where labels only say toxic or not, `degrees` grades the toxic ones of the
-sample by how many telling features they hold: one grade more for each number reached. Scoring covers every word of every document; the broadcast weights have a fixed size.
+compounded forms of a stem share its weight. Scoring covers every word of every document; the broadcast weights have a
+fixed size.
+
+Where labels only say toxic or not, `degrees` above 1 parts the toxic documents of the sample into so many grades of equal
+size, by how many features of a lexicon of toxic words they hold. The sample is split in two for that: a half's
+lexicon is learned on the other half, so no document's grade comes from words that its own label made telling.
 
 Defined results: null or empty text has no features and gets the severity of an empty text; documents flag at
 P(grade >= 1) >= `flag_at`; with no labels, or one grade only, nothing is flagged and severity is 0; repeated rows score
-alike; an empty table gives an empty result.
+alike; rows without a doc_id are scored but never labelled; doc_ids are taken as longs; an empty table gives an empty
+result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .hashed import hashed_counts, sample_labels
+from .hashed import hashed_counts, ids_of, sample_labels
 
 BUCKETS = 1 << 20
 #: Lengths in bytes of word beginnings that are features of their own.
@@ -105,7 +110,12 @@ def telling(df: np.ndarray, hit: np.ndarray, n: int, pos: int, least: int, most:
     return found[np.argsort(-chi[found])][:most]
 
 
-def fit(docs: DataFrame, labels: DataFrame, grade: str, sample: int = 20_000, features: int = 4096, degrees: tuple[int, ...] = ()) -> OrdinalModel | None:
+def half(ids: np.ndarray) -> np.ndarray:
+    """0 or 1 for each id, by hash."""
+    return (wordhash.mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(2)).astype(np.int64)
+
+
+def fit(docs: DataFrame, labels: DataFrame, grade: str, sample: int = 20_000, features: int = 4096, degrees: int = 1) -> OrdinalModel | None:
     """docs: (doc_id, text). None if the sample has one grade only."""
     ids, marks = sample_labels(labels, grade, sample)
     grades_of = np.round(marks).astype(np.int64)
@@ -119,40 +129,50 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str, sample: int = 20_000, fe
 
     def both(ids_: np.ndarray, data: np.ndarray, offsets: np.ndarray):
         t, f = presence(data, offsets)
-        severe = np.isin(ids_, severe_ids)
-        yield 0, f.view(np.uint64)
-        yield 1, f[severe[t]].view(np.uint64)
-        yield 2, np.where(severe, 1, 0).view(np.uint64)
-
-    df, hit, sizes = hashed_counts(mine, [BUCKETS, BUCKETS, 2], both)
-    n, pos = int(sizes.sum()), int(sizes[1])
+        severe, part = np.isin(ids_, severe_ids), half(ids_)
+        for h in (0, 1):
+            yield 2 * h, f[part[t] == h].view(np.uint64)
+            yield 2 * h + 1, f[severe[t] & (part[t] == h)].view(np.uint64)
+        yield 4, (2 * part + severe).view(np.uint64)
+
+    *counts, sizes = hashed_counts(mine, [BUCKETS] * 4 + [4], both)
+    n, pos = int(sizes.sum()), int(sizes[1] + sizes[3])
     if not 0 < pos < n:
         return None
-    chosen = telling(df, hit, n, pos, max(5, n // 2000), features)
+    chosen = telling(counts[0] + counts[2], counts[1] + counts[3], n, pos, max(5, n // 2000), features)
     keep = np.zeros(BUCKETS, bool)
     keep[chosen] = True
-    worse = np.zeros(BUCKETS, bool)
-    worse[chosen] = hit[chosen] * n > df[chosen] * pos
+    lexicon = np.zeros((2, BUCKETS), bool)
+    for h in (0, 1):
+        df, hit, n_h, pos_h = counts[2 * h], counts[2 * h + 1], int(sizes[2 * h] + sizes[2 * h + 1]), int(sizes[2 * h + 1])
+        if 0 < pos_h < n_h:
+            found = telling(df, hit, n_h, pos_h, max(5, n_h // 2000), features)
+            # It judges the documents of the other half.
+            lexicon[1 - h, found[hit[found] * n_h > df[found] * pos_h]] = True
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            all_ids = ids_of(b)
             for at, data, offsets in wordhash.chunks(b.column(1)):
                 k = len(offsets) - 1
-                t, f = presence(data, offsets, keep)
+                t, f = presence(data, offsets)
+                held = np.bincount(t, lexicon[half(all_ids[at : at + k])[t], f], k)
+                t, f = t[keep[f]], f[keep[f]]
                 ends = np.searchsorted(t, np.arange(k + 1))
-                yield pa.record_batch([b.column(0)[at : at + k], pa.array([f[x:y].astype(np.int32).tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], ["doc_id", "features"])
+                yield pa.record_batch([b.column(0)[at : at + k], pa.array([f[x:y].astype(np.int32).tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary()), pa.array(held)], ["doc_id", "features", "held"])
 
-    got = mine.mapInArrow(pick, "doc_id long, features binary").groupBy("doc_id").agg(F.max("features").alias("features")).collect()
+    got = mine.mapInArrow(pick, "doc_id long, features binary, held double").groupBy("doc_id").agg(F.max(F.struct("features", "held")).alias("x")).select("doc_id", "x.*").collect()
     grades = grades_of[np.searchsorted(ids, np.array([r[0] for r in got], np.int64))]
     parts = [np.frombuffer(r[1], np.int32) for r in got]
     rows, cols = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.concatenate(parts).astype(np.int64)
-    held = np.bincount(rows[worse[cols]], minlength=len(grades))
-    for d in degrees:
-        grades = grades + ((grades > 0) & (held >= d))
+    if degrees > 1 and grades.max() == 1:
+        held, toxic = np.array([r[2] for r in got]), grades > 0
+        edges = np.quantile(held[toxic], np.arange(1, degrees) / degrees)
+        grades = grades + toxic * (held[:, None] > edges[None, :]).sum(1)
     return OrdinalModel.fit(rows, cols, grades)
 
 
-def severity(docs: DataFrame, labels: DataFrame, grade: str = "grade", sample: int = 20_000, flag_at: float = 0.5, degrees: tuple[int, ...] = (), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def severity(docs: DataFrame, labels: DataFrame, grade: str = "grade", sample: int = 20_000, flag_at: float = 0.5, degrees: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, expected_severity, p_toxic (grade >= 1), grade (most likely), toxic."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     model = fit(rows, labels, grade, sample, degrees=degrees)
