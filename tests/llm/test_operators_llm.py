@@ -104,6 +104,18 @@ def test_token_counts(spark, docs, rows, empty, tmp_path):
         assert token_counts.token_counts(empty, path, cache, spaces=spaces).count() == 0
 
 
+def test_token_cache_outlives_the_run(spark, monkeypatch):
+    """A second run of the query reads the counts of the first and encodes nothing."""
+    from tagloom.llm import queries
+
+    first = {r.doc_id: r.n_tokens for r in queries.op1_token_counts(spark, "/root/testdata/sf0.001").collect()}
+    cache = f"{common.shared_dir(spark)}/tagloom-token-cache"
+    n = spark.read.parquet(cache).count()
+    monkeypatch.setattr(token_counts, "encoder", lambda path, pieces: lambda batches: (1 / 0 for b in batches if b.num_rows))
+    assert {r.doc_id: r.n_tokens for r in queries.op1_token_counts(spark, "/root/testdata/sf0.001").collect()} == first
+    assert spark.read.parquet(cache).count() == n
+
+
 def test_sentencepiece_counts(docs, rows, tmp_path):
     import public_tokenizers
     import sentencepiece
@@ -159,7 +171,7 @@ def test_toxicity_held_out(spark, empty, labels):
     sf = "/root/testdata/sf0.1"
     d, lab = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     fit_on, judge = lab.filter("doc_id % 4 != 0"), lab.filter("doc_id % 4 = 0")
-    got = toxicity.severity(d, fit_on, "toxic", degrees=(8, 16)).join(judge.withColumnRenamed("toxic", "true"), "doc_id").select("toxic", "true", "expected_severity").collect()
+    got = toxicity.severity(d, fit_on, "toxic", degrees=3).join(judge.withColumnRenamed("toxic", "true"), "doc_id").select("toxic", "true", "expected_severity").collect()
     hit, flagged, real = sum(r.toxic and r["true"] for r in got), sum(r.toxic for r in got), sum(r["true"] for r in got)
     assert hit / flagged > 0.9 and hit / real > 0.75  # a few labels in a hundred are wrong
     assert toxicity.severity(empty, labels, "toxic").count() == 0
@@ -172,6 +184,37 @@ def test_toxicity_edges(docs, rows, labels):
     assert len(none) == len(rows) and not any(r.toxic for r in none)
 
 
+def toxic_corpus(spark, n=600):
+    """Toxic documents hold one to nine of twenty bad words, with the number as a grade that the labels do not tell."""
+    rng, words, bad = random.Random(3), vocabulary(300, 3), [f"bad{w}" for w in vocabulary(20, 4)]
+    texts, amount = {}, {}
+    for i in range(n):
+        amount[i] = rng.choice((1, 4, 9)) if i % 3 == 0 else 0
+        w = [rng.choice(words) for _ in range(60)] + rng.sample(bad, amount[i])
+        rng.shuffle(w)
+        texts[i] = " ".join(w)
+    rows = [(i, t, "", "", 0, "", 0) for i, t in texts.items()] + [(None, texts[0], "", "", 0, "", 0)]
+    lab = spark.createDataFrame([(i, int(amount[i] > 0)) for i in range(n)], "doc_id long, toxic int")
+    return spark.createDataFrame(rows, SCHEMA).repartition(3), lab, texts, amount
+
+
+def test_toxicity_grades(spark):
+    """Scores are the model's, computed here for each text by itself, and severity follows how toxic a text is."""
+    d, lab, texts, amount = toxic_corpus(spark)
+    got = toxicity.severity(d, lab, "toxic", degrees=3).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == len(texts) + 1 and by[None].expected_severity == by[0].expected_severity
+    model = toxicity.fit(d.select("doc_id", "text"), lab, "toxic", degrees=3)
+    assert len(model.thresholds) == 3 and np.all(np.diff(model.thresholds) > 0)
+    for i, t in texts.items():
+        raw = t.encode()
+        _, f = toxicity.presence(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        p = 1 / (1 + np.exp(model.thresholds - sum(float(model.weights[x]) for x in sorted(set(f.tolist())))))
+        assert by[i].expected_severity == pytest.approx(p.sum(), abs=1e-4)
+    mean = {n: np.mean([by[i].expected_severity for i in texts if amount[i] == n]) for n in (0, 1, 4, 9)}
+    assert mean[0] < mean[1] < mean[4] < mean[9]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2**64 - 1), max_size=20), min_size=1, max_size=9), st.integers(4, 24))
 def test_quotient_filters_merge(parts, bits):
@@ -222,6 +265,40 @@ def test_quality_held_out(spark):
     assert sum(good) / len(good) > 0.97 and sum(bad) / len(bad) < 0.06
 
 
+def test_quality_weights_and_draw(spark):
+    """Brute force of both models, of all weights and of the draw; a small length lets the noise decide."""
+    rng, words = random.Random(6), vocabulary(80, 6)
+    texts = {i: " ".join(rng.choice(words[:50] if i % 2 else words[30:]) for _ in range(rng.randint(0, 60))) + " " + str(i) for i in range(400)}
+    d = spark.createDataFrame([(i, t, "", "", 0, "", i) for i, t in texts.items()], SCHEMA).repartition(3)
+    lab = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+
+    def grams(t):
+        raw = t.encode()
+        h, _, pairs, _ = quality.features(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        return [Counter((x % quality.BUCKETS for x in v.tolist())) for v in (h, pairs)]
+
+    each = {i: grams(t) for i, t in texts.items()}
+    ids = np.arange(300)
+    seen = (ids.astype(np.uint64) * np.uint64(2654435761) >> np.uint64(7)) % np.uint64(2) == 0
+    good = [i for i in ids[seen].tolist() if i % 2]
+    raw, target = ([sum((each[i][k] for i in which), Counter()) for k in (0, 1)] for which in (each, good))
+
+    def log_ratio(k, x):
+        p = (raw[k][x] + 1) / (sum(raw[k].values()) + quality.BUCKETS)
+        return np.log((target[k][x] + 3 * quality.BUCKETS * p) / (sum(target[k].values()) + 3 * quality.BUCKETS)) - np.log(p)
+
+    weight = {i: sum(n * log_ratio(k, x) for k in (0, 1) for x, n in c[k].items()) / (sum(sum(v.values()) for v in c) + quality.SHORT) for i, c in each.items()}
+    for length in (500.0, 2.0):
+        got = {r.doc_id: r for r in quality.classify(d, lab, length=length, key_col="hash").collect()}
+        assert all(r.weight == pytest.approx(weight[i], abs=1e-5) and r.hash == i for i, r in got.items())
+        noise = {i: r.key - length * r.weight for i, r in got.items()}
+        assert len(set(noise.values())) > 300 and abs(np.mean(list(noise.values())) - 0.5772) < 0.3
+        kept, n = {i for i, r in got.items() if r.kept}, sum(r.kept for r in got.values())
+        assert kept == set(sorted(got, key=lambda i: -got[i].key)[:n])
+        plain = set(sorted(got, key=lambda i: -got[i].weight)[:n])
+        assert (len(kept & plain) < 0.9 * n) == (length == 2.0)
+
+
 def test_quality_edges(docs, rows, empty, labels):
     got = quality.classify(docs, labels).collect()
     assert len(got) == len(rows) and not any(r.kept for r in got if not (rows[r.doc_id][1] or "").strip())
@@ -411,20 +488,20 @@ def test_lm_counts_are_exact(spark, monkeypatch):
     grams = {i: (Counter(w), Counter(zip(w, w[1:], strict=False))) for i, w in texts.items()}
     good = {i for i in range(0, 200) if i % 3 == 0}
     models = [[sum((grams[i][k] for i in ids), Counter()) for k in (0, 1)] for ids in (good, texts)]
-    total, back = (sum(m[0].values()) for m in models)
 
-    def loss(i, model, left_out, scale):
+    def loss(i, model, left_out):
         (c1, c2), (o1, o2), w = model, grams[i] if left_out else (Counter(), Counter()), texts[i]
-        alone = lambda x: ((c1[x] - o1[x]) * scale + 1) / (total - sum(o1.values()) * scale + lm_scoring.WORDS)
-        pair = lambda x, y: ((c2[x, y] - o2[x, y]) * scale + lm_scoring.BACKOFF * alone(y)) / ((c1[x] - o1[x]) * scale + lm_scoring.BACKOFF)
+        total = sum(c1.values()) - sum(o1.values())
+        alone = lambda x: (c1[x] - o1[x] + 1) / (total + lm_scoring.WORDS)
+        pair = lambda x, y: (c2[x, y] - o2[x, y] + lm_scoring.BACKOFF * alone(y)) / (c1[x] - o1[x] + lm_scoring.BACKOFF)
         return -sum(np.log([alone(w[0]), *(pair(x, y) for x, y in zip(w, w[1:], strict=False))])) / len(w) if w else 0.0
 
     got = lm_scoring.cross_entropy_difference(d, lab).collect()
     assert len(got) == len(texts)
     for r in got:
         assert r.n_words == len(texts[r.doc_id])
-        assert r.target_loss == pytest.approx(loss(r.doc_id, models[0], r.doc_id in good, 1.0), abs=1e-9)
-        assert r.background_loss == pytest.approx(loss(r.doc_id, models[1], True, total / back), abs=1e-9)
+        assert r.target_loss == pytest.approx(loss(r.doc_id, models[0], r.doc_id in good), abs=1e-9)
+        assert r.background_loss == pytest.approx(loss(r.doc_id, models[1], True), abs=1e-9)
 
 
 def test_lm_target_is_every_good_document(spark, docs, rows):

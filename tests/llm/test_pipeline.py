@@ -65,6 +65,17 @@ def test_odd_documents(spark, rows):
     docs.collect()
 
 
+def test_rows_of_one_id(spark):
+    """Repeated rows leave one; two texts of one id, or of none, are judged by themselves."""
+    text = " ".join(f"plain{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    rows = [(1, text, "en", "a", 0), (1, text, "en", "a", 0), (1, "another text that stays " + text[::-1], "en", "a", 0), (2, text + " ", "en", "b", 0), (None, "of no id at all", "en", None, 0), (None, "of no id at all", "en", None, 0), (3, text + " more", "en", "b", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.exact_dedup_stage(spark, docs, SF)
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(1, rows[2][1]), (2, text + " "), (0, "of no id at all"), (3, text + " more")])
+    near = corpus_pipeline.near_dedup_stage(spark, common.cut(kept), SF)
+    assert sorted((r.doc_id or 0, r.text) for r in near.collect()) == sorted([(1, rows[2][1]), (2, text + " "), (0, "of no id at all")])
+
+
 def test_run_is_registered(spark):
     import __spark_entry__
 
