@@ -3,6 +3,9 @@
 Every stage takes (spark, docs, sf_dir) and works on all documents that the stage before it kept; its result is written
 as Parquet and read again as the next stage's docs. All stages but the last return the columns of documents; the last
 returns one row per document of the mix.
+
+Stages decide on rows, told apart by a hash of doc_id and text, so of two texts that share a doc_id one may go and the
+other stay, and rows without a doc_id take part. Of fully repeated rows exact dedup leaves one.
 """
 
 from __future__ import annotations
@@ -23,35 +26,51 @@ from tagloom.llm.queries import quality_weights
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def without(docs: DataFrame, rejected: Callable[[], DataFrame]) -> DataFrame:
-    """docs whose doc_id an operator does not reject; rows without a doc_id stay.
+KEY = "tagloom_row"
+
+
+def by_row(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
 
-    The operator's scratch tables go as soon as the ids are written. These are broadcast while they are few and shuffled
+
+def without(docs: DataFrame, rejected: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """docs without the rows that an operator rejects.
+
+    The operator's scratch tables go as soon as the keys are written. These are broadcast while they are few and shuffled
     with docs beyond.
     """
     ship(docs.sparkSession)
-    ids = settled(lambda: rejected().select("doc_id").distinct(), "ids")
-    return docs.join(bounded_broadcast(ids, ids.count(), 16), "doc_id", "left_anti").select(docs.columns)
+    rows = by_row(docs)
+    keys = settled(lambda: rejected(rows).select(KEY).distinct(), "keys")
+    return rows.join(bounded_broadcast(keys, keys.count(), 16), KEY, "left_anti").select(docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    return without(docs, lambda: classify(docs, table(spark, sf_dir, "labels")).filter("not kept"))
+    return without(docs, lambda rows: classify(rows, table(spark, sf_dir, "labels"), key_col=KEY).filter("not kept"))
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays."""
-    return without(docs, lambda: exact_groups(docs).filter("not kept"))
+    ship(spark)
+    rows = by_row(docs)
+    judged = settled(lambda: exact_groups(rows, key_col=KEY).groupBy(KEY).agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1 or not stays"), "keys")
+    out = rows.join(bounded_broadcast(judged.select(KEY), judged.count(), 16), KEY, "left_anti").select(docs.columns)
+    # Rows that repeat in id and text: one of them stays, the least in its other columns.
+    twice = judged.filter("stays")
+    again = rows.join(bounded_broadcast(twice.select(KEY), twice.count(), 16), KEY, "left_semi").groupBy(KEY).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return out.unionByName(again.select("row.*"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked at a Jaccard similarity of 0.8 over five-word shingles the one with the smallest id stays."""
-    return without(docs, lambda: similarity_groups(docs, words=5, percent=80).filter("component_id != doc_id"))
+    """Of documents linked at a Jaccard similarity of 0.8 over five-word shingles the one with the smallest id stays; rows
+    without an id stay."""
+    return without(docs, lambda rows: similarity_groups(rows, words=5, percent=80, key_col=KEY).filter("component_id != doc_id"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items, as they are or with new numbers and names, go."""
-    return without(docs, lambda: contaminated(docs, table(spark, sf_dir, "benchmark")))
+    return without(docs, lambda rows: contaminated(rows, table(spark, sf_dir, "benchmark"), key_col=KEY))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
