@@ -119,6 +119,18 @@ def holds_any(tags: Column, wanted: list[str]) -> Column:
     return F.arrays_overlap(split_words(tags), F.array(*[F.lit(w) for w in wanted])) if wanted else F.lit(False)
 
 
+def holds_word(tags: Column, pattern: str) -> Column:
+    """The pattern, a regular expression, occurs between word borders in any case; null holds none."""
+    return F.coalesce(F.rlike(tags, F.lit(f"(?iU)\\b(?:{pattern})\\b")), F.lit(False))
+
+
+def subfolder(tags: Column, folder: Column, characters: list[str]) -> Column:
+    """Folder of a post's file: below its first wanted character's folder where it has one of their tags."""
+    own = split_words(tags)
+    first = F.coalesce(*[F.when(F.array_contains(own, c), F.lit(c)) for c in characters], F.lit(None).cast("string")) if characters else F.lit(None).cast("string")
+    return F.concat_ws("/", first, folder.cast("string"))
+
+
 def only_allowed(tags: Column, allowed: list[str]) -> Column:
     """The string's tags that are allowed, in order."""
     return F.array_join(F.filter(split_words(tags), lambda t: t.isin(allowed)), " ")

@@ -8,19 +8,27 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, tags
 
-CATEGORIES = {"general": "tag_string_general", "character": "tag_string_character", "copyright": "tag_string_copyright", "artist": "tag_string_artist"}
+CATEGORIES = {"general": "tag_string_general", "character": "tag_string_character", "artist": "tag_string_artist"}
 
 
-def category_tags(posts: DataFrame, categories: dict[str, str] | None = None) -> DataFrame:
-    """(id, category, tag) of every tag; one scan, all categories exploded together."""
-    there = {k: c for k, c in (categories or CATEGORIES).items() if c in posts.columns}
-    each = F.array(*[F.struct(F.lit(k).alias("category"), F.when(F.col(c).isNotNull(), tags.split_tags(F.col(c))).alias("tags")) for k, c in there.items()])
-    rows = posts.select("id", F.explode(each).alias("c")).select("id", "c.category", F.explode("c.tags").alias("tag"))
-    return rows.filter("tag != ''")
+def category_tags(posts: DataFrame, categories: dict[str, str] | None = None, upsampled: str | None = None) -> DataFrame:
+    """(category, tag) of every tag; one scan, all categories exploded together.
 
+    Strings are parted at each single blank, so an empty one has the empty tag; null has none. upsampled: a column of raw
+    tags that count as general ones.
+    """
+    there = [(k, c) for k, c in [*(categories or CATEGORIES).items(), *([("general", upsampled)] if upsampled else [])] if c in posts.columns]
+    each = F.array(*[F.struct(F.lit(k).alias("category"), F.when(F.col(c).isNotNull(), tags.split_tags(F.col(c))).alias("tags")) for k, c in there])
+    return posts.select(F.explode(each).alias("c")).select("c.category", F.explode("c.tags").alias("tag"))
+
+
+def tag_counts(posts: DataFrame, categories: dict[str, str] | None = None, upsampled: str | None = None) -> DataFrame:
+    return category_tags(posts, categories, upsampled).groupBy("category", "tag").agg(F.count(F.lit(1)).alias("count"))
 
-def tag_counts(posts: DataFrame, categories: dict[str, str] | None = None) -> DataFrame:
-    return category_tags(posts, categories).groupBy("category", "tag").agg(F.count(F.lit(1)).alias("count"))
+
+def parsed_counts(posts: DataFrame, column: str, least: int = 1) -> DataFrame:
+    """(tag, count) of one column parted at any white space, tags of at least so many characters."""
+    return posts.select(F.explode(tags.split_words(F.col(column))).alias("tag")).filter(F.length("tag") >= least).groupBy("tag").agg(F.count(F.lit(1)).alias("count"))
 
 
 def top_tags(counts: DataFrame, k: int) -> DataFrame:
@@ -41,6 +49,12 @@ def comparison(before: DataFrame, after: DataFrame) -> DataFrame:
     return both.withColumn("difference", change).withColumn("difference_percentage", F.coalesce(F.try_divide(change * 100.0, F.col("prior")), F.lit(0.0)))
 
 
+def most_changed(compared: DataFrame, k: int, increases: bool = False) -> DataFrame:
+    """The k tags of comparison() that lost most in percent, or gained most; ties by name."""
+    change = F.col("difference_percentage")
+    return compared.orderBy(change.desc() if increases else change.asc(), "tag").limit(k)
+
+
 def tag_weights(counts: DataFrame, low: float = 0.25, high: float = 2.0, smoothing: float = 0.05) -> DataFrame:
     """(category, tag, weight): inverse smoothed frequency, spread over low to high within the category; 1 if all are equal."""
     category = W.partitionBy("category")
@@ -54,11 +68,14 @@ def tag_weights(counts: DataFrame, low: float = 0.25, high: float = 2.0, smoothi
 def caption_weights(captions: DataFrame, weights: DataFrame, artists: DataFrame | None = None, characters: DataFrame | None = None, normalize: bool = False) -> DataFrame:
     """(id, weight) of captions (id, caption): mean of its known tags' weights by category, geometric mean of these.
 
+    A tag has one category, the last of CATEGORIES that it was counted in; other categories than these do not count.
     Tags of prior lists weigh 1.55 (artists) and 1.15 (characters) times as much, at most 2. No known tag gives 1.
     """
     name = tags.raw_tag(F.col("tag")) if normalize else F.col("tag")
     each = captions.select("id", F.explode(tags.comma_parts(F.col("caption"))).alias("tag")).withColumn("tag", name)
-    known = each.join(weights, "tag")
+    order = F.array_position(F.array(*[F.lit(c) for c in CATEGORIES]), F.col("category"))
+    one = weights.filter(order > 0).groupBy("tag").agg(F.max_by(F.struct("category", "weight"), order).alias("w")).select("tag", "w.category", "w.weight")
+    known = each.join(one, "tag")
     for prior, category, factor in ((artists, "artist", 1.55), (characters, "character", 1.15)):
         if prior is not None:
             known = known.join(prior.select("tag", F.lit(True).alias("_prior")).distinct(), "tag", "left")
@@ -85,7 +102,7 @@ def pruned(posts: DataFrame, counts: DataFrame, column: str, category: str, leas
 
 def clusters(counts: DataFrame) -> DataFrame:
     """(cluster, tags): counts of general tags summed by the first cluster one of whose keywords the tag contains."""
-    first = F.coalesce(*[F.when(F.exists(F.array(*[F.lit(w) for w in words.split()]), lambda w: F.contains(F.col("tag"), w)), F.lit(name)) for name, words in fixed.TAG_CLUSTERS.items()])
+    first = F.coalesce(*[F.when(F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(F.col("tag"), w)), F.lit(name)) for name, words in fixed.TAG_CLUSTERS.items()])
     return counts.withColumn("cluster", first).filter("cluster is not null").groupBy("cluster").agg(F.sum("count").alias("tags"))
 
 

@@ -14,11 +14,12 @@ METRICS = ("aes_score", "fav_count", "score")
 def _group_guess(rows: DataFrame, metric: str, names: str) -> DataFrame:
     """(id, guess): unweighted mean of the means of a row's groups, over rows without the metric.
 
-    Means come from the rows that have it; both sides are exploded and meet on the group's name.
+    Means come from the rows that have it; both sides are exploded and meet on the group's name. A row that names no
+    group gets no guess.
     """
-    each = rows.select("id", metric, F.explode(tags.split_tags(F.col(names))).alias("name"))
+    each = rows.filter(F.col(names).isNotNull()).select("id", metric, names, F.explode(tags.split_tags(F.col(names))).alias("name"))
     means = each.filter(F.col(metric).isNotNull()).groupBy("name").agg(F.avg(metric).alias("mean"))
-    return each.filter(F.col(metric).isNull()).join(means, "name").groupBy("id").agg(F.avg("mean").alias("guess"))
+    return each.filter(F.col(metric).isNull() & (F.col(names) != "")).join(means, "name").groupBy("id").agg(F.avg("mean").alias("guess"))
 
 
 def _fill(base: DataFrame, metric: str) -> DataFrame:

@@ -15,8 +15,10 @@ def best_row(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 
 
 def md5_dedup(posts: DataFrame) -> DataFrame:
-    """Of posts with one md5 the one with the highest score, then lowest id; posts without md5 count as one."""
-    return best_row(posts, ["md5"], F.col("score").desc_nulls_last(), F.col("id"))
+    """Of posts with one md5 the one with the highest score, then lowest id; posts without md5 count as one, found by an
+    ordered limit, so they are no key that all meet in."""
+    order = F.col("score").desc_nulls_last(), F.col("id")
+    return best_row(posts.filter("md5 is not null"), ["md5"], *order).unionByName(posts.filter("md5 is null").orderBy(*order).limit(1))
 
 
 def best_duplicate(posts: DataFrame) -> DataFrame:
@@ -24,8 +26,13 @@ def best_duplicate(posts: DataFrame) -> DataFrame:
     return best_row(posts, ["id"], F.length("tag_string").desc_nulls_last(), F.col("score").desc_nulls_last(), F.col("fav_count").desc_nulls_last(), F.col("tag_string"))
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
-    """old and new rows by key; a new row replaces the old one. No sort: old keys that return are anti-joined away."""
+def upsert(old: DataFrame, new: DataFrame, key: str = "id", last: Column | None = None) -> DataFrame:
+    """old and new rows by key; a new row replaces the old one. No sort: old keys that return are anti-joined away.
+
+    last: what is greatest in the last of several new rows of one key; without it new keys are taken as unique.
+    """
+    if last is not None:
+        new = best_row(new, [key], last.desc_nulls_last())
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
@@ -43,6 +50,21 @@ def target_join(posts: DataFrame, wanted: DataFrame) -> DataFrame:
     return posts.join(hits, "id", "left_semi")
 
 
+def named_like(posts: DataFrame, wanted: list[str]) -> DataFrame:
+    """Posts whose character or artist string holds a wanted tag between word borders, in any case; without any wish, all."""
+    import re
+
+    if not wanted:
+        return posts
+    pattern = "|".join(re.escape(t) for t in wanted)
+    return posts.filter(tags.holds_word(F.col("tag_string_character"), pattern) | tags.holds_word(F.col("tag_string_artist"), pattern))
+
+
+def downloaded(prior: DataFrame, files: DataFrame) -> DataFrame:
+    """Different rows of earlier knowledge that are on disk, with their path. files: (id, relative_path)."""
+    return prior.distinct().join(files.select("id", "relative_path"), "id")
+
+
 def without(posts: DataFrame, *excluded: DataFrame) -> DataFrame:
     """Posts whose id is in none of the tables."""
     for ids in excluded:
@@ -58,11 +80,14 @@ def newest_ids(posts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def skip_tags(posts: DataFrame, chances: dict[str, float], key: Column, protected: list[str] | None = None, factor: float = 1.0) -> DataFrame:
-    """Posts dropped with each skip tag's chance, drawn from key (tag -> number in [0, 1) by hash), artists protected."""
+    """Posts dropped with each skip tag's chance, drawn from key (tag -> number in [0, 1) by hash), artists protected.
+
+    A skip tag is a regular expression that is looked for between word borders of the tag string, in any case.
+    """
     safe = tags.holds_any(F.col("tag_string_artist"), protected or [])
     for tag, chance in chances.items():
-        has = F.array_contains(F.transform(tags.split_words(F.col("tag_string")), F.lower), tag.lower())
-        posts = posts.filter(~(has & ~safe & (key(tag) < chance * factor)))
+        if chance * factor > 0:
+            posts = posts.filter(~(tags.holds_word(F.col("tag_string"), tag) & ~safe & (key(tag) < chance * factor)))
     return posts
 
 
