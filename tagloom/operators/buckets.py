@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import tags
+from .lineage import cut
 
 
 def bucket_sizes(area: tuple[int, int] = (768, 512), least: int = 256, step: int = 64, base: tuple[int, int] = (512, 512), factor: int = 8, limit: int = 1024) -> list[tuple[int, int]]:
@@ -47,27 +48,31 @@ def assigned(posts: DataFrame, sizes: list[tuple[int, int]], most: float = 0.3)
 
 
 def crowded(rows: DataFrame, least: int = 8) -> DataFrame:
-    """Rows of buckets and tiers with at least so many rows; counts are aggregated first, so a hot group is no window."""
+    """Rows of buckets and tiers with at least so many rows; counts are aggregated first, so a hot group is no window. There
+    are as many groups as buckets times tiers at most, which is what is broadcast."""
+    rows = cut(rows)
     enough = rows.groupBy("bucket", "tier").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= least).select("bucket", "tier")
-    return rows.join(F.broadcast(enough) if enough.count() < 100_000 else enough, ["bucket", "tier"], "left_semi")
+    return rows.join(F.broadcast(enough), ["bucket", "tier"], "left_semi")
 
 
-def sharded(rows: DataFrame, per_shard: int, order: str = "id", span: int = 4096, start: DataFrame | None = None) -> DataFrame:
-    """Rows numbered within bucket and tier in the order of a numeric column, with their shard. start: (bucket, tier,
-    next) of an earlier run.
+def sharded(rows: DataFrame, per_shard: int, order: str = "id", start: DataFrame | None = None) -> DataFrame:
+    """Rows numbered within bucket and tier in the order of a column, with their shard. start: (bucket, tier, next) of an
+    earlier run.
 
-    The order is cut into pieces of `span` values; numbers are a piece's offset plus a row's place in it, so a group of
-    any size spreads over tasks.
+    Rows are sorted over all tasks by ranges and written once with their place in their task; a row's number is its place,
+    less where its group begins in that task, plus what earlier tasks hold of the group. So a group of any size spreads
+    over tasks, whatever the values of the column, and what is broadcast has a row per task and group.
     """
-    pieces = rows.withColumn("_piece", F.floor(F.col(order) / span))
-    sizes = pieces.groupBy("bucket", "tier", "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    keys = ["bucket", "tier", order]
+    placed = cut(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()))
+    piece = F.shiftright("_at", 33)
+    sizes = placed.groupBy("bucket", "tier", piece.alias("_piece")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = F.coalesce(F.sum("_n").over(W.partitionBy("bucket", "tier").orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("bucket", "tier", "_piece", before.alias("_before"))
-    place = F.row_number().over(W.partitionBy("bucket", "tier", "_piece").orderBy(order)) - 1
-    out = pieces.withColumn("_place", place).join(offsets, ["bucket", "tier", "_piece"]).withColumn("idx", F.col("_before") + F.col("_place"))
+    offsets = sizes.select("bucket", "tier", "_piece", (before - F.col("_first")).alias("_move"))
     if start is not None:
-        out = out.join(start, ["bucket", "tier"], "left").withColumn("idx", F.col("idx") + F.coalesce("next", F.lit(0))).drop("next")
-    return out.withColumn("shard", F.floor(F.col("idx") / per_shard).cast("long")).drop("_piece", "_before", "_place")
+        offsets = offsets.join(start, ["bucket", "tier"], "left").withColumn("_move", F.col("_move") + F.coalesce("next", F.lit(0))).drop("next")
+    out = placed.withColumn("_piece", piece).join(F.broadcast(offsets), ["bucket", "tier", "_piece"]).withColumn("idx", F.col("_at") + F.col("_move"))
+    return out.withColumn("shard", F.floor(F.col("idx") / per_shard).cast("long")).drop("_piece", "_move", "_at")
 
 
 def next_indices(done: DataFrame) -> DataFrame:
@@ -75,11 +80,34 @@ def next_indices(done: DataFrame) -> DataFrame:
     return done.groupBy("bucket", "tier").agg((F.max("idx") + 1).alias("next"))
 
 
-def metadata(rows: DataFrame) -> DataFrame:
-    """One JSON row per bucket: its size and its samples by tier."""
-    per = rows.groupBy("bucket", "target_width", "target_height", "tier").agg(F.count(F.lit(1)).alias("samples"))
-    by_bucket = per.groupBy("bucket", "target_width", "target_height").agg(F.array_sort(F.collect_list(F.struct("tier", "samples"))).alias("tiers"), F.sum("samples").alias("samples"))
-    return by_bucket.select("bucket", F.to_json(F.struct("bucket", "target_width", "target_height", "samples", "tiers")).alias("info"))
+def metadata(rows: DataFrame, factor: int = 8) -> DataFrame:
+    """One JSON row per bucket: its size, the size of what an encoder makes of it, its log aspect ratio and its samples by
+    tier."""
+    size = ["bucket", "target_width", "target_height"]
+    per = rows.groupBy(*size, "tier").agg(F.count(F.lit(1)).alias("samples"))
+    by_bucket = per.groupBy(*size).agg(F.array_sort(F.collect_list(F.struct("tier", "samples"))).alias("tiers"), F.sum("samples").alias("samples"))
+    ratio = F.round(F.log(F.col("target_width") / F.col("target_height")), 6).alias("log_aspect_ratio")
+    return by_bucket.select("bucket", F.to_json(F.struct(*size, F.floor(F.col("target_height") / factor).alias("latent_height"), F.floor(F.col("target_width") / factor).alias("latent_width"), ratio, "samples", "tiers")).alias("info"))
+
+
+def dataset_info(rows: DataFrame, assigned_rows: int, per_shard: int) -> DataFrame:
+    """One JSON row: samples written and assigned, rows of a shard, and the length tiers in use."""
+    found = rows.agg(F.count(F.lit(1)).alias("samples"), F.array_sort(F.collect_set("tier")).alias("tiers"))
+    return found.select(F.to_json(F.struct("samples", F.lit(assigned_rows).alias("assigned"), F.lit(per_shard).alias("per_shard"), "tiers")).alias("info"))
+
+
+def sample_mapping(rows: DataFrame) -> DataFrame:
+    """(id, bucket, tier, idx_in_tier, shard): where each numbered row is kept, one row each rather than one document."""
+    return rows.select("id", "bucket", "tier", F.col("idx").alias("idx_in_tier"), "shard")
+
+
+def reweighted(shards: DataFrame, weights: DataFrame, update_all: bool = False) -> DataFrame:
+    """Rows of shards with their weight set anew from weights (id, weight): those that have none yet, or with update_all
+    every one; ids without a weight get 1."""
+    rows = shards if "weight" in shards.columns else shards.withColumn("weight", F.lit(None).cast("double"))
+    joined = rows.withColumnRenamed("weight", "_old").join(weights.groupBy("id").agg(F.max("weight").cast("double").alias("_new")), "id", "left")
+    own = ["_new"] if update_all else ["_old", "_new"]
+    return joined.withColumn("weight", F.coalesce(*own, F.lit(1.0))).select(*rows.columns)
 
 
 def write_shards(rows: DataFrame, path: str, per_file: int = 24_000) -> None:

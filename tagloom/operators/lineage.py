@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df by checkpoint() in the folder that the session names (spark.checkpoint.dir), a temporary one only where none is."""
+    """df by checkpoint() in the folder that the session names (spark.checkpoint.dir). Where none is named, a temporary one
+    in local mode and an error on a cluster."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tagloom-"))
     return df.checkpoint()

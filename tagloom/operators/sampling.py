@@ -30,16 +30,20 @@ def draw_key(u: Column, weight: Column) -> Column:
 
 
 def draw(rows: DataFrame, target: int, shares: dict[str, float], weights: dict[str, float], u: Column) -> DataFrame:
-    """target rows: each rating its quota by weighted draw, the rest from what is left of all ratings."""
+    """target rows: each rating its quota by weighted draw, the rest from what is left of all ratings. One row per id."""
     if target <= 0:
         return rows.limit(0)
     want = quotas(target, shares)
-    keyed = rows.withColumn("_key", draw_key(u, tags.include_weight(F.col("tag_string"), weights)))
+    # Only ids, ratings and keys are ranked; the drawn ids fetch their rows.
+    keyed = cut(rows.select("id", "rating", draw_key(u, tags.include_weight(F.col("tag_string"), weights)).alias("_key")))
     quota = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in want.items() for x in kv]), F.col("rating")), F.lit(0))
-    ranked = keyed.withColumn("_rank", F.row_number().over(W.partitionBy("rating").orderBy("_key", "id")))
-    first = ranked.withColumn("_late", (F.col("_rank") > quota).cast("int"))
+    rank = F.row_number().over(W.partitionBy("rating").orderBy("_key", "id"))
+    # A rank limit by a literal lets every task drop what cannot be among the first before ratings meet in their tasks.
+    first = keyed.withColumn("_rank", rank).filter(F.col("_rank") <= max(want.values())).filter(F.col("_rank") <= quota).drop("_rank")
     # The fill takes the next best of any rating, so both passes are one ordered limit.
-    return first.orderBy("_late", "_key", "id").limit(target).drop("_key", "_rank", "_late")
+    rest = keyed.join(first.select("id"), "id", "left_anti")
+    drawn = first.withColumn("_late", F.lit(0)).unionByName(rest.withColumn("_late", F.lit(1))).orderBy("_late", "_key", "id").limit(target)
+    return rows.join(drawn.select("id"), "id", "left_semi")
 
 
 def sample_tiers(tiers: DataFrame, targets: dict[str, int], shares: dict[str, float], weights: dict[str, float], u: Callable[[str], Column], total: int | None = None) -> DataFrame:

@@ -20,6 +20,8 @@ def sign_bits(vector: Column) -> Column:
 def band(value: Column, i: int, n: int) -> Column:
     """Bits of band i of n, counted from the low end."""
     low, high = 64 * i // n, 64 * (i + 1) // n
+    if n == 1:
+        return value
     return F.shiftrightunsigned(value, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
 
 
@@ -27,27 +29,53 @@ def hamming_pairs(rows: DataFrame, distance: int, inclusive: bool = False) -> Da
     """(a, b, distance) with a < b of rows (id, hash) nearer than distance.
 
     Two hashes within d bits agree in one of d+1 bands, so equi-joins by band miss nothing. Equal hashes are joined as
-    one: their pairs come from the group, not from every band.
+    one: bands meet each different hash once, and pairs of ids come from the groups afterwards. All pairs are the result
+    itself; for groups, near_groups needs none of them.
     """
     most = distance if inclusive else distance - 1
     if most < 0:
         return rows.sparkSession.createDataFrame([], "a long, b long, distance int")
+    rows = rows.select("id", "hash")
+    near = near_hashes(rows, most).union(rows.select("hash", F.col("hash").alias("other"), F.lit(0)).distinct())
+    a, b = rows.select(F.col("id").alias("x"), "hash"), rows.select(F.col("id").alias("y"), F.col("hash").alias("other"))
+    pairs = near.join(a, "hash").join(b, "other").filter((F.col("hash") != F.col("other")) | (F.col("x") < F.col("y")))
+    return pairs.filter("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "distance").distinct()
+
+
+def near_hashes(rows: DataFrame, most: int) -> DataFrame:
+    """(hash, other, distance) with hash < other of the different hashes within `most` bits."""
     bands = F.array(*[F.struct(F.lit(i).alias("band"), band(F.col("hash"), i, most + 1).alias("bits")) for i in range(most + 1)])
-    one = rows.select("id", "hash", F.explode(bands).alias("x")).select("id", "hash", "x.band", "x.bits")
-    a, b = one.select(F.col("id").alias("a"), F.col("hash").alias("ha"), "band", "bits"), one.select(F.col("id").alias("b"), F.col("hash").alias("hb"), "band", "bits")
-    near = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb")))
-    return a.join(b, ["band", "bits"]).filter((F.col("a") < F.col("b")) & (near <= most)).select("a", "b", near.cast("int").alias("distance")).distinct()
+    one = cut(rows.select("hash").filter("hash is not null").distinct()).select("hash", F.explode(bands).alias("x")).select("hash", "x.band", "x.bits")
+    far = F.bit_count(F.col("hash").bitwiseXOR(F.col("other")))
+    met = one.join(one.withColumnRenamed("hash", "other"), ["band", "bits"]).filter((F.col("hash") < F.col("other")) & (far <= most))
+    return met.select("hash", "other", far.cast("int").alias("distance")).distinct()
+
+
+def near_groups(rows: DataFrame, distance: int, inclusive: bool = False) -> DataFrame:
+    """(id, group) of the ids that have another one nearer than distance, over any steps; the group is its least id.
+
+    Ids of one hash stand for each other, so no pairs of equal hashes are made.
+    """
+    most = distance if inclusive else distance - 1
+    rows = rows.select("id", "hash").filter("hash is not null")
+    if most < 0:
+        return rows.select("id", F.col("id").alias("group")).limit(0)
+    first = cut(rows.groupBy("hash").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("n")))
+    named = first.select("hash", F.col("rep").alias("a")), first.select(F.col("hash").alias("other"), F.col("rep").alias("b"))
+    found = groups(near_hashes(rows, most).join(named[0], "hash").join(named[1], "other").select("a", "b"))
+    member = first.join(found.withColumnRenamed("id", "rep"), "rep", "left").filter("group is not null or n > 1")
+    return rows.distinct().join(member.select("hash", F.coalesce("group", "rep").alias("group")), "hash").select("id", "group")
 
 
-def groups(pairs: DataFrame, most: int = 30) -> DataFrame:
+def groups(pairs: DataFrame) -> DataFrame:
     """(id, group): least id reachable over the pairs; labels spread by neighbours and jump over their own label.
 
-    Each round is cut by a checkpoint.
+    Each round is cut by a checkpoint; rounds go on until no label changes, which jumps make few.
     """
     both = pairs.select(F.col("a").alias("id"), F.col("b").alias("other")).union(pairs.select("b", "a")).distinct()
     both = cut(both)
     labels = cut(both.groupBy("id").agg(F.least(F.min("other"), F.col("id")).alias("group")))
-    for _ in range(most):
+    while True:
         near = both.join(labels.select(F.col("id").alias("other"), "group"), "other").groupBy("id").agg(F.min("group").alias("near"))
         step = labels.join(near, "id").select("id", F.least("group", "near").alias("group"), F.col("group").alias("before"))
         jump = step.select(F.col("id").alias("group"), F.col("group").alias("root"))
@@ -55,7 +83,6 @@ def groups(pairs: DataFrame, most: int = 30) -> DataFrame:
         labels = new.select("id", "group")
         if new.filter("group != before").isEmpty():
             return labels
-    raise RuntimeError("groups did not settle")
 
 
 def survivors(members: DataFrame) -> DataFrame:
