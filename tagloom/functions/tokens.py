@@ -56,3 +56,24 @@ def leading_tags(tags: Column, lengths: Column, free: Column) -> Column:
         return F.struct(F.when(fits, s["left"] - x["n"]).otherwise(s["left"]).alias("left"), fits.alias("on"), F.when(fits, F.concat(s["kept"], F.array(x["t"]))).otherwise(s["kept"]).alias("kept"))
 
     return F.aggregate(F.arrays_zip(tags.alias("t"), lengths.alias("n")), start, step, lambda s: s["kept"])
+
+
+def padded_ids(ids: Column, length: int, pad: int = fixed.EOS) -> Column:
+    """Token ids with their marks cut or filled to a length; a cut prompt keeps its last mark."""
+    whole = F.concat(F.slice(ids, 1, length - 1), F.array(F.element_at(ids, -1)))
+    return F.when(F.size(ids) > length, whole).otherwise(F.concat(ids, F.array_repeat(F.lit(pad), F.greatest(F.lit(length) - F.size(ids), F.lit(0)))))
+
+
+def chunks(ids: Column, size: int = 77, pad: int = fixed.EOS) -> Column:
+    """Padded ids of a long prompt as chunks of `size` that each begin and end with a mark, as an encoder of that length
+    takes them; ids that fit stay one chunk."""
+    starts = F.sequence(F.lit(2), F.greatest(F.size(ids) - size + 2, F.lit(2)), F.lit(size - 2))
+
+    def chunk(i: Column) -> Column:
+        inner = F.slice(ids, i, size - 2)
+        # What goes on in the next chunk ends with a mark here; a chunk of nothing but filling begins with one.
+        last = F.when(~F.element_at(inner, -1).isin(fixed.EOS, pad), F.lit(fixed.EOS)).otherwise(F.element_at(ids, -1))
+        first = F.when(F.element_at(inner, 1) == pad, F.array(F.lit(fixed.EOS))).otherwise(F.slice(inner, 1, 1))
+        return F.concat(F.slice(ids, 1, 1), first, F.slice(inner, 2, size - 3), F.array(last))
+
+    return F.when(F.size(ids) <= size, F.array(ids)).otherwise(F.transform(starts, chunk))

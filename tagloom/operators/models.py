@@ -77,9 +77,9 @@ def phash(images: DataFrame) -> DataFrame:
             for row in b.to_pylist():
                 w, h, c, raw = row["width"], row["height"], row["nChannels"], row["data"]
                 grey = np.frombuffer(raw, np.uint8).reshape(h, w, c)[:, :, : min(c, 3)].mean(2)
-                edge = lambda n: np.linspace(0, n, 33).astype(int)
-                ys, xs = edge(h), edge(w)
-                small = np.array([[grey[y0 : max(y1, y0 + 1), x0 : max(x1, x0 + 1)].mean() for x0, x1 in zip(xs[:-1], xs[1:], strict=True)] for y0, y1 in zip(ys[:-1], ys[1:], strict=True)])
+                sums = np.pad(np.cumsum(np.cumsum(grey, 0), 1), ((1, 0), (1, 0)))
+                (y0, y1), (x0, x1) = ((e[:-1], np.maximum(e[1:], e[:-1] + 1)) for e in (np.linspace(0, n, 33).astype(int) for n in (h, w)))
+                small = (sums[np.ix_(y1, x1)] - sums[np.ix_(y0, x1)] - sums[np.ix_(y1, x0)] + sums[np.ix_(y0, x0)]) / ((y1 - y0)[:, None] * (x1 - x0)[None, :])
                 low = (cosine @ small @ cosine.T)[:8, :8].ravel()
                 low[0] = 0
                 out.append(int(np.packbits(low > low.mean()).view(">i8")[0]))
@@ -88,11 +88,53 @@ def phash(images: DataFrame) -> DataFrame:
     return images.select("id", "image.width", "image.height", "image.nChannels", "image.data").mapInArrow(run, "id long, hash long")
 
 
-def face_crop(width: Column, height: Column, box: Column, pad: float = 0.2, top: float = 0.4, least: int = 256) -> Column:
-    """Crop (x0, y0, x1, y1) around a face box with padding inside the image, and whether the face fills over 0.6 of it;
-    null where the crop's smaller side is under `least`."""
+def face_crop(width: Column, height: Column, box: Column, pad: float = 0.2, top: float = 0.4, least: int = 256, side: int = 256) -> Column:
+    """Crop (x0, y0, x1, y1, close_up) around a face box, or null.
+
+    A face over 0.6 of the image takes the whole image as it is. Else the box is padded inside the image; its sides must
+    be `least` long, and scaled so that the shorter one is `least`, both must be `side`: only square crops pass.
+    """
     w, h = box["x1"] - box["x0"], box["y1"] - box["y0"]
-    x0, y0 = F.greatest(F.lit(0), F.floor(box["x0"] - w * pad)), F.greatest(F.lit(0), F.floor(box["y0"] - h * top))
-    x1, y1 = F.least(width, F.ceil(box["x1"] + w * pad)), F.least(height, F.ceil(box["y1"] + h * pad))
-    crop = F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"), ((w * h) / (width * height) > 0.6).alias("close_up"))
-    return F.when(F.least(x1 - x0, y1 - y0) >= least, crop)
+    pad_x, pad_y, pad_top = F.floor(w * pad), F.floor(h * pad), F.floor(h * top)
+    x0, y0 = F.greatest(F.lit(0), box["x0"] - pad_x), F.greatest(F.lit(0), box["y0"] - pad_top)
+    x1, y1 = F.least(width, box["x1"] + pad_x), F.least(height, box["y1"] + pad_y)
+    made = lambda *v, close: F.struct(*[x.cast("int").alias(n) for x, n in zip(v, ("x0", "y0", "x1", "y1"), strict=True)], F.lit(close).alias("close_up"))
+    wide, high = x1 - x0, y1 - y0
+    longer = F.floor(F.greatest(wide, high) * (F.lit(float(least)) / F.least(wide, high)))
+    square = (F.least(wide, high) >= least) & (longer == side) & F.lit(least == side)
+    return F.when(w * h > width * height * 0.6, made(F.lit(0), F.lit(0), width, height, close=True)).when(square, made(x0, y0, x1, y1, close=False))
+
+
+def resize_weights(size: int, to: int):
+    """Matrix of a triangle filter from `size` samples to `to`, widened where it shrinks."""
+    import numpy as np
+
+    scale = size / to
+    reach = max(scale, 1.0)
+    off = np.abs(np.arange(size)[None, :] + 0.5 - (np.arange(to)[:, None] + 0.5) * scale) / reach
+    w = np.maximum(0.0, 1.0 - off)
+    return w / w.sum(1, keepdims=True)
+
+
+def padded_pixels(images: DataFrame, height: int, width: int, color: tuple[int, int, int] = (255, 255, 255)) -> DataFrame:
+    """(id, pixels) of decoded images (id, image struct of Spark's image source): scaled to fit, centred on a plain ground
+    of an RGB colour; 3 x height x width floats from 0 to 255, channels blue, green, red. Transparent parts show the ground."""
+    import numpy as np
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                w, h, c = row["width"], row["height"], row["nChannels"]
+                image = np.frombuffer(row["data"], np.uint8).reshape(h, w, c).astype(float)
+                ratio = min(width / w, height / h)
+                new_w, new_h = max(1, int(w * ratio)), max(1, int(h * ratio))
+                small = np.rint(np.einsum("yh,hwc,xw->yxc", resize_weights(h, new_h), image, resize_weights(w, new_w), optimize=True))
+                out = np.empty((height, width, 3))
+                out[:] = color[::-1]
+                x, y = (width - new_w) // 2, (height - new_h) // 2
+                part = small[:, :, :3] if c >= 3 else np.repeat(small[:, :, :1], 3, 2)
+                alpha = small[:, :, 3:] / 255 if c == 4 else 1.0
+                out[y : y + new_h, x : x + new_w] = np.rint(part * alpha + out[y : y + new_h, x : x + new_w] * (1 - alpha))
+                yield pa.record_batch([pa.array([row["id"]], pa.int64()), pa.array([out.transpose(2, 0, 1).ravel().astype(np.float32)], pa.list_(pa.float32()))], ["id", "pixels"])
+
+    return images.select("id", "image.width", "image.height", "image.nChannels", "image.data").mapInArrow(run, "id long, pixels array<float>")

@@ -36,8 +36,15 @@ def aesthetic(tier: Column, meta: Column, draw: Column | None = None) -> Column:
     return F.concat_ws(", ", words, F.nullif(F.array_join(there, ", "), F.lit("")))
 
 
-def prompts(posts: DataFrame, draw: Column | None = None, count: Count | None = None, general_last: bool = False, budget: int = 225) -> DataFrame:
-    """posts with a prompt. With count, a length function, upsampled tags only fill what the budget leaves."""
+def prompts(posts: DataFrame, draw: Column | None = None, count: Count | None = None, general_last: bool = False, budget: int = 225, encode: Count | None = None) -> DataFrame:
+    """posts with a prompt. With count, a length function, upsampled tags only fill what the budget leaves: the rest of
+    prefix with its comma, suffix, and general tags without two commas.
+
+    encode gives a text's token ids with a mark before and behind it; with it, ids are counted where count is missing, and
+    prefix_tokens (no mark behind), general_tokens (no marks) and suffix_tokens (no mark before) are given as well.
+    """
+    if encode is not None and count is None:
+        count = lambda c: F.size(encode(c)) - 2
     column = lambda name: F.col(name) if name in posts.columns else F.lit("")
     people = F.array_join(tags.person_tags(F.col("tag_string_general")), ", ")
     general = tags.prompt_of(tags.without_person_tags(F.col("tag_string_general")))
@@ -47,12 +54,27 @@ def prompts(posts: DataFrame, draw: Column | None = None, count: Count | None =
     suffix = joined(tags.prompt_of(column("tag_string_artist")), aesthetic(column("final_tier"), column("tag_string_meta"), draw), year)
     more = tags.text(column("upsampled_tags"))
     if count is not None:
-        free = F.lit(budget) - count(prefix) - count(suffix) - (count(general) - 2)
+        free = F.lit(budget) - count(F.concat(prefix, F.lit(", "))) - count(suffix) - (count(general) - 2)
         parts = tags.comma_parts(more)
         some = F.array_join(tokens.leading_tags(parts, F.transform(parts, count), free), ", ")
         more = F.when(count(more) < free, more).when(free > 0, some).otherwise("")
     order = (prefix, suffix, general, more) if general_last else (prefix, general, more, suffix)
-    return posts.withColumn("prompt", joined(*order))
+    out = posts.withColumn("prompt", joined(*order))
+    if encode is None:
+        return out
+    first, middle, last = (encode(c) for c in (F.concat(prefix, F.lit(", ")), F.concat(general, F.lit(", "), more), suffix))
+    return out.withColumns({"prefix_tokens": F.slice(first, F.lit(1), F.size(first) - 1), "general_tokens": F.slice(middle, F.lit(2), F.size(middle) - 2), "suffix_tokens": F.slice(last, F.lit(2), F.size(last) - 1)})
+
+
+def own_prompts(images: DataFrame, sidecars: DataFrame, posts: DataFrame | None = None) -> DataFrame:
+    """(id, prompt) of images: the text of the sidecar of the same id where it is not blank, else the post's tags as a
+    prompt; images with neither are left out. sidecars: (id, text)."""
+    texts = sidecars.filter(F.trim("text") != "").groupBy("id").agg(F.max("text").alias("text"))
+    rows = images.select("id").distinct().join(texts, "id", "left")
+    if posts is None:
+        return rows.filter("text is not null").select("id", F.trim("text").alias("prompt"))
+    rows = rows.join(posts.select("id", F.nullif(tags.prompt_of(F.col("tag_string")), F.lit("")).alias("_own")), "id", "left")
+    return rows.select("id", F.coalesce(F.trim("text"), "_own").alias("prompt")).filter("prompt is not null")
 
 
 def face_prompt(posts: DataFrame, artists: list[str]) -> DataFrame:
