@@ -22,9 +22,9 @@ COMMANDS: dict[str, tuple[Callable[[Run], object], ...]] = {
     "unified-aes-prompts": (Run.unified,),
     "upsample-prompts": (Run.upsample,),
     "encode-latents": (lambda r: r.encode("latents", encoder=True),),
-    "encode-tag-weights": (Run.tag_weights, lambda r: r.encode("shards")),
+    "encode-tag-weights": (Run.tag_weights, lambda r: r.encode_weights("latents")),
     "encode-hq-latents": (Run.prepare_hq, lambda r: r.encode("hq_latents", encoder=True)),
-    "encode-hq-tag-weights": (Run.prepare_hq, Run.tag_weights, lambda r: r.encode("hq_shards")),
+    "encode-hq-tag-weights": (Run.prepare_hq, Run.tag_weights, lambda r: r.encode_weights("hq_latents")),
     "encode-raw-images": (Run.export,),
     "sync-tiers": (Run.sync_tiers,),
     "full-pipeline": (Run.generate_data, Run.sample, Run.download, Run.unified, Run.generate_prompts, Run.tag_weights, lambda r: r.encode("latents", encoder=True)),

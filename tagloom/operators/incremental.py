@@ -37,18 +37,60 @@ def redownload(upsampled: DataFrame, on_disk: DataFrame, tiers: DataFrame, exclu
     return missing, remaining(excluded, missing, "id")
 
 
-def move_plan(files: DataFrame, tiers: DataFrame, numbers: dict[str, int]) -> DataFrame:
-    """(id, src, dst) of files whose folder is not their tier's number; unknown tiers count as 1."""
+def move_plan(files: DataFrame, tiers: DataFrame, numbers: dict[str, int], characters: list[str] | None = None) -> DataFrame:
+    """(id, src, dst) of files whose folder is not their tier's number; unknown tiers count as 1.
+
+    Tier folders stand at the root, or in a wanted character's folder at the root where the file's tier folder stood in a
+    folder of that name; other folders above are given up.
+    """
     table = F.create_map(*[F.lit(x) for kv in numbers.items() for x in kv])
     rows = files.join(tiers.select("id", "final_tier"), "id")
-    folder, name = F.regexp_extract("relative", r"^(?:.*/)?([^/]+)/[^/]*$", 1), F.regexp_extract("relative", r"([^/]*)$", 1)
-    above = F.regexp_extract("relative", r"^(.*/)?[^/]+/[^/]*$", 1)
+    name, parent, above = F.regexp_extract("relative", r"([^/]*)$", 1), F.regexp_extract("relative", r"^(.*)/[^/]*$", 1), F.regexp_extract("relative", r"([^/]+)/[^/]+/[^/]*$", 1)
     number = F.coalesce(F.try_element_at(table, F.col("final_tier")), F.lit(1)).cast("string")
-    return rows.filter(folder != number).select("id", F.col("relative").alias("src"), F.concat(above, number, F.lit("/"), name).alias("dst"))
+    kept = F.when(above.isin(*characters), above) if characters else F.lit(None).cast("string")
+    folder = F.concat_ws("/", kept, number)
+    return rows.filter(parent != folder).select("id", F.col("relative").alias("src"), F.concat_ws("/", folder, name).alias("dst"))
+
+
+def companions(plan: DataFrame, suffixes: tuple[str, ...] = (".txt", ".json", ".tmp")) -> DataFrame:
+    """(id, src, dst) of the files that stand beside the plan's files under another suffix; whoever moves skips missing ones."""
+    plain = lambda c: F.regexp_replace(c, r"\.[^./]*$", "")
+    each = plan.select("id", plain("src").alias("src"), plain("dst").alias("dst"), F.explode(F.array(*[F.lit(s) for s in suffixes])).alias("suffix"))
+    return each.select("id", F.concat("src", "suffix").alias("src"), F.concat("dst", "suffix").alias("dst"))
+
+
+def with_paths(sampled: DataFrame, files: DataFrame) -> DataFrame:
+    """sampled with the relative path of each id's file as it is now, null where there is none; the last of several by name."""
+    now = files.filter("id >= 0").groupBy("id").agg(F.max("relative").alias("relative_path"))
+    return sampled.drop("relative_path").join(now, "id", "left")
+
+
+CURATED = ("jpg", "jpeg", "png", "gif", "webp")
+
+
+def curated_ids(files: DataFrame) -> DataFrame:
+    """(stem) of a curated folder's images, by name; files: (relative, suffix) as sources.tables.files gives."""
+    return files.filter(F.col("suffix").isin(*CURATED) & ~F.contains("relative", F.lit("/"))).select(F.regexp_replace("relative", r"\.[^./]*$", "").alias("stem")).orderBy("stem")
+
+
+def restore_plan(files: DataFrame, stems: DataFrame, folder: str = "cleaned") -> tuple[DataFrame, DataFrame]:
+    """((stem, src, dst) copies of the listed images and of the texts beside them into the folder; (stem) of missing ones).
+
+    Files that are in a folder of that name already are no sources; of several images of one stem the last by path wins.
+    """
+    stem = F.regexp_replace(F.regexp_extract("relative", r"([^/]*)$", 1), r"\.[^./]*$", "")
+    images = files.filter(F.col("suffix").isin(*CURATED) & ~F.array_contains(F.split("relative", "/"), folder)).groupBy(stem.alias("stem")).agg(F.max("relative").alias("src"))
+    wanted = stems.select(F.trim("stem").alias("stem")).filter("stem != ''").distinct()
+    found = wanted.join(images, "stem")
+    each = found.select("stem", F.explode(F.array("src", F.concat(F.regexp_replace("src", r"\.[^./]*$", ""), F.lit(".txt")))).alias("src"))
+    return each.select("stem", "src", F.concat_ws("/", F.lit(folder), F.regexp_extract("src", r"([^/]*)$", 1)).alias("dst")), wanted.join(images, "stem", "left_anti")
 
 
 class PagedSource(DataSource):
-    """Pages of posts by tag through an injected fetch(tag, page) -> list of rows, with retries; one partition per tag."""
+    """Pages of posts by tag through an injected fetch(tag, page) -> list of rows, with retries; one partition per tag.
+
+    A tag whose pages stop with errors ends with a row of null id that holds the error, so it is not taken for finished.
+    """
 
     fetch: Callable[[str, int], list[tuple]] | None = None
 
@@ -79,8 +121,9 @@ class _PagedReader(DataSourceReader):
                 try:
                     rows = self.fetch(partition.value, page)
                     break
-                except OSError:
+                except OSError as e:
                     if attempt + 1 == self.attempts:
+                        yield (partition.value, None, None, f"failed: {e}")
                         return
                     time.sleep(self.wait * 2**attempt)
             if not rows:

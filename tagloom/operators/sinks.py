@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,16 +13,34 @@ def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def rewrite(df: DataFrame, path: str) -> None:
-    """Replace a table that df may itself read: written beside it first, then renamed."""
+def _beside(spark: SparkSession, path: str):
+    jvm, plain = spark.sparkContext._jvm, path.rstrip("/")
+    now, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (plain, f"{plain}.new", f"{plain}.old"))
+    return now.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), now, new, old
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Undo a rewrite that was stopped between its two renames."""
+    fs, now, _, old = _beside(spark, path)
+    if fs.exists(old) and not fs.exists(now) and not fs.rename(old, now):
+        raise OSError(f"cannot rename {old} to {now}")
+
+
+def rewrite(df: DataFrame, path: str, by: list[str] | None = None) -> None:
+    """Replace a table that df may itself read: written beside it, then both are renamed, then the old one is deleted.
+
+    At every moment one whole table is there; recover() finds it after a crash.
+    """
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path.rstrip('/')}.new"))
-    df.write.mode("overwrite").parquet(new.toString())
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, now, new, old = _beside(spark, path)
+    df.write.mode("overwrite").partitionBy(*(by or [])).parquet(new.toString())
+    if fs.exists(now):
+        fs.delete(old, True)
+        if not fs.rename(now, old):
+            raise OSError(f"cannot rename {now} to {old}")
+    if not fs.rename(new, now):
+        raise OSError(f"cannot rename {new} to {now}")
     fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"cannot rename {new} to {old}")
 
 
 def token_json(df: DataFrame) -> DataFrame:
@@ -32,11 +50,12 @@ def token_json(df: DataFrame) -> DataFrame:
 
 
 def with_weight(tokens: DataFrame, weights: DataFrame) -> DataFrame:
-    """tokens (id, json) with tag_weight set from weights (id, weight); rows without a weight stay as they are."""
-    schema = "prefix_tokens array<int>, general_tokens array<int>, suffix_tokens array<int>, tag_weight float"
-    rows = tokens.join(weights, "id", "left").withColumn("j", F.from_json("json", schema))
-    new = F.to_json(F.struct("j.prefix_tokens", "j.general_tokens", "j.suffix_tokens", F.coalesce(F.col("weight").cast("float"), F.col("j.tag_weight")).alias("tag_weight")))
-    return rows.select("id", new.alias("json"))
+    """tokens (id, json) with the member tag_weight set from weights (id, weight), all other members as they are; rows
+    without a weight, or whose text is no JSON object, stay as they are."""
+    rows = tokens.join(weights.select("id", F.col("weight").cast("float").alias("_w")), "id", "left")
+    members = F.map_filter(F.from_json("json", "map<string,variant>"), lambda k, v: k != "tag_weight")
+    new = F.to_json(F.map_concat(members, F.create_map(F.lit("tag_weight"), F.col("_w").cast("variant"))))
+    return rows.select("id", F.when(F.col("_w").isNotNull(), F.coalesce(new, "json")).otherwise(F.col("json")).alias("json"))
 
 
 def applied(rows: DataFrame, act: Callable[[dict], str], attempts: int = 3, wait: float = 1.0) -> DataFrame:

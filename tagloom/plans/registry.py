@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, tags, tokens
-from ..operators import buckets, counts, impute, incremental, prompts, relational, sampling, similarity, sinks, tiering
+from ..operators import buckets, counts, impute, incremental, models, prompts, relational, sampling, similarity, sinks, tiering
 from ..sources.posts import hash_key, hash_key_sql, posts, posts_sql
 from ..sources.tables import existing, table, with_scores
 
@@ -16,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 ARTISTS, CHARACTERS = ["src0", "src5"], ["fr"]
-SKIP = {"lowres": 0.6, "solo": 0.25}
+SKIP = {"lowres": 0.6, "solo": 0.25, "symbol": 0.5}
 INCLUDE = {"solo": 2.0, "highres": 1.5, "1girl": 3.0, "lowres": 0.5}
 SHARES = {"g": 0.20, "s": 0.35, "q": 0.30, "e": 0.15}
 SIZES = buckets.bucket_sizes()
@@ -44,9 +44,8 @@ def words_sql(column: str) -> str:
 
 EACH_TAG = """SELECT id, 'general' AS category, unnest(string_split(tag_string_general, ' ')) AS tag FROM posts
   UNION ALL SELECT id, 'character', unnest(string_split(tag_string_character, ' ')) FROM posts
-  UNION ALL SELECT id, 'copyright', unnest(string_split(tag_string_copyright, ' ')) FROM posts
   UNION ALL SELECT id, 'artist', unnest(string_split(tag_string_artist, ' ')) FROM posts"""
-COUNTS_SQL = f"each AS ({EACH_TAG}), counts AS (SELECT category, tag, count(*) AS count FROM each WHERE tag <> '' GROUP BY category, tag)"
+COUNTS_SQL = f"each AS ({EACH_TAG}), counts AS (SELECT category, tag, count(*) AS count FROM each GROUP BY category, tag)"
 READABLE = "replace(replace(replace(replace(coalesce({c}, ''), '(', '\\('), ')', '\\)'), ' ', ', '), '_', ' ')"
 
 
@@ -124,8 +123,10 @@ def tag_set_operations(spark, sf):
     return d.select(F.col("source").alias("tag")).union(d.select("lang")).distinct().intersect(d.select(F.col("lang").alias("tag")))
 
 
-@query(f"""SELECT id FROM posts WHERE NOT (list_contains({words_sql('lower(tag_string)')}, 'lowres') AND NOT list_has_any({words_sql('tag_string_artist')}, ['src0', 'src5']) AND {hash_key_sql('skip:lowres', 'id')} < 0.6)
-  AND NOT (list_contains({words_sql('lower(tag_string)')}, 'solo') AND NOT list_has_any({words_sql('tag_string_artist')}, ['src0', 'src5']) AND {hash_key_sql('skip:solo', 'id')} < 0.25)""")
+SKIP_SQL = " AND ".join(f"NOT (regexp_matches(tag_string, '(?i)\\b{t}\\b') AND NOT list_has_any({words_sql('tag_string_artist')}, ['src0', 'src5']) AND {hash_key_sql(f'skip:{t}', 'id')} < {p})" for t, p in SKIP.items())
+
+
+@query(f"SELECT id FROM posts WHERE {SKIP_SQL}")
 def skip_tags_hash(spark, sf):
     return relational.skip_tags(posts(spark, sf), SKIP, lambda tag: hash_key(f"skip:{tag}", "id"), ARTISTS).select("id")
 
@@ -167,22 +168,26 @@ def tag_weights(spark, sf):
     return counts.tag_weights(counts.tag_counts(posts(spark, sf))).withColumn("weight", F.round("weight", 6))
 
 
-CAPTION = f"concat_ws(', ', {readable_sql('tag_string_general')}, {readable_sql('tag_string_artist')})"
+#: Some posts name their artist among the general tags too, so a tag is counted in two categories.
+TWICE_SQL = "twice AS (SELECT * REPLACE (CASE WHEN id % 4 = 0 THEN concat_ws(' ', tag_string_general, tag_string_artist, tag_string_copyright) ELSE tag_string_general END AS tag_string_general) FROM posts)"
+CAPTION = f"concat_ws(', ', {readable_sql('tag_string_general')}, {readable_sql('tag_string_character')}, {readable_sql('tag_string_artist')})"
 
 
-@query(f"""WITH {COUNTS_SQL}, f AS (SELECT *, 1.0 / (count / sum(count) OVER (PARTITION BY category) + 0.05) AS raw FROM counts),
+@query(f"""WITH {TWICE_SQL}, {COUNTS_SQL.replace('FROM posts', 'FROM twice')}, f AS (SELECT *, 1.0 / (count / sum(count) OVER (PARTITION BY category) + 0.05) AS raw FROM counts),
 m AS (SELECT *, min(raw) OVER (PARTITION BY category) AS lo, max(raw) OVER (PARTITION BY category) AS hi FROM f),
-w AS (SELECT category, tag, CASE WHEN hi = lo THEN 1.0 ELSE least(greatest(0.25 + (raw - lo) / (hi - lo) * 1.75, 0.25), 2.0) END AS weight FROM m),
-c AS (SELECT id, unnest(string_split({CAPTION}, ', ')) AS tag FROM posts),
-k AS (SELECT c.id, w.category, CASE WHEN w.category = 'artist' AND c.tag IN ('src0', 'src5') THEN least(w.weight * 1.55, 2.0) ELSE w.weight END AS weight FROM c JOIN w ON c.tag = w.tag),
+w AS (SELECT category, tag, CASE WHEN hi = lo THEN 1.0 ELSE least(greatest(0.25 + (raw - lo) / (hi - lo) * 1.75, 0.25), 2.0) END AS weight FROM m
+  QUALIFY row_number() OVER (PARTITION BY tag ORDER BY CASE category WHEN 'artist' THEN 1 WHEN 'character' THEN 2 ELSE 3 END) = 1),
+c AS (SELECT id, trim(unnest(string_split({CAPTION}, ','))) AS tag FROM twice),
+k AS (SELECT c.id, w.category, CASE WHEN w.category = 'artist' AND c.tag IN ('src0', 'src5') THEN least(w.weight * 1.55, 2.0) WHEN w.category = 'character' AND c.tag = 'fr' THEN least(w.weight * 1.15, 2.0) ELSE w.weight END AS weight FROM c JOIN w ON c.tag = w.tag WHERE c.tag <> ''),
 p AS (SELECT id, exp(avg(ln(mean))) AS weight FROM (SELECT id, category, avg(weight) AS mean FROM k GROUP BY id, category) GROUP BY id)
 SELECT posts.id, round(coalesce(p.weight, 1.0), 6) AS weight FROM posts LEFT JOIN p ON p.id = posts.id""")
 def caption_weight(spark, sf):
-    rows = posts(spark, sf)
-    captions = rows.select("id", F.concat_ws(", ", tags.prompt_of(F.col("tag_string_general")), tags.prompt_of(F.col("tag_string_artist"))).alias("caption"))
-    weights = counts.tag_weights(counts.tag_counts(rows))
-    artists = spark.createDataFrame([(a,) for a in ARTISTS], "tag string")
-    return counts.caption_weights(captions, weights, artists).withColumn("weight", F.round("weight", 6))
+    both = F.concat_ws(" ", "tag_string_general", "tag_string_artist", "tag_string_copyright")
+    rows = posts(spark, sf).withColumn("tag_string_general", F.when(F.col("id") % 4 == 0, both).otherwise(F.col("tag_string_general")))
+    caption = F.concat_ws(", ", *[tags.prompt_of(F.col(f"tag_string_{c}")) for c in ("general", "character", "artist")])
+    weights = counts.tag_weights(counts.tag_counts(rows, counts.CATEGORIES | {"copyright": "tag_string_copyright"}))
+    artists, characters = (spark.createDataFrame([(a,) for a in ts], "tag string") for ts in (ARTISTS, CHARACTERS))
+    return counts.caption_weights(rows.select("id", caption.alias("caption")), weights, artists, characters).withColumn("weight", F.round("weight", 6))
 
 
 @query(f"""WITH w AS (SELECT id, unnest(list_distinct({words_sql('tag_string')})) AS tag FROM posts)
@@ -191,8 +196,8 @@ def include_weight(spark, sf):
     return posts(spark, sf).select("id", F.round(tags.include_weight(F.col("tag_string"), INCLUDE), 6).alias("weight"))
 
 
-@query(f"""WITH b AS (SELECT category, tag, count FROM (SELECT 'general' AS category, tag, count(*) AS count FROM (SELECT unnest(string_split(tag_string_general, ' ')) AS tag FROM posts) WHERE tag <> '' GROUP BY tag)),
-a AS (SELECT tag, count(*) AS count FROM (SELECT unnest(string_split(tag_string_general, ' ')) AS tag FROM posts WHERE rating IN ('g', 's')) WHERE tag <> '' GROUP BY tag)
+@query(f"""WITH b AS (SELECT category, tag, count FROM (SELECT 'general' AS category, tag, count(*) AS count FROM (SELECT unnest(string_split(tag_string_general, ' ')) AS tag FROM posts) GROUP BY tag)),
+a AS (SELECT tag, count(*) AS count FROM (SELECT unnest(string_split(tag_string_general, ' ')) AS tag FROM posts WHERE rating IN ('g', 's')) GROUP BY tag)
 SELECT coalesce(b.tag, a.tag) AS tag, coalesce(b.count, 0) AS prior, coalesce(a.count, 0) AS filtered, coalesce(a.count, 0) - coalesce(b.count, 0) AS difference,
   round(CASE WHEN coalesce(b.count, 0) = 0 THEN 0.0 ELSE (coalesce(a.count, 0) - b.count) * 100.0 / b.count END, 6) AS difference_percentage FROM b FULL JOIN a ON a.tag = b.tag""")
 def count_comparison(spark, sf):
@@ -206,7 +211,7 @@ SELECT 'general' AS category, tag, count(*) FILTER (rating = 'e') AS e, count(*)
 def tag_distribution_pivot(spark, sf):
     rows = posts(spark, sf).select("rating", F.explode(tags.split_tags(F.col("tag_string_general"))).alias("tag")).filter("tag != ''")
     per = rows.groupBy("rating", "tag").agg(F.count(F.lit(1)).alias("count")).withColumn("category", F.lit("general"))
-    return per.groupBy("category", "tag").pivot("rating", ["e", "g", "q", "s"]).agg(F.sum("count")).na.fill(0)
+    return counts.distribution(per, "rating")
 
 
 @query(f"WITH {COUNTS_SQL} SELECT category, count(*) AS tags, count(*) FILTER (count < 3) AS below_3, count(*) FILTER (count < 20) AS below_20, round(count(*) FILTER (count < 3) / count(*), 6) AS share_3, round(count(*) FILTER (count < 20) / count(*), 6) AS share_20 FROM counts GROUP BY category")
@@ -224,7 +229,7 @@ def pruned_tags(spark, sf):
     return counts.pruned(rows, counts.tag_counts(rows), "tag_string_general", "general", 5).select("id", "tag_string_general")
 
 
-CLUSTER_SQL = " ".join(f"WHEN {' OR '.join(f'contains(tag, {w!r})' for w in words.split())} THEN '{name}'" for name, words in fixed.TAG_CLUSTERS.items())
+CLUSTER_SQL = " ".join(f"WHEN {' OR '.join(f'contains(tag, {w!r})' for w in words)} THEN '{name}'" for name, words in fixed.TAG_CLUSTERS.items())
 
 
 @query(f"WITH {COUNTS_SQL}, c AS (SELECT CASE {CLUSTER_SQL} END AS cluster, count FROM counts WHERE category = 'general') SELECT cluster, CAST(sum(count) AS BIGINT) AS tags FROM c WHERE cluster IS NOT NULL GROUP BY cluster")
@@ -267,15 +272,25 @@ def score_histogram(spark, sf):
 # Imputation, tiers, sampling
 
 
+#: Posts without an artist: null, empty, with a doubled blank, with several.
+BARE = "CASE id % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat(tag_string_artist, '  other') ELSE tag_string_artist END"
+BARE_SQL = f"bare AS (SELECT * REPLACE ({BARE} AS tag_string_artist, CASE WHEN id % 5 = 0 THEN '' ELSE tag_string_character END AS tag_string_character) FROM posts)"
+
+
+def bare(spark, sf):
+    character = F.when(F.col("id") % 5 == 0, "").otherwise(F.col("tag_string_character"))
+    return posts(spark, sf).withColumns({"tag_string_artist": F.expr(BARE), "tag_string_character": character})
+
+
 def impute_sql() -> str:
-    parts, source = [], "posts"
+    parts, source = [BARE_SQL], "bare"
     for metric in impute.METRICS:
         for kind in ("artist", "character"):
             new = f"i_{metric}_{kind}"
             parts.append(
-                f"""{new}_e AS (SELECT id, {metric} AS v, unnest(string_split(coalesce(tag_string_{kind}, ''), ' ')) AS name FROM {source}),
+                f"""{new}_e AS (SELECT id, {metric} AS v, tag_string_{kind} AS named, unnest(string_split(tag_string_{kind}, ' ')) AS name FROM {source} WHERE tag_string_{kind} IS NOT NULL),
 {new}_m AS (SELECT name, avg(v) AS mean FROM {new}_e WHERE v IS NOT NULL GROUP BY name),
-{new}_g AS (SELECT id, avg(mean) AS guess FROM {new}_e JOIN {new}_m USING (name) WHERE v IS NULL GROUP BY id),
+{new}_g AS (SELECT id, avg(mean) AS guess FROM {new}_e JOIN {new}_m USING (name) WHERE v IS NULL AND named <> '' GROUP BY id),
 {new} AS (SELECT s.* REPLACE (coalesce(s.{metric}, g.guess) AS {metric}) FROM {source} s LEFT JOIN {new}_g g ON g.id = s.id)"""
             )
             source = new
@@ -289,7 +304,7 @@ IMPUTED = impute_sql()
 
 @query(f"WITH {IMPUTED} SELECT id, round(aes_score, 6) AS aes_score, round(fav_count, 6) AS fav_count, round(score, 6) AS score FROM imputed")
 def imputed_metrics(spark, sf):
-    return impute.imputed(posts(spark, sf)).select("id", *[F.round(c, 6).alias(c) for c in impute.METRICS])
+    return impute.imputed(bare(spark, sf)).select("id", *[F.round(c, 6).alias(c) for c in impute.METRICS])
 
 
 SAFE = f"list_has_any({words_sql('tag_string_artist')}, ['src0', 'src5'])"
@@ -304,7 +319,7 @@ pre AS (SELECT * FROM kept WHERE id NOT IN (SELECT id FROM gone) AND (CASE WHEN
 
 
 def prepared(spark, sf):
-    return tiering.prefiltered(impute.imputed(posts(spark, sf)), ARTISTS)
+    return tiering.prefiltered(impute.imputed(bare(spark, sf)), ARTISTS)
 
 
 @query(f"WITH {PRE_SQL} SELECT id FROM pre")
@@ -411,14 +426,17 @@ def shard_index(spark, sf):
     return out.select("id", F.col("bucket").cast("long").alias("bucket"), F.col("tier").cast("long").alias("tier"), F.col("idx").cast("long").alias("idx"), "shard")
 
 
-@query()
+@query(f"""WITH {ASSIGN_SQL}, p AS (SELECT bucket, target_width AS w, target_height AS h, tier, count(*) AS n FROM crowded GROUP BY ALL)
+SELECT CAST(bucket AS BIGINT) AS bucket, '{{"bucket":' || bucket || ',"target_width":' || w || ',"target_height":' || h || ',"latent_height":' || h // 8 || ',"latent_width":' || w // 8 || ',"log_aspect_ratio":' || round(ln(w / h), 6) || ',"samples":' || sum(n) || ',"tiers":[' ||
+  string_agg('{{"tier":' || tier || ',"samples":' || n || '}}', ',' ORDER BY tier) || ']}}' AS info FROM p GROUP BY bucket, w, h""")
 def shard_metadata(spark, sf):
-    return buckets.metadata(bucketed(spark, sf))
+    return buckets.metadata(bucketed(spark, sf)).withColumn("bucket", F.col("bucket").cast("long"))
 
 
-@query()
+@query(f"""WITH {ASSIGN_SQL} SELECT CAST(id AS VARCHAR) AS booru_id, {readable_sql('tag_string')} AS prompt, bucket AS bucket_idx, target_width, target_height, CAST(image_width AS INT) AS original_width, CAST(image_height AS INT) AS original_height,
+  round(CAST(CAST(image_width AS DOUBLE) / image_height AS FLOAT), 4) AS aspect_ratio, tier, -1 AS aesthetic_tier, CAST(1.0 AS FLOAT) AS tag_weight, true AS no_image FROM crowded""")
 def export_rows(spark, sf):
-    return buckets.export_rows(bucketed(spark, sf))
+    return buckets.export_rows(bucketed(spark, sf)).withColumn("no_image", F.col("image").isNull()).drop("image").withColumn("aspect_ratio", F.round("aspect_ratio", 4))
 
 
 # Similarity
@@ -441,7 +459,7 @@ c AS (SELECT DISTINCT u AS id, u AS root FROM e UNION SELECT e.v, c.root FROM c
 
 @query(f'WITH RECURSIVE {GROUPS_SQL} SELECT id, "group" FROM g')
 def dup_components(spark, sf):
-    return similarity.groups(similarity.hamming_pairs(hashes(spark, sf), 18))
+    return similarity.near_groups(hashes(spark, sf), 18)
 
 
 MEMBERS_SQL = """m AS (SELECT id, id % 60 AS "group", CASE WHEN id % 7 = 0 THEN id % 4 ELSE 1 END AS tier, CASE WHEN id % 59 = 3 THEN NULL ELSE len(string_split(tag_string, ' ')) END AS tags, score, coalesce(fav_count, 0) AS fav_count FROM posts),
@@ -502,10 +520,19 @@ def prompt_assembly(spark, sf):
     return prompts.prompts(posts(spark, sf).withColumn("final_tier", F.lit("good_score"))).select("id", "prompt")
 
 
-@query()
+def counted_sql(text: str) -> str:
+    return f"len(regexp_extract_all({text}, '[^\\s,]+|,'))"
+
+
+@query(f"""WITH {PROMPT_SQL}, x AS (SELECT *, concat_ws(', ', nullif(array_to_string(found, ', '), ''), nullif({readable_sql('tag_string_character')}, ''), nullif({readable_sql('tag_string_copyright')}, ''),
+  CASE rating WHEN 'e' THEN 'explicit' WHEN 'q' THEN 'questionable' WHEN 's' THEN 'sensitive' ELSE 'general' END) AS a, {readable_sql('rest')} AS g,
+  concat_ws(', ', nullif({readable_sql('tag_string_artist')}, ''), CASE WHEN {hash_key_sql('synonym', 'id')} < 0.5 THEN 'masterpiece, best quality, very aesthetic' ELSE 'masterpiece' END, nullif({META_SQL}, ''),
+  CASE WHEN year <= 2017 THEN 'oldest' WHEN year <= 2019 THEN 'old' WHEN year <= 2020 THEN 'modern' WHEN year <= 2022 THEN 'recent' ELSE 'newest' END || ', year ' || year) AS z FROM r),
+y AS (SELECT *, 80 - {counted_sql("(a || ', ')")} - {counted_sql('z')} - ({counted_sql('g')} - 2) AS free FROM x)
+SELECT id, concat_ws(', ', nullif(a, ''), nullif(g, ''), CASE WHEN free > 6 THEN 'long hair, blue eyes, outdoors, sky' WHEN free = 6 THEN 'long hair, blue eyes, outdoors' WHEN free = 5 THEN 'long hair, blue eyes' WHEN free > 2 THEN 'long hair' END, nullif(z, '')) AS prompt FROM y""")
 def prompt_budget(spark, sf):
     rows = posts(spark, sf).withColumn("final_tier", F.lit("masterpiece")).withColumn("upsampled_tags", F.lit("long hair, blue eyes, outdoors, sky"))
-    return prompts.prompts(rows, hash_key("synonym", "id"), prompts.words_and_commas, budget=60).select("id", "prompt")
+    return prompts.prompts(rows, hash_key("synonym", "id"), prompts.words_and_commas, budget=80).select("id", "prompt")
 
 
 @query(f"""SELECT id, concat_ws(', ', CASE WHEN regexp_matches(tag_string_general, '\\b1girl\\b') THEN '1girl' WHEN regexp_matches(tag_string_general, '\\b1boy\\b') THEN '1boy' END, nullif({readable_sql('tag_string_character')}, ''), nullif({readable_sql('tag_string_copyright')}, ''),
@@ -514,12 +541,12 @@ def face_prompts(spark, sf):
     return prompts.face_prompt(posts(spark, sf), ARTISTS)
 
 
-@query()
+@query("""SELECT id, CASE WHEN id % 3 = 1 THEN 'short hair, blonde hair, blue eyes, green eyes, smile' WHEN id % 2 = 0 THEN 'blonde hair, blue eyes, smile' ELSE 'short hair, blue eyes, smile' END AS kept, 'hat' AS added FROM posts""")
 def validated_tags(spark, sf):
     rows = posts(spark, sf)
     prompt = F.when(F.col("id") % 2 == 0, "1girl, black bikini, long hair").otherwise("2boys, red hair, swimsuit")
     new = F.lit("short hair, blonde hair, blue eyes, green eyes, white panties, shorts, smile")
-    return rows.select("id", tags.validated(new, prompt, F.col("tag_string_general")).alias("kept"), tags.combined(prompt, F.array(F.lit("blue hair"), F.lit("2girls"), F.lit("hat"), F.lit("1girl"))).alias("added"))
+    return rows.select("id", tags.validated(new, prompt, F.col("tag_string_general")).alias("kept"), F.array_join(tags.combined(prompt, F.array(F.lit("blue hair"), F.lit("2girls"), F.lit("hat"), F.lit("1girl"))), ", ").alias("added"))
 
 
 @query("SELECT id, '[[10,11],[12,2361],[' || (id % 100 + 300) || ']]' AS parts, '[49406,10,11,267,12,2361,' || (id % 100 + 300) || ',49407]' AS again FROM posts")
@@ -572,15 +599,168 @@ def carried_over(spark, sf):
     return incremental.carried_over(rows, table(spark, sf, "labels").select(F.col("doc_id").alias("id")), paths, tiers, "class")
 
 
-@query("""SELECT id, 'data/1/' || id || '.png' AS src, 'data/' || (id % 4) || '/' || id || '.png' AS dst FROM posts WHERE id % 4 <> 1""")
+@query("""WITH f AS (SELECT id, CAST(id % 4 AS VARCHAR) AS tier, id || '.png' AS name, CASE id % 5 WHEN 0 THEN '' WHEN 1 THEN '1/' WHEN 2 THEN 'fr/1/' WHEN 3 THEN 'deep/fr/2/' ELSE 'xx/1/' END AS folder FROM posts),
+t AS (SELECT id, folder || name AS src, CASE WHEN id % 5 IN (2, 3) THEN 'fr/' ELSE '' END || tier || '/' AS target, folder, name FROM f)
+SELECT id, src, target || name AS dst FROM t WHERE target <> folder""")
 def move_plan(spark, sf):
     rows = posts(spark, sf).select("id")
     names = F.element_at(F.array(*[F.lit(n) for n in sorted(fixed.TIER_NUMBER, key=fixed.TIER_NUMBER.get)]), (F.col("id") % 4 + 1).cast("int"))
-    files = rows.select("id", F.concat(F.lit("data/1/"), F.col("id").cast("string"), F.lit(".png")).alias("relative"))
-    return incremental.move_plan(files, rows.select("id", names.alias("final_tier")), fixed.TIER_NUMBER)
+    folder = F.element_at(F.array(*[F.lit(x) for x in ("", "1/", "fr/1/", "deep/fr/2/", "xx/1/")]), (F.col("id") % 5 + 1).cast("int"))
+    files = rows.select("id", F.concat(folder, F.col("id").cast("string"), F.lit(".png")).alias("relative"))
+    return incremental.move_plan(files, rows.select("id", names.alias("final_tier")), fixed.TIER_NUMBER, CHARACTERS)
 
 
-@query()
+@query("""SELECT id, '1/' || id || s AS src, id % 4 || '/' || id || s AS dst FROM posts, (VALUES ('.txt'), ('.json'), ('.tmp')) v(s) WHERE id % 4 <> 1""")
+def companion_moves(spark, sf):
+    name = F.concat(F.col("id").cast("string"), F.lit(".png"))
+    plan = posts(spark, sf).filter("id % 4 != 1").select("id", F.concat(F.lit("1/"), name).alias("src"), F.concat((F.col("id") % 4).cast("string"), F.lit("/"), name).alias("dst"))
+    return incremental.companions(plan)
+
+
+@query("SELECT id, rating, CASE WHEN id % 3 > 0 THEN 'b/' || id || '.png' END AS relative_path FROM posts")
+def refreshed_paths(spark, sf):
+    rows = posts(spark, sf)
+    path = lambda f: F.concat(F.lit(f), F.col("id").cast("string"), F.lit(".png"))
+    now = rows.filter("id % 3 > 0").select("id", F.explode(F.array(path("a/"), path("b/"))).alias("relative"))
+    return incremental.with_paths(rows.select("id", "rating", path("old/").alias("relative_path")), now)
+
+
+@query("SELECT id, CASE WHEN id % 2 = 0 THEN 'masterpiece' ELSE 'good_score' END AS final_tier FROM posts WHERE id NOT IN (SELECT doc_id FROM labels)")
+def redownload_list(spark, sf):
+    rows = posts(spark, sf).select("id")
+    tiers = rows.filter("id % 2 = 0").select("id", F.lit("masterpiece").alias("final_tier"))
+    return incremental.redownload(rows, table(spark, sf, "labels").select(F.col("doc_id").alias("id")), tiers, rows)[0]
+
+
+@query("""SELECT CAST(id AS VARCHAR) AS stem, CASE WHEN id % 2 = 0 THEN 'b/' ELSE 'a/' END || id || s AS src, 'cleaned/' || id || s AS dst FROM posts, (VALUES ('.png'), ('.txt')) v(s) WHERE id % 3 = 0""")
+def restore_plan(spark, sf):
+    rows = posts(spark, sf).select("id")
+    path = lambda f, suffix=".png": F.concat(F.lit(f), F.col("id").cast("string"), F.lit(suffix))
+    where = F.when(F.col("id") % 2 == 0, F.array(path("a/"), path("b/"), path("cleaned/"))).otherwise(F.array(path("a/"), path("z/", ".txt"), path("a/cleaned/")))
+    files = rows.select("id", F.explode(where).alias("relative")).withColumn("suffix", F.regexp_extract("relative", "[.]([a-z]+)$", 1))
+    cleaned = files.select(F.regexp_replace("relative", "^cleaned/", "").alias("relative"), "suffix").filter("relative not like '%/%'")
+    listed = rows.filter("id % 3 = 0").select(F.col("id").cast("string").alias("stem"))
+    listed = incremental.curated_ids(cleaned).join(listed, "stem", "left_semi").union(listed.filter("cast(stem as int) % 2 = 1"))
+    return incremental.restore_plan(files, listed)[0]
+
+
+@query("""SELECT id, CASE WHEN id % 2 = 0 THEN '{"prefix_tokens":[1],"note":{"a":"x, y"},"general_tokens":[2,3],"tag_weight":1.5}' ELSE '{"prefix_tokens":[1],"tag_weight":0.5,"note":{"a":"x, y"},"general_tokens":[2,3]}' END AS json FROM posts""")
 def weighted_token_json(spark, sf):
-    rows = posts(spark, sf).select("id", F.array(F.lit(1)).alias("prefix_tokens"), F.array(F.lit(2), F.lit(3)).alias("general_tokens"), F.array(F.lit(4)).alias("suffix_tokens"))
-    return sinks.with_weight(sinks.token_json(rows), rows.filter("id % 2 = 0").select("id", F.lit(1.5).alias("weight")))
+    rows = posts(spark, sf).select("id", F.lit('{"prefix_tokens":[1],"tag_weight":0.5,"note":{"a":"x, y"},"general_tokens":[2,3]}').alias("json"))
+    return sinks.with_weight(rows, rows.filter("id % 2 = 0").select("id", F.lit(1.5).alias("weight")))
+
+
+@query("""SELECT id, '{"prefix_tokens":[1],"general_tokens":[2,3],"suffix_tokens":[4]' || CASE WHEN id % 2 = 0 THEN ',"tag_weight":1.5}' ELSE '}' END AS json FROM posts""")
+def token_files(spark, sf):
+    rows = posts(spark, sf).select("id", F.array(F.lit(1)).alias("prefix_tokens"), F.array(F.lit(2), F.lit(3)).alias("general_tokens"), F.array(F.lit(4)).alias("suffix_tokens"), F.when(F.col("id") % 2 == 0, 1.5).alias("tag_weight"))
+    return sinks.token_json(rows)
+
+
+# Selections and counts by other rules
+
+
+@query("SELECT id FROM posts WHERE regexp_matches(tag_string_character, '(?i)\\b(FR|d)\\b') OR regexp_matches(tag_string_artist, '(?i)\\b(FR|d)\\b')")
+def named_like(spark, sf):
+    return relational.named_like(posts(spark, sf), ["FR", "d"]).select("id")
+
+
+@query("""SELECT DISTINCT p.id, p.rating, 'x/' || p.id || '.png' AS relative_path FROM posts p WHERE p.id IN (SELECT doc_id FROM labels)""")
+def downloaded_prior(spark, sf):
+    prior = posts(spark, sf).select("id", "rating")
+    files = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.concat(F.lit("x/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("relative_path"))
+    return relational.downloaded(prior.union(prior), files)
+
+
+@query("SELECT tag, count(*) AS count FROM (SELECT unnest(regexp_split_to_array(tag_string_general, '\\s+')) AS tag FROM posts) WHERE length(tag) >= 4 GROUP BY tag")
+def parsed_tag_counts(spark, sf):
+    return counts.parsed_counts(posts(spark, sf), "tag_string_general", 4)
+
+
+@query("""WITH b AS (SELECT tag, count(*) AS count FROM (SELECT unnest(string_split(tag_string_general, ' ')) AS tag FROM posts) GROUP BY tag),
+a AS (SELECT tag, count(*) AS count FROM (SELECT unnest(string_split(tag_string_general, ' ')) AS tag FROM posts WHERE rating IN ('g', 's')) GROUP BY tag),
+c AS (SELECT b.tag, round((coalesce(a.count, 0) - b.count) * 100.0 / b.count, 6) AS difference_percentage FROM b LEFT JOIN a USING (tag))
+SELECT * FROM (SELECT 'down' AS way, * FROM c ORDER BY difference_percentage, tag LIMIT 25) UNION ALL SELECT * FROM (SELECT 'up' AS way, * FROM c ORDER BY difference_percentage DESC, tag LIMIT 10)""")
+def most_changed_tags(spark, sf):
+    rows, general = posts(spark, sf), {"general": "tag_string_general"}
+    both = counts.comparison(counts.tag_counts(rows, general), counts.tag_counts(rows.filter(F.col("rating").isin("g", "s")), general))
+    down, up = (counts.most_changed(both, k, way).select(F.lit("up" if way else "down").alias("way"), "tag", F.round("difference_percentage", 6).alias("difference_percentage")) for k, way in ((25, False), (10, True)))
+    return down.union(up)
+
+
+@query("""SELECT category, tag, count(*) AS count FROM (SELECT 'general' AS category, unnest(string_split(tag_string_general, ' ')) AS tag FROM posts UNION ALL SELECT 'general', unnest(string_split('solo  extra', ' ')) FROM posts WHERE id % 2 = 0
+  UNION ALL SELECT 'character', unnest(string_split(tag_string_character, ' ')) FROM posts UNION ALL SELECT 'artist', unnest(string_split(tag_string_artist, ' ')) FROM posts) GROUP BY category, tag""")
+def upsampled_tag_counts(spark, sf):
+    return counts.tag_counts(posts(spark, sf).withColumn("upsampled", F.when(F.col("id") % 2 == 0, "solo  extra")), upsampled="upsampled")
+
+
+@query("""SELECT id, CASE WHEN list_contains(string_split(tag_string, ' '), 'star_(symbol)') THEN 'star_(symbol)/' WHEN list_contains(string_split(tag_string, ' '), 'highres') THEN 'highres/' ELSE '' END || (id % 4) AS folder FROM posts""")
+def subfolders(spark, sf):
+    return posts(spark, sf).select("id", tags.subfolder(F.col("tag_string"), F.col("id") % 4, ["star_(symbol)", "highres"]).alias("folder"))
+
+
+@query(f"""SELECT id, CASE WHEN id % 3 = 0 THEN 'own words ' || id ELSE {readable_sql('tag_string')} END AS prompt FROM posts WHERE id % 5 > 0""")
+def own_prompts(spark, sf):
+    rows = posts(spark, sf)
+    sidecars = rows.select("id", F.when(F.col("id") % 3 == 0, F.concat(F.lit(" own words "), F.col("id").cast("string"))).otherwise(F.lit("  ")).alias("text"))
+    return prompts.own_prompts(rows.filter("id % 5 > 0").select("id"), sidecars, rows)
+
+
+# Crops, chunks, shards
+
+
+@query("""WITH s AS (SELECT id, image_width AS w, image_height AS h, 190 + id % 50 AS side FROM posts),
+b AS (SELECT id, w, h, CASE WHEN id % 2 = 0 THEN 60 ELSE 0 END AS x0, CASE WHEN id % 2 = 0 THEN side // 5 ELSE 0 END AS y0, CASE WHEN id % 2 = 0 THEN 60 + side ELSE w * (7 + id % 3) // 10 END AS x1, CASE WHEN id % 2 = 0 THEN side // 5 + side ELSE h * (7 + id % 4) // 10 END AS y1 FROM s),
+c AS (SELECT *, (x1 - x0) * (y1 - y0) > w * h * 0.6 AS close_up, CAST(floor((x1 - x0) * 0.2) AS BIGINT) AS px, CAST(floor((y1 - y0) * 0.2) AS BIGINT) AS py, CAST(floor((y1 - y0) * 0.4) AS BIGINT) AS pt FROM b),
+d AS (SELECT *, greatest(0, x0 - px) AS a, greatest(0, y0 - pt) AS b, least(w, x1 + px) AS e, least(h, y1 + py) AS f FROM c)
+SELECT id, CASE WHEN close_up THEN 0 ELSE a END AS x0, CASE WHEN close_up THEN 0 ELSE b END AS y0, CASE WHEN close_up THEN w ELSE e END AS x1, CASE WHEN close_up THEN h ELSE f END AS y1, close_up FROM d
+WHERE close_up OR (least(e - a, f - b) >= 256 AND floor(greatest(e - a, f - b) * (256.0 / least(e - a, f - b))) = 256)""")
+def face_crops(spark, sf):
+    even, side = F.col("id") % 2 == 0, 190 + F.col("id") % 50
+    part = lambda c, tenths: F.floor(F.col(c) * tenths / 10)
+    top = F.floor(side / 5)
+    corners = (F.lit(60), top, 60 + side, top + side), (F.lit(0), F.lit(0), part("image_width", 7 + F.col("id") % 3), part("image_height", 7 + F.col("id") % 4))
+    box = F.struct(*[F.when(even, x).otherwise(y).alias(n) for x, y, n in zip(*corners, ("x0", "y0", "x1", "y1"), strict=True)])
+    rows = posts(spark, sf).withColumn("crop", models.face_crop(F.col("image_width"), F.col("image_height"), box)).filter("crop is not null")
+    return rows.select("id", *[F.col(f"crop.{c}").cast("long").alias(c) for c in ("x0", "y0", "x1", "y1")], "crop.close_up")
+
+
+@query("""SELECT id, CAST(greatest(ceil(image_width * greatest(512.0 / image_width, 768.0 / image_height)), 512) AS BIGINT) AS width, CAST(greatest(ceil(image_height * greatest(512.0 / image_width, 768.0 / image_height)), 768) AS BIGINT) AS height FROM posts""")
+def crop_sizes(spark, sf):
+    size = buckets.crop_geometry(F.col("image_width"), F.col("image_height"), F.lit(512), F.lit(768))
+    return posts(spark, sf).select("id", size["width"].cast("long").alias("width"), size["height"].cast("long").alias("height"))
+
+
+@query("""WITH n AS (SELECT id, CAST(id % 12 AS INT) AS n FROM posts), p AS (SELECT id, list_concat([49406], range(1, least(n, 9) + 1), [49407], [49407 FOR i IN range(least(n, 9) + 2, 11)]) AS x FROM n),
+c AS (SELECT id, i, [x[1]] || x[2 + 3 * i : 4 + 3 * i] AS y, x FROM p, (SELECT unnest(range(3)) AS i))
+SELECT id, CAST(i AS BIGINT) AS chunk, '[' || array_to_string(list_append(y, 49407), ',') || ']' AS ids FROM c""")
+def token_chunks(spark, sf):
+    n = (F.col("id") % 12).cast("int")
+    ids = F.concat(F.array(F.lit(49406)), F.when(n > 0, F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).otherwise(F.array().cast("array<int>")), F.array(F.lit(49407)))
+    each = posts(spark, sf).select("id", F.posexplode(tokens.chunks(tokens.padded_ids(ids, 11), 5)).alias("chunk", "ids"))
+    return each.select("id", F.col("chunk").cast("long").alias("chunk"), F.to_json("ids").alias("ids"))
+
+
+@query(f"""WITH {ASSIGN_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY bucket, tier ORDER BY id) - 1 AS idx FROM crowded)
+SELECT id, CAST(bucket AS BIGINT) AS bucket, CAST(tier AS BIGINT) AS tier, idx + CASE WHEN tier = 77 THEN 7 ELSE 0 END AS idx_in_tier, CAST(floor((idx + CASE WHEN tier = 77 THEN 7 ELSE 0 END) / 10) AS BIGINT) AS shard FROM n""")
+def sample_mapping(spark, sf):
+    rows = bucketed(spark, sf)
+    start = buckets.next_indices(rows.filter("tier = 77").select("bucket", "tier", F.lit(6).alias("idx")))
+    out = buckets.sample_mapping(buckets.sharded(rows, 10, start=start))
+    return out.select("id", F.col("bucket").cast("long").alias("bucket"), F.col("tier").cast("long").alias("tier"), F.col("idx_in_tier").cast("long").alias("idx_in_tier"), "shard")
+
+
+@query("SELECT id, rating, CASE WHEN id % 2 = 0 THEN 0.5 WHEN id % 3 = 0 THEN id / 8.0 ELSE 1.0 END AS weight FROM posts")
+def reweighted_shards(spark, sf):
+    rows = posts(spark, sf)
+    shards = rows.select("id", "rating", F.when(F.col("id") % 2 == 0, 0.5).alias("weight"))
+    return buckets.reweighted(shards, rows.filter("id % 3 = 0").select("id", (F.col("id") / 8.0).alias("weight")))
+
+
+@query(f"""WITH {PROMPT_SQL}, g AS (SELECT id, array_to_string(found, ', ') || CASE WHEN len(found) > 0 THEN ', ' ELSE '' END || CASE rating WHEN 'e' THEN 'explicit' WHEN 'q' THEN 'questionable' WHEN 's' THEN 'sensitive' ELSE 'general' END || ', ' AS a, {readable_sql('rest')} || ', sky' AS b FROM r)
+SELECT id, length(a) + 1 AS prefix, length(b) AS general, 2 AS suffix FROM g""")
+def prompt_tokens(spark, sf):
+    # One id per character and a mark at both ends stand for a tokenizer.
+    encode = lambda c: F.transform(F.split(F.concat(F.lit("^"), c, F.lit("$")), ""), lambda x: F.ascii(x))
+    rows = posts(spark, sf).select("id", "rating", "tag_string_general", F.lit("").alias("tag_string_character"), F.lit("").alias("tag_string_copyright"), F.lit("").alias("tag_string_artist"), F.lit("x").alias("final_tier"), F.lit("").alias("tag_string_meta"), F.lit("").alias("created_at"), F.lit("sky").alias("upsampled_tags"))
+    out = prompts.prompts(rows, encode=encode, budget=1_000_000)
+    return out.select("id", *[F.size(f"{c}_tokens").cast("long").alias(c) for c in ("prefix", "general", "suffix")])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,9 +60,11 @@ def scan_posts(spark: SparkSession, path: str, scores: DataFrame | None = None,
 
 
 def scan_knowledge(spark: SparkSession, path: str, scores: DataFrame | None = None) -> DataFrame:
-    """Earlier knowledge, one row per id, missing metrics filled with the mean."""
+    """Earlier knowledge, one row per id (the best duplicate), missing metrics filled with the mean."""
+    from ..operators.relational import best_duplicate
+
     rows = with_scores(read_any(spark, path, KNOWLEDGE), scores)
-    rows = rows.dropDuplicates(["id"])
+    rows = best_duplicate(rows) if {"tag_string", "score", "fav_count"} <= set(rows.columns) else rows.dropDuplicates(["id"])
     filled = [c for c in ("aes_score", "fav_count") if c in rows.columns]
     means = rows.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(f"mean_{c}") for c in filled])
     return rows.crossJoin(F.broadcast(means)).withColumns({c: F.coalesce(c, f"mean_{c}") for c in filled}).drop(*means.columns) if filled else rows
@@ -144,7 +144,3 @@ def cut_long_rows(spark: SparkSession, path: str) -> DataFrame:
     header = lines.first()
     width = len(header[0].split(",")) if header else 0
     return lines.select(F.array_join(F.slice(F.split("value", ",", -1), 1, width), ",").alias("value")) if width else lines
-
-
-def report_folder(base: str, experiment: str, date: str) -> Path:
-    return Path(base) / f"{experiment}_{date}"

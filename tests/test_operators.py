@@ -136,7 +136,7 @@ def test_buckets(spark):
 def test_shards_continue(spark, tmp_path):
     rows = spark.range(10_000).select("id", (F.col("id") % 2).alias("bucket"), F.lit(77).alias("tier"))
     start = spark.createDataFrame([(0, 77, 5)], "bucket long, tier int, next long")
-    got = buckets.sharded(rows, 100, span=64, start=start)
+    got = buckets.sharded(rows, 100, start=start)
     per = {r.bucket: (r.lo, r.hi, r.n) for r in got.groupBy("bucket").agg(F.min("idx").alias("lo"), F.max("idx").alias("hi"), F.countDistinct("idx").alias("n")).collect()}
     assert per == {0: (5, 5004, 5000), 1: (0, 4999, 5000)}
     buckets.write_shards(got, str(tmp_path / "shards"))
@@ -163,6 +163,20 @@ def test_hamming_and_groups(spark):
         a, b = find(i), find(j)
         root[max(a, b)] = min(a, b)
     assert {r.id: r.group for r in similarity.groups(similarity.hamming_pairs(df, 5)).collect()} == {x: find(x) for p in want for x in p}
+    assert {r.id: r.group for r in similarity.near_groups(df, 5).collect()} == {x: find(x) for p in want for x in p}
+
+
+def test_many_equal_hashes(spark):
+    """A crowd of one hash makes a group without any of its pairs."""
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.xxhash64("id")).alias("hash"))
+    got = similarity.near_groups(df, 1)
+    assert got.count() == 6667 and got.filter("group != 0").isEmpty()
+
+
+def test_long_chain_of_pairs(spark):
+    n = 3000
+    pairs = spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert similarity.groups(pairs).filter("group != 0").isEmpty()
 
 
 def test_survivors(spark):
@@ -176,6 +190,11 @@ def test_imputation(spark):
     df = spark.createDataFrame(rows, "id long, score double, tag_string_artist string, tag_string_character string")
     got = {r.id: r.score for r in impute.imputed(df).collect()}
     assert got == {1: 1.0, 2: 3.0, 3: 2.0, 4: 2.0, 5: 2.0}
+    rows = [(1, 20.0, "", "d"), (2, 10.0, "a", "c"), (3, None, "", "c"), (4, None, None, "c"), (5, None, "a  x", ""), (6, 30.0, None, None)]
+    df = spark.createDataFrame(rows, "id long, score double, tag_string_artist string, tag_string_character string")
+    got = {r.id: r.score for r in impute.imputed(df).collect()}
+    # No artist: on to characters. A doubled blank names the empty artist, whose mean is that of the empty string.
+    assert got == {1: 20.0, 2: 10.0, 3: 10.0, 4: 10.0, 5: 15.0, 6: 30.0}
 
 
 def test_incremental(spark):
@@ -243,6 +262,132 @@ def test_models(spark):
     assert one(spark, models.ranked_tags(scores, ["a", "b", "c", "d"]))[0].name == "b"
 
 
+def test_paged_source_tells_failures(spark):
+    class Failing(incremental.PagedSource):
+        pass
+
+    def fetch(tag, page):
+        if tag == "y" and page == 2:
+            raise OSError("gone")
+        return [(page, "2024", tag)] if page < 3 else []
+
+    Failing.fetch = staticmethod(fetch)
+    spark.dataSource.register(Failing)
+    got = spark.read.format("paged_posts").option("tags", "x,y").option("wait", "0").load().collect()
+    assert sorted((r.tag, r.id) for r in got if r.id) == [("x", 1), ("x", 2), ("y", 1)]
+    assert [(r.tag, r.payload) for r in got if r.id is None] == [("y", "failed: gone")]
+
+
+def picture(values, channels=3):
+    import numpy as np
+
+    a = np.asarray(values, np.uint8)
+    return (a.shape[1], a.shape[0], channels, bytearray(a.tobytes()))
+
+
+IMAGE = "id long, image struct<width: int, height: int, nChannels: int, data: binary>"
+
+
+def test_padded_pixels(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    wide = rng.integers(0, 256, (4, 8, 3))
+    clear = np.zeros((2, 2, 4), int)
+    clear[0, 0] = (10, 20, 30, 255)
+    got = {r.id: np.array(r.pixels).reshape(3, 8, 8) for r in models.padded_pixels(spark.createDataFrame([(1, picture(wide)), (2, picture(clear, 4)), (3, picture(np.full((16, 16, 1), 9), 1))], IMAGE), 8, 8, (255, 0, 128)).collect()}
+    assert (got[1][:, 2:6] == wide.transpose(2, 0, 1)).all()
+    assert (got[1][:, :2].reshape(3, -1) == np.array([[128], [0], [255]])).all() and (got[1][:, 6:].reshape(3, -1) == np.array([[128], [0], [255]])).all()
+    assert got[2][:, 0, 0].tolist() == [10, 20, 30] and got[2][:, 7, 7].tolist() == [128, 0, 255]
+    assert (got[3] == 9).all()
+    w = models.resize_weights(10, 4)
+    assert np.allclose(w.sum(1), 1) and (w >= 0).all() and np.allclose(models.resize_weights(5, 5), np.eye(5))
+
+
+def test_phash_by_cells(spark):
+    """Against a plain loop over cells, for sizes below and above 32."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    sizes = [(20, 50), (64, 64), (100, 33), (32, 32)]
+    images = [rng.integers(0, 256, (*s, 3)) for s in sizes]
+    got = {r.id: r.hash for r in models.phash(spark.createDataFrame([(i, picture(x)) for i, x in enumerate(images)], IMAGE)).collect()}
+    k = np.arange(32)
+    cosine = np.cos(np.pi * (2 * k[None, :] + 1) * k[:, None] / 64)
+    for i, x in enumerate(images):
+        grey, (h, w) = x.mean(2), x.shape[:2]
+        ys, xs = np.linspace(0, h, 33).astype(int), np.linspace(0, w, 33).astype(int)
+        small = np.array([[grey[ys[a] : max(ys[a + 1], ys[a] + 1), xs[b] : max(xs[b + 1], xs[b] + 1)].mean() for b in range(32)] for a in range(32)])
+        low = (cosine @ small @ cosine.T)[:8, :8].ravel()
+        low[0] = 0
+        bits = "".join("1" if v else "0" for v in low > low.mean())
+        assert got[i] & (2**64 - 1) == int(bits, 2)
+
+
+def test_face_crop(spark):
+    rows = [(1, 1000, 1000, 0, 0, 800, 800), (2, 1000, 1000, 100, 40, 300, 240), (3, 1000, 1000, 300, 300, 500, 500), (4, 1000, 1000, 0, 0, 100, 100)]
+    df = spark.createDataFrame(rows, "id long, w int, h int, x0 int, y0 int, x1 int, y1 int")
+    got = {r.id: r.crop for r in df.select("id", models.face_crop(F.col("w"), F.col("h"), F.struct("x0", "y0", "x1", "y1")).alias("crop")).collect()}
+    assert tuple(got[1]) == (0, 0, 1000, 1000, True) and tuple(got[2]) == (60, 0, 340, 280, False)
+    assert got[3] is None and got[4] is None  # not square; too small
+
+
+def test_sources(spark, tmp_path):
+    columns = "id long, score double, fav_count double, tag_string string"
+    rows = [(1, 1.0, None, "a"), (1, 2.0, 4.0, "a b"), (2, 3.0, 8.0, "c")]
+    spark.createDataFrame(rows, columns).write.parquet(f"file://{tmp_path}/k.parquet")
+    scores = spark.createDataFrame([(1, 5.0)], "id long, score double")
+    got = {r.id: (r.score, r.fav_count, r.aes_score) for r in tables.scan_knowledge(spark, f"file://{tmp_path}/k.parquet", scores).collect()}
+    assert got == {1: (2.0, 4.0, 5.0), 2: (3.0, 8.0, 5.0)}
+    with pytest.raises(ValueError, match="unknown format"):
+        tables.read_any(spark, "x.duckdb")
+    sinks.write_csv(spark.createDataFrame([(1, "a,b")], "id long, t string"), f"file://{tmp_path}/r.csv")
+    sinks.write_csv(spark.createDataFrame([(2, 'q"')], "id long, t string"), f"file://{tmp_path}/r.csv")
+    back = spark.read.option("header", True).option("escape", '"').csv(f"file://{tmp_path}/r.csv")
+    assert back.columns == ["id", "t"] and back.count() == 2
+    for i, data in enumerate(("ä".encode(), "ä".encode("utf-16"), b"\xfe\xff" + "ä".encode("utf-16-be"))):
+        assert one(spark, tables.decoded_text(F.unhex(F.lit(data.hex())))).strip("\ufeff") == "ä", i
+
+
+def test_windowed_counts(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(0, 7200, 60)] + [(90_000, "a")], "at long, k string").select(F.timestamp_seconds("at").alias("at"), "k")
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = streams.windowed_counts(streams.file_stream(spark, str(tmp_path / "in"), "at timestamp, k string"), "at", "k")
+    q = stream.writeStream.format("memory").queryName("counted").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert sorted(r["count"] for r in spark.table("counted").collect()) == [1, 60, 60]
+
+
+def test_redownload(spark):
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id long")
+    missing, left = incremental.redownload(ids(1, 2, 3, 3), ids(1), spark.createDataFrame([(2, "masterpiece")], "id long, final_tier string"), ids(2, 9))
+    assert {(r.id, r.final_tier) for r in missing.collect()} == {(2, "masterpiece"), (3, "good_score")} and [r.id for r in left.collect()] == [9]
+
+
+def test_restore_and_subfolder(spark):
+    names = ["0/5.png", "1/5.png", "cleaned/5.png", "2/7.jpg", "2/8.txt"]
+    files = spark.createDataFrame([(n, n.rpartition(".")[2]) for n in names], "relative string, suffix string")
+    copies, missing = incremental.restore_plan(files, spark.createDataFrame([("5 ",), ("7",), ("8",), ("",)], "stem string"))
+    assert {(r.src, r.dst) for r in copies.collect()} == {("1/5.png", "cleaned/5.png"), ("1/5.txt", "cleaned/5.txt"), ("2/7.jpg", "cleaned/7.jpg"), ("2/7.txt", "cleaned/7.txt")}
+    assert [r.stem for r in missing.collect()] == ["8"]
+    assert one(spark, tags.subfolder(F.lit("x b a"), F.lit(2), ["a", "b"])) == "a/2" and one(spark, tags.subfolder(F.lit("x"), F.lit(2), ["a"])) == "2" and one(spark, tags.subfolder(F.lit("x"), F.lit(2), [])) == "2"
+
+
+def test_draw(spark):
+    """Quotas by rating first, the rest by key; against plain Python."""
+    rng = random.Random(4)
+    rows = [(i, rng.choice("gsq"), rng.random(), "lowres" if i % 5 == 0 else "x") for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, rating string, u double, tag_string string")
+    shares = {"g": 0.1, "s": 0.5, "q": 0.1, "e": 0.3}
+    got = {r.id for r in sampling.draw(df, 101, shares, {"lowres": 0.25}, F.col("u")).collect()}
+    key = {i: -math.log(u) / (0.25 if t == "lowres" else 1.0) for i, _, u, t in rows}
+    want = set()
+    for rating, n in sampling.quotas(101, shares).items():
+        want |= set(sorted((i for i, r, _, _ in rows if r == rating), key=key.get)[:n])
+    want |= set(sorted((i for i in key if i not in want), key=key.get)[: 101 - len(want)])
+    assert got == want and len(got) == 101
+
+
 def test_phash(spark):
     data = bytearray(bytes(range(256)) * 12)
     image = spark.createDataFrame([(1, (32, 32, 3, data[:3072])), (2, (32, 32, 3, data[:3072]))], "id long, image struct<width: int, height: int, nChannels: int, data: binary>")
@@ -255,6 +400,10 @@ def test_sinks(spark, tmp_path):
     spark.range(5).write.parquet(path)
     sinks.rewrite(spark.read.parquet(path).filter("id < 3"), path)
     assert spark.read.parquet(path).count() == 3
+    # A rewrite that stopped between its renames.
+    (tmp_path / "t").rename(tmp_path / "t.old")
+    sinks.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3
     assert {r.outcome for r in sinks.applied(spark.range(3), lambda row: f"ok {row['id']}").collect()} == {"ok 0", "ok 1", "ok 2"}
 
 
@@ -274,6 +423,12 @@ def test_upsert_and_skip(spark):
     assert {(r.id, r.x) for r in relational.upsert(old, new).collect()} == {(1, "a"), (2, "c"), (3, "d")}
     posts = spark.createDataFrame([(1, "Lowres x", "p"), (2, "lowres", "q"), (3, "lowres_x", "q")], "id long, tag_string string, tag_string_artist string")
     assert sorted(r.id for r in relational.skip_tags(posts, {"lowres": 1.0}, lambda t: F.lit(0.5), ["p"]).collect()) == [1, 3]
+    posts = spark.createDataFrame([(1, "a multiple views b", "q"), (2, "comic_(x)", "q"), (3, "4koma-comic", "q"), (4, None, "q"), (5, "comics", "q")], "id long, tag_string string, tag_string_artist string")
+    assert sorted(r.id for r in relational.skip_tags(posts, {"multiple views": 1.0, "comic": 1.0}, lambda t: F.lit(0.5)).collect()) == [2, 4, 5]
+    twice = spark.createDataFrame([(2, "c"), (2, "d")], "id long, x string")
+    assert {(r.id, r.x) for r in relational.upsert(old, twice, last=F.col("x")).collect()} == {(1, "a"), (2, "d")}
+    none = spark.createDataFrame([(1, None, 1.0), (2, None, 5.0), (3, "m", 1.0), (4, "m", 2.0)], "id long, md5 string, score double")
+    assert sorted(r.id for r in relational.md5_dedup(none).collect()) == [2, 4]
 
 
 def test_prompts(spark):
