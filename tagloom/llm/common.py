@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Callable
@@ -22,13 +23,30 @@ BROADCAST_LIMIT = 8 << 20
 SHARE = 512
 
 _own_dir: dict[str, str] = {}
-#: Scratch tables that are still there, in order.
-_written: list[str] = []
+
+
+class _Scratch(threading.local):
+    """Scratch tables that are still there, by thread: those of each settled() that is under way, the outermost first."""
+
+    def __init__(self):
+        self.frames: list[list[str]] = [[]]
+
+
+_scratch = _Scratch()
+_marked: set[str] = set()
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder where driver and executors share it."""
-    return f"{shared_dir(spark)}/tagloom-{uuid.uuid4().hex}"
+    """A new folder where driver and executors share it, in one of the application's that goes when the application ends."""
+    of_app = f"{shared_dir(spark)}/tagloom-{spark.sparkContext.applicationId}"
+    if of_app not in _marked:
+        _marked.add(of_app)
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(of_app)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        # Only what is there can be marked.
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+    return f"{of_app}/{uuid.uuid4().hex}"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,7 +69,7 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     free_shuffles(spark)
     out = spark.read.schema(schema).parquet(path)
-    _written.append(path)
+    _scratch.frames[-1].append(path)
     out.scratch_path = path
     return out
 
@@ -60,16 +78,21 @@ def drop(*tables: DataFrame) -> None:
     """Delete tables that cut() wrote, once nothing lazy reads them any more."""
     for t in tables:
         remove(t.sparkSession, t.scratch_path)
-        _written.remove(t.scratch_path)
+        for frame in _scratch.frames:
+            if t.scratch_path in frame:
+                frame.remove(t.scratch_path)
 
 
 def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
     """cut(make()), and all the tables that were cut on the way deleted."""
-    before = len(_written)
-    out = cut(make(), name)
-    for path in _written[before:-1]:
+    _scratch.frames.append([])
+    try:
+        out = cut(make(), name)
+    finally:
+        mine = _scratch.frames.pop()
+    for path in mine[:-1]:
         remove(out.sparkSession, path)
-    del _written[before:-1]
+    _scratch.frames[-1].append(mine[-1])
     return out
 
 

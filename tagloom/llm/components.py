@@ -27,21 +27,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select(F.col("least").alias("a"), "b")).distinct()
 
 
-def components(links: DataFrame, rounds: int = 40) -> DataFrame:
-    """(node, component) of every node of links (a, b); component is the smallest node reachable."""
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) of every node of links (a, b); component is the smallest node reachable. Steps go on until no
+    link changes, which takes a number of them that grows with the logarithm of the links at most squared."""
     edges = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct(), "edges")
     sign = lambda e: tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
-    at = sign(edges)
-    for _ in range(rounds):
-        if not at[0]:
-            break
+    before, at = None, sign(edges)
+    while at[0] and at != before:
         large = cut(_large_star(edges), "edges")
         drop(edges)
         edges = cut(_small_star(large), "edges")
         drop(large)
         before, at = at, sign(edges)
-        if at == before:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select(F.col("a").alias("node"), F.col("a").alias("component"))).distinct()

@@ -14,6 +14,8 @@ import pyarrow as pa
 
 #: Bytes of text worked on at once; a longer text makes a chunk of its own.
 CHUNK = 1 << 19
+#: Bytes of a longer text whose words are hashed at once; arrays as long as bytes are never larger, but for longer words.
+PIECE = 1 << 20
 _B = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,6 +70,29 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, space: np.
 
     also: a class per byte; where two neighbours' classes differ a word ends as well.
     """
+    n = len(data)
+    if n <= PIECE:
+        return _words(data, offsets, lower, space, also)
+    found, at = [], 0
+    while at < n:
+        # Pieces end behind a separator, or at the end of the word that has none.
+        end = min(n, at + PIECE)
+        if end < n:
+            gaps = np.flatnonzero(space[data[at:end]])
+            while not len(gaps) and end < n:
+                ahead = np.flatnonzero(space[data[end : end + PIECE]])
+                gaps = ahead[:1] + end - at
+                end = min(n, end + PIECE)
+            end = at + int(gaps[-1]) + 1 if len(gaps) else n
+        inner = offsets[(offsets > at) & (offsets < end)] - at
+        h, _, starts, ends = _words(data[at:end], np.concatenate(([0], inner, [end - at])), lower, space, also)
+        found.append((h, starts + at, ends + at))
+        at = end
+    h, starts, ends = (np.concatenate(x) for x in zip(*found, strict=True))
+    return h, np.searchsorted(starts, offsets), starts, ends
+
+
+def _words(data: np.ndarray, offsets: np.ndarray, lower: bool, space: np.ndarray, also: np.ndarray | None):
     n = len(data)
     bounds = np.zeros(len(offsets), np.int64)
     if not n:
@@ -96,13 +121,13 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, space: np.
 
 def prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, k: int, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(numbers of the words longer than k bytes, hash of their first k bytes), apart from all whole words' hashes."""
-    n = len(data)
     at = np.flatnonzero(ends - starts > k)
-    up, down = powers(n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_TABLE[_LOWER[data] if lower else data] * up[:n], out=sums[1:])
-    a = starts[at]
-    return at, mix((sums[a + k] - sums[a]) * down[a] + np.uint64(0x2545F4914F6CDD1D + k))
+    up, _ = powers(k)
+    h = np.zeros(len(at), np.uint64)
+    for i in range(k):
+        byte = data[starts[at] + i]
+        h += _TABLE[_LOWER[byte] if lower else byte] * up[i]
+    return at, mix(h + np.uint64(0x2545F4914F6CDD1D + k))
 
 
 def runs(h: np.ndarray, k: int, base: int = 0xA24BAED4963EE407) -> np.ndarray:

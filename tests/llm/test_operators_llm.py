@@ -84,6 +84,20 @@ def test_word_hashes(texts):
     assert found == [[w.encode() for w in WORDS.findall(t)] for t in [*texts, ""]]
 
 
+@pytest.mark.parametrize("piece", [1, 7, 64])
+def test_word_hashes_by_pieces(monkeypatch, piece):
+    """Long texts are hashed piece by piece with the same words and hashes, long words included."""
+    rng = random.Random(2)
+    texts = [" ".join("x" * rng.choice((1, 3, 200)) + rng.choice("AbC,9") for _ in range(40)) for _ in range(5)] + ["", "  ", "y" * 500, " z"]
+    _, data, offsets = next(wordhash.chunks(pa.array(texts)))
+    whole = [wordhash.words(data, offsets, lower=low, also=also) for low, also in ((True, None), (False, quality._SAME))]
+    heads = wordhash.prefixes(data, *whole[0][2:], 5)
+    monkeypatch.setattr(wordhash, "PIECE", piece)
+    for got, want in zip([wordhash.words(data, offsets, lower=low, also=also) for low, also in ((True, None), (False, quality._SAME))], whole, strict=True):
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(got, want, strict=True))
+    assert len(heads[0]) and len({int(h) for h in heads[1]}) == len({bytes(data[a : a + 5]).lower() for a in whole[0][2][heads[0]]})
+
+
 def test_token_counts(spark, docs, rows, empty, tmp_path):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -410,6 +424,8 @@ def test_decontamination_ids_and_slots(spark):
     d = spark.createDataFrame([(i, t, "", "", 0, "", k) for k, (i, t) in enumerate(rows)], SCHEMA)
     got = [(r.doc_id, r.item_id, r.exact) for r in decontaminate.contaminated(d, bench).collect()]
     assert sorted(got, key=str) == sorted([(None, 4, True), (5, 2, True), (5, 3, True), (6, 1, False), (7, 1, True), (7, 2, True)], key=str)
+    long = " ".join(f"Word{i % 977} w{i % 1009} {i}" for i in range(40_000)) + " " + items[4]
+    assert [r.item_id for r in decontaminate.contaminated(spark.createDataFrame([(1, long, "", "", 0, "", 0)], SCHEMA), bench).collect()] == [4]
     keyed = {r.hash for r in decontaminate.contaminated(d, bench, key_col="hash").collect()}
     assert keyed == {0, 1, 2, 3, 6, 7}
 
@@ -584,6 +600,12 @@ def test_html_repeats(spark):
     assert {i: got[i] for i in want} == want
 
 
+def test_html_long_page():
+    parts = [f"<p>line {i} &amp; more</p>" for i in range(60_000)]
+    got = html_extract.main_text(html_extract.parse("<body><nav>x</nav><article>" + "".join(parts) + "</article>"))
+    assert got == "\n\n".join(f"line {i} & more" for i in range(60_000))
+
+
 def test_html_names():
     some = "Some words of the article that are long enough"
     text = lambda page: html_extract.main_text(html_extract.parse(page))
