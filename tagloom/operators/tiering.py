@@ -49,14 +49,75 @@ def prefiltered(posts: DataFrame, artists: list[str] | None = None, most: int =
     return rows.filter(few("tag_string_character") & few("tag_string_copyright"))
 
 
-def thresholds(rows: DataFrame) -> DataFrame:
-    """One row of exact percentiles; zeros where a metric has too few different values to part."""
+#: Bins of a histogram, and rows of an interval that are few enough to be counted by value.
+BINS, FEW = 1024, 10_000
+
+
+def percentiles(rows: DataFrame, points: dict[str, tuple[float, ...]], least: dict[str, int]) -> dict[str, list[float]]:
+    """Exact percentiles (linear between neighbours) of several columns at once; zeros for a column that has no more than
+    `least` different values.
+
+    All columns are counted in one pass into histograms between their ends; each wanted rank leads to a bin, whose own
+    least and greatest values bound the next, finer histogram, until an interval holds few rows or one value. So a pass
+    gives the driver BINS rows for each interval, and no task holds a column's values.
+    """
+    names = list(points)
+    ends = rows.agg(*[f(c).cast(t) for c in names for f, t in ((F.count, "long"), (F.min, "double"), (F.max, "double"))]).first()
+    size, low, high = ({c: ends[3 * i + k] for i, c in enumerate(names)} for k in range(3))
+    ranks = {c: sorted({r for p in points[c] for r in (int(p * (size[c] - 1)), min(int(p * (size[c] - 1)) + 1, size[c] - 1))}) for c in names if size[c]}
+    # What is still open: (column, least, greatest, rows below it) -> ranks inside.
+    todo, found, many = {(c, low[c], high[c], 0): rs for c, rs in ranks.items()}, {}, {c: False for c in names}
+
+    def passed(intervals: list[tuple], value: bool) -> dict[int, list]:
+        """Rows of each interval: (place, count, least, greatest), by bin or by value, in order."""
+        each = []
+        for i, (c, a, b, _) in enumerate(intervals):
+            v = F.col(c).cast("double")
+            place = v if value else F.least(F.floor((v - a) / ((b - a) / BINS or 1.0)), F.lit(BINS - 1)).cast("double")
+            each.append(F.when(v.between(a, b), F.struct(F.lit(i).alias("i"), place.alias("place"), v.alias("v"))))
+        cells = rows.select(F.explode(F.array_compact(F.array(*each))).alias("x")).groupBy("x.i", "x.place").agg(F.count(F.lit(1)).alias("n"), F.min("x.v").alias("lo"), F.max("x.v").alias("hi"))
+        out: dict[int, list] = {i: [] for i in range(len(intervals))}
+        for i, place, n, lo, hi in cells.collect():
+            out[i].append((place, n, lo, hi))
+        return {i: sorted(x) for i, x in out.items()}
+
+    first = True
+    while todo:
+        intervals, after = list(todo), {}
+        for i, cells in passed(intervals, False).items():
+            c, _, _, below = intervals[i]
+            if first:
+                many[c] = sum(1 + (lo < hi) for _, _, lo, hi in cells) > least[c]
+            for _, n, lo, hi in cells:
+                inside = [r for r in todo[intervals[i]] if below <= r < below + n]
+                if inside and lo == hi:
+                    found |= {(c, r): lo for r in inside}
+                elif inside:
+                    after[c, lo, hi, below, n] = inside
+                below += n
+        first = False
+        few = [k[:4] for k in after if k[4] <= FEW]
+        for i, cells in (passed(few, True) if few else {}).items():
+            c, _, _, below = few[i]
+            wanted = next(rs for k, rs in after.items() if k[:4] == few[i])
+            for v, n, _, _ in cells:
+                found |= {(c, r): v for r in wanted if below <= r < below + n}
+                below += n
+        todo = {k[:4]: rs for k, rs in after.items() if k[4] > FEW}
+    out = {}
+    for c in names:
+        enough = size[c] and (many[c] or rows.select(c).filter(F.col(c).isNotNull()).distinct().limit(least[c] + 1).count() > least[c])
+        at = [p * (size[c] - 1) for p in points[c]] if enough else []
+        value = lambda r, c=c: found[c, min(r, size[c] - 1)]
+        out[c] = [value(int(x)) + (x - int(x)) * (value(int(x) + 1) - value(int(x))) for x in at] if enough else [0.0] * len(points[c])
+    return out
 
-    def cut(metric: str, points: tuple[float, ...], least: int) -> Column:
-        zero = F.array(*[F.lit(0.0)] * len(points))
-        return F.when(F.count_distinct(metric) > least, F.percentile(metric, F.array(*[F.lit(p) for p in points]))).otherwise(zero).alias(f"t_{metric}")
 
-    return rows.agg(cut("score", (0.20, 0.60, 0.92), 3), cut("fav_count", (0.20, 0.60, 0.92), 3), cut("aes_score", (0.25, 0.38, 0.50), 4))
+def thresholds(rows: DataFrame) -> DataFrame:
+    """One row of exact percentiles; zeros where a metric has too few different values to part."""
+    points = {"score": (0.20, 0.60, 0.92), "fav_count": (0.20, 0.60, 0.92), "aes_score": (0.25, 0.38, 0.50)}
+    got = percentiles(rows, points, {"score": 3, "fav_count": 3, "aes_score": 4})
+    return rows.sparkSession.createDataFrame([tuple(got[c] for c in points)], ", ".join(f"t_{c} array<double>" for c in points))
 
 
 def labelled(rows: DataFrame) -> DataFrame:

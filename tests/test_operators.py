@@ -373,6 +373,25 @@ def test_restore_and_subfolder(spark):
     assert one(spark, tags.subfolder(F.lit("x b a"), F.lit(2), ["a", "b"])) == "a/2" and one(spark, tags.subfolder(F.lit("x"), F.lit(2), ["a"])) == "2" and one(spark, tags.subfolder(F.lit("x"), F.lit(2), [])) == "2"
 
 
+@pytest.mark.parametrize("few", [10_000, 5])
+def test_percentiles(spark, monkeypatch, few):
+    """Exact for ties, long tails, few values and nulls, however fine the histograms must get."""
+    import numpy as np
+
+    monkeypatch.setattr(tiering, "FEW", few)
+    monkeypatch.setattr(tiering, "BINS", 16)
+    rng = np.random.default_rng(5)
+    columns = {"a": rng.integers(0, 40, 3000).astype(float), "b": np.exp(rng.normal(0, 6, 3000)), "c": np.repeat([1.0, 2.0, 3.0], 1000), "d": rng.normal(size=3000)}
+    rows = [tuple(None if k == "d" and i % 3 == 0 else float(v[i]) for k, v in columns.items()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    points = {k: (0.0, 0.2, 0.38, 0.5, 0.92, 1.0) for k in columns}
+    got = tiering.percentiles(df, points, dict.fromkeys(columns, 3))
+    columns["d"] = np.array([r[3] for r in rows if r[3] is not None])
+    for k, v in columns.items():
+        assert got[k] == pytest.approx([0.0] * 6 if k == "c" else np.quantile(v, points[k]).tolist(), rel=1e-12)
+    assert tiering.percentiles(df.limit(0), {"a": (0.5,)}, {"a": 3}) == {"a": [0.0]}
+
+
 def test_draw(spark):
     """Quotas by rating first, the rest by key; against plain Python."""
     rng = random.Random(4)
