@@ -6,6 +6,7 @@ import gc
 import os
 import tempfile
 import threading
+import time
 import uuid
 import zipfile
 from collections.abc import Callable
@@ -22,6 +23,9 @@ BROADCAST_LIMIT = 8 << 20
 #: A key with more than this part of all rows is dealt over several tasks.
 SHARE = 512
 
+#: Seconds between collections of the driver's garbage.
+FREE_EVERY = 4.0
+_freed = 0.0
 _own_dir: dict[str, str] = {}
 
 
@@ -96,10 +100,14 @@ def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
     return out
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark's context cleaner drop the shuffle files of finished jobs."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def free_shuffles(spark: SparkSession, now: bool = False) -> None:
+    """Let Spark's context cleaner drop the shuffle files of finished jobs, unless it was let a moment ago: jobs that are
+    done in less than FREE_EVERY seconds leave little behind, and collecting costs as much as they do."""
+    global _freed
+    if now or time.monotonic() - _freed > FREE_EVERY:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _freed = time.monotonic()
 
 
 def exists(spark: SparkSession, path: str) -> bool:

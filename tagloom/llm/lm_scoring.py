@@ -189,6 +189,6 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "
     known = sums.select("chunk", "range", "size", "data").unionByName(good, allowMissingColumns=True)
     # The counting job's shuffles are let go before the texts are dealt out again.
     del parts, each
-    free_shuffles(docs.sparkSession)
+    free_shuffles(docs.sparkSession, now=True)
     score = _score(total or back_total, back_total, max(WORDS, words), not total)
     return rows.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, "doc_id long, n_words long, target_loss double, background_loss double, difference double")
