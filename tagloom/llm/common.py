@@ -143,10 +143,14 @@ def unit_hash(seed: str, *cols: Column) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
+def fits(spark: SparkSession, rows: int, width: int) -> bool:
+    """Whether rows x width bytes may be broadcast."""
+    return rows * width <= int(spark.conf.get("spark.tagloom.broadcastLimit", str(BROADCAST_LIMIT)))
+
+
 def bounded_broadcast(small: DataFrame, rows: int, width: int) -> DataFrame:
     """Broadcast hint only where rows x width bytes stays under the limit."""
-    limit = int(small.sparkSession.conf.get("spark.tagloom.broadcastLimit", str(BROADCAST_LIMIT)))
-    return F.broadcast(small) if rows * width <= limit else small.hint("merge")
+    return F.broadcast(small) if fits(small.sparkSession, rows, width) else small.hint("merge")
 
 
 def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], by: list[str], count: str = "n", how: str = "inner") -> DataFrame:

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, fits, spread_join
 
 #: Pages that a host needs before its template is trusted.
 MIN_PAGES = 3
@@ -364,20 +364,32 @@ def _faults(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["host", "class", "token", "low", "high"])
 
 
+def with_template(pages: DataFrame, known: DataFrame, how: str) -> DataFrame:
+    """pages (host, row, ...) joined to one row per host: broadcast while all templates are small; beyond that both sides
+    are shuffled and the pages of a large host are dealt over tasks."""
+    size = known.agg(F.sum(F.size("template") + 8)).first()[0] or 0
+    if fits(pages.sparkSession, size, 32):
+        return pages.join(F.broadcast(known), "host", how)
+    return spread_join(pages, known, ["host"], ["row"], "all_pages", how)
+
+
 def templates(parsed: DataFrame) -> DataFrame:
-    """(host, template, bad): candidates of each host's template and their faults over all pages. parsed: as _parse gives."""
+    """(host, template, all_pages, bad): candidates of each host's template and their faults over all pages. parsed: as
+    _parse gives."""
     each = parsed.select("host", "row", F.posexplode(F.arrays_zip("seq", "nth")).alias("at", "s")).select("host", "row", "at", "s.seq", "s.nth")
     first = F.col("nth") == 1
     vectors = each.groupBy("host", F.col("seq").alias("token")).agg(
         F.bit_xor(F.xxhash64("row", "nth")).alias("vector"), F.count_if(first).alias("pages"), F.count(F.lit(1)).alias("n"), F.min(F.when(first, F.struct("row", "at"))).alias("first")
     )
     vectors = cut(vectors.filter((F.col("pages") > MIN_PAGES // 2) | (F.col("token") == ROOT)), "vectors")
-    root = vectors.filter(F.col("token") == ROOT).select("host", F.col("pages").alias("all_pages")).filter(F.col("all_pages") >= MIN_PAGES)
-    often = vectors.join(root, "host").filter(F.col("pages") * 2 >= F.col("all_pages"))
+    root = vectors.groupBy("host").agg(F.max(F.when(F.col("token") == ROOT, F.col("pages"))).alias("all_pages"), F.count(F.lit(1)).alias("tokens")).filter(F.col("all_pages") >= MIN_PAGES)
+    root = cut(root, "hosts")
+    own = vectors.join(F.broadcast(root), "host") if fits(parsed.sparkSession, root.count(), 64) else spread_join(vectors, root, ["host"], ["token"], "tokens")
+    often = own.filter(F.col("pages") * 2 >= F.col("all_pages"))
     # Tokens on at least half of a host's pages: at most twice as many as a page has. A class is told by its vector.
     one = F.struct("token", F.xxhash64("vector", "pages", "n").alias("class"), F.col("first.at").cast("int").alias("rank"))
-    found = cut(often.groupBy("host").agg(F.array_sort(F.collect_list(one)).alias("template")), "classes")
-    met = parsed.select("host", "seq").join(found, "host").select("host", "template", "seq")
+    found = cut(often.groupBy("host").agg(F.array_sort(F.collect_list(one)).alias("template"), F.max("all_pages").alias("all_pages")), "classes")
+    met = with_template(parsed.select("host", "row", "seq"), found, "inner").select("host", "template", "seq")
     broken = met.mapInArrow(_faults, "host string, class long, token long, low int, high int").groupBy("host", "class", "token").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     bad = broken.groupBy("host").agg(F.collect_list(F.struct("class", "token", "low", "high")).alias("bad"))
     return found.join(bad, "host", "left")
@@ -406,7 +418,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(host.alias("host"), F.xxhash64(number, pages[url_col], html).alias("row"), number.alias("page_id"), pages[url_col].alias("url"), html.alias("html"))
     schema = "host string, row long, page_id long, url string, " + ", ".join(f"{k} array<{t}>" for k, t in _ARRAYS.items())
     parsed = cut(rows.mapInArrow(_parse, schema), "parsed")
-    # One row per host: Spark broadcasts the table while it is under its threshold and shuffles both sides beyond.
     known = cut(templates(parsed), "templates")
-    joined = parsed.select("host", "page_id", "url", *_PAGE).join(known, "host", "left")
+    joined = with_template(parsed.select("host", "row", "page_id", "url", *_PAGE), known, "left")
     return joined.select("host", "page_id", "url", *_PAGE, "template", "bad").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

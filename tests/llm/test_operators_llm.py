@@ -598,6 +598,12 @@ def test_html_repeats(spark):
     assert all(f"{head}\n\n{text}" in got[i] and "Home" not in got[i] and "cookies" not in got[i] for i in range(6))
     assert all(got[10 + i] == f"{head}\n\n{text}" for i in range(6))
     assert {i: got[i] for i in want} == want
+    # Nothing broadcast: the same texts.
+    spark.conf.set("spark.tagloom.broadcastLimit", "0")
+    try:
+        assert extracted(spark, pages) == got
+    finally:
+        spark.conf.unset("spark.tagloom.broadcastLimit")
 
 
 def test_html_long_page():
