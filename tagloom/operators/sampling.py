@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -74,6 +75,18 @@ def uniform(rows: DataFrame, n: int, u: Column) -> DataFrame:
     return rows.orderBy(u, "id").limit(n)
 
 
+def high_quality(labels: DataFrame, tiers: DataFrame, n: int, u: Callable[[str], Column], wanted: tuple[str, ...] = ("masterpiece", "good_score"), best: str = "best") -> DataFrame:
+    """(id, relative_path, taken_as): n labelled files of each wanted tier, then n of the best label among the others.
+
+    labels: (relative_path, aesthetic_label), whose id is the file's name; tiers: (id, final_tier).
+    """
+    rows = labels.withColumn("id", tags.id_of_path(F.col("relative_path"))).join(tiers.select("id", "final_tier"), "id", "left")
+    parts = [rows.filter(F.col("final_tier") == t).orderBy(u(t), "relative_path").limit(n).withColumn("taken_as", F.lit(t)) for t in wanted]
+    taken = cut(reduce(DataFrame.unionByName, parts).select("id", "relative_path", "taken_as"))
+    rest = rows.filter(F.col("aesthetic_label") == best).join(taken.select("id"), "id", "left_anti").orderBy(u(best), "relative_path").limit(n)
+    return taken.unionByName(rest.select("id", "relative_path", F.lit(best).alias("taken_as")))
+
+
 SAMPLED = ("id", "quality_tier", "rating", "tag_string", "file_url", "large_file_url", "image_width", "image_height")
 
 

@@ -83,6 +83,30 @@ def applied(rows: DataFrame, act: Callable[[dict], str], attempts: int = 3, wait
     return rows.mapInArrow(run, "id long, outcome string")
 
 
+def sidecar_writer(root: str) -> Callable[[dict], str]:
+    """An act for applied(): a row's prompt and JSON beside its image, each by a rename, so a repeated task does no harm.
+
+    Rows hold id, relative (the image's path below root), and prompt, json or both; root is a folder all executors share.
+    """
+
+    def act(row: dict) -> str:
+        import os
+
+        plain = os.path.join(root, os.path.splitext(row["relative"])[0])
+        done = []
+        for column, suffix in (("prompt", ".txt"), ("json", ".json")):
+            if row.get(column) is None:
+                continue
+            part = f"{plain}{suffix}.{os.getpid()}.part"
+            with open(part, "w", encoding="utf-8") as f:
+                f.write(row[column])
+            os.replace(part, plain + suffix)
+            done.append(suffix)
+        return " ".join(done)
+
+    return act
+
+
 def complete(listed: DataFrame, images: DataFrame, texts: DataFrame, jsons: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows that have image, text and json; ids of images without a prompt)."""
     with_image = listed.join(images.select("id").distinct(), "id", "left_semi")

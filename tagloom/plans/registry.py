@@ -11,6 +11,7 @@ from ..functions import fixed, tags, tokens
 from ..operators import buckets, counts, impute, incremental, models, prompts, relational, sampling, similarity, sinks, tiering
 from ..sources.posts import hash_key, hash_key_sql, posts, posts_sql
 from ..sources.tables import existing, table, with_scores
+from ..sources.tables import token_prompts as token_files_read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -764,3 +765,22 @@ def prompt_tokens(spark, sf):
     rows = posts(spark, sf).select("id", "rating", "tag_string_general", F.lit("").alias("tag_string_character"), F.lit("").alias("tag_string_copyright"), F.lit("").alias("tag_string_artist"), F.lit("x").alias("final_tier"), F.lit("").alias("tag_string_meta"), F.lit("").alias("created_at"), F.lit("sky").alias("upsampled_tags"))
     out = prompts.prompts(rows, encode=encode, budget=1_000_000)
     return out.select("id", *[F.size(f"{c}_tokens").cast("long").alias(c) for c in ("prefix", "general", "suffix")])
+
+
+@query(f"""WITH l AS (SELECT id, 'a/' || id || '.png' AS relative_path, CASE id % 3 WHEN 0 THEN 'best' WHEN 1 THEN 'worst' END AS aesthetic_label, CASE id % 4 WHEN 0 THEN 'masterpiece' WHEN 1 THEN 'good_score' WHEN 2 THEN 'bad_score' END AS final_tier FROM posts),
+m AS (SELECT id, relative_path, 'masterpiece' AS taken_as FROM l WHERE final_tier = 'masterpiece' ORDER BY {hash_key_sql('masterpiece', 'id')}, relative_path LIMIT 20),
+g AS (SELECT id, relative_path, 'good_score' AS taken_as FROM l WHERE final_tier = 'good_score' ORDER BY {hash_key_sql('good_score', 'id')}, relative_path LIMIT 20),
+b AS (SELECT id, relative_path, 'best' AS taken_as FROM l WHERE aesthetic_label = 'best' AND id NOT IN (SELECT id FROM m UNION ALL SELECT id FROM g) ORDER BY {hash_key_sql('best', 'id')}, relative_path LIMIT 20)
+SELECT * FROM m UNION ALL SELECT * FROM g UNION ALL SELECT * FROM b""")
+def high_quality_sample(spark, sf):
+    rows = posts(spark, sf).select("id")
+    name = lambda by, *names: F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("id") % by + 1).cast("int"))
+    labels = rows.select(F.concat(F.lit("a/"), F.col("id").cast("string"), F.lit(".png")).alias("relative_path"), name(3, "best", "worst", None).alias("aesthetic_label"))
+    return sampling.high_quality(labels, rows.select("id", name(4, "masterpiece", "good_score", "bad_score", None).alias("final_tier")), 20, lambda s: hash_key(s, "id"))
+
+
+@query("""SELECT id, CASE WHEN id % 3 = 2 THEN '[]' ELSE '[1,2]' END AS prefix, CASE WHEN id % 3 = 0 THEN 0.5 ELSE 1.0 END AS weight FROM posts""")
+def token_prompts(spark, sf):
+    texts = F.element_at(F.array(F.lit('{"prefix_tokens":[1,2],"tag_weight":0.5,"x":"y"}'), F.lit('{"prefix_tokens":[1,2],"general_tokens":[3]}'), F.lit("no json")), (F.col("id") % 3 + 1).cast("int"))
+    out = token_files_read(posts(spark, sf).select("id", texts.alias("text")))
+    return out.select("id", F.to_json("prefix_tokens").alias("prefix"), F.col("tag_weight").alias("weight"))

@@ -38,6 +38,7 @@ class Config:
     per_shard: int = 24_000
     functions: dict[str, str] = field(default_factory=dict)
     names: list[str] = field(default_factory=list)
+    sidecars: bool = False
     categories: list[int] = field(default_factory=list)
 
     @classmethod
@@ -176,7 +177,13 @@ class Run:
         # A tokenizer of the caller's, from a text column to token ids, adds the ids that shards keep.
         encode = self.function("tokenize") if "tokenize" in self.config.functions else None
         out = prompts.prompts(rows, self.u("synonym"), None if encode else prompts.words_and_commas, encode=encode)
-        return self.write(out.select("id", "prompt", "final_tier", *[c for c in out.columns if c.endswith("_tokens")]), "prompts")
+        out = self.write(out.select("id", "prompt", "final_tier", *[c for c in out.columns if c.endswith("_tokens")]), "prompts")
+        if self.config.sidecars:
+            at = self.images().filter("id >= 0").groupBy("id").agg(F.max("relative").alias("relative"))
+            rows = out.join(at, "id")
+            rows = rows.join(sinks.token_json(out), "id") if encode else rows
+            self.write(sinks.applied(rows, sinks.sidecar_writer(str(self.config.images).removeprefix("file://"))), "sidecars")
+        return out
 
     def tag_weights(self) -> DataFrame:
         rows = self.table("prompts", "id long, prompt string")

@@ -115,6 +115,30 @@ def files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = IMAGE_SUFF
     return rows.select("path", name.alias("name"), tags.id_of_path(F.col("path")).alias("id"), F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1)).alias("suffix"), "length", relative.alias("relative"))
 
 
+def scanned(spark: SparkSession, root: str, suffixes: tuple[str, ...] = IMAGE_SUFFIXES) -> DataFrame:
+    """files(), but those directly in the root are left out where it has any folder."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(root)
+    folders = [s for s in where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where) if s.isDirectory()]
+    found = files(spark, root, suffixes)
+    return found.filter(F.contains("relative", F.lit("/"))) if folders else found
+
+
+def sized(spark: SparkSession, root: str, sidecars: DataFrame) -> DataFrame:
+    """(id, path, width, height) of the images that can be opened and have a sidecar that is not empty."""
+    decoded = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(root)
+    images = decoded.select(F.col("image.origin").alias("path"), "image.width", "image.height").withColumn("id", tags.id_of_path(F.col("path")))
+    return images.join(sidecars.filter("length > 0 and id >= 0").select("id").distinct(), "id", "left_semi").select("id", "path", "width", "height")
+
+
+def token_prompts(sidecars: DataFrame) -> DataFrame:
+    """(id, prefix_tokens, general_tokens, suffix_tokens, tag_weight) of JSON sidecars (id, text); weight 1 and empty lists
+    where a member, or the whole text, cannot be read."""
+    lists = ("prefix_tokens", "general_tokens", "suffix_tokens")
+    rows = sidecars.select("id", F.from_json("text", ", ".join(f"{c} array<int>" for c in lists) + ", tag_weight double").alias("j"))
+    return rows.select("id", *[F.coalesce(f"j.{c}", F.array().cast("array<int>")).alias(c) for c in lists], F.coalesce("j.tag_weight", F.lit(1.0)).alias("tag_weight"))
+
+
 def path_by_id(found: DataFrame) -> DataFrame:
     """(id, path): one path per integer name, the last by name."""
     return found.filter("id >= 0").groupBy("id").agg(F.max("path").alias("path"))

@@ -349,6 +349,27 @@ def test_sources(spark, tmp_path):
         assert one(spark, tables.decoded_text(F.unhex(F.lit(data.hex())))).strip("\ufeff") == "ä", i
 
 
+def test_scans_and_sidecars(spark, tmp_path):
+    import struct
+    import zlib
+
+    def png(w, h):
+        part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+        return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + part(b"IDAT", zlib.compress((b"\0" + b"\x10\x20\x30" * w) * h)) + part(b"IEND", b"")
+
+    (tmp_path / "1").mkdir()
+    for name, data in (("5.png", png(3, 2)), ("1/6.png", png(4, 5)), ("1/7.png", b"broken"), ("1/8.png", png(1, 1))):
+        (tmp_path / name).write_bytes(data)
+    root = str(tmp_path)
+    assert sorted(r.id for r in tables.scanned(spark, root).collect()) == [6, 7, 8] and [r.id for r in tables.scanned(spark, f"{root}/1").orderBy("id").collect()] == [6, 7, 8]
+    rows = tables.files(spark, root).filter("id in (6, 7)").select("id", "relative", F.concat(F.lit("prompt "), F.col("id").cast("string")).alias("prompt"), F.lit("{}").alias("json"))
+    for _ in range(2):
+        assert {(r.id, r.outcome) for r in sinks.applied(rows, sinks.sidecar_writer(root)).collect()} == {(6, ".txt .json"), (7, ".txt .json")}
+    assert (tmp_path / "1/6.txt").read_text() == "prompt 6" and (tmp_path / "1/7.json").read_text() == "{}" and not list(tmp_path.rglob("*.part"))
+    got = tables.sized(spark, root, tables.files(spark, root, ("txt",))).collect()
+    assert [(r.id, r.width, r.height) for r in got] == [(6, 4, 5)]
+
+
 def test_windowed_counts(spark, tmp_path):
     rows = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(0, 7200, 60)] + [(90_000, "a")], "at long, k string").select(F.timestamp_seconds("at").alias("at"), "k")
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
