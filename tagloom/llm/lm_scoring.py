@@ -36,8 +36,11 @@ from .hashed import sums_by_text
 WORDS = 1 << 20
 #: Words that the unigram model weighs in each bigram context.
 BACKOFF = 8.0
-#: Bytes of text whose n-grams are sent together, and bytes of all text for each range of hashes.
-CHUNK, RANGE = 4 << 20, 32 << 20
+#: Bytes of text whose n-grams are sent together, and bytes of all text for each range of hashes, at the least; large
+#: inputs take up to 8 times as much, so the pieces that chunks send to ranges do not get ever smaller.
+CHUNK, RANGE = 4 << 20, 16 << 20
+#: Bytes of all text for each task.
+TASK = 64 << 20
 #: Bits of an n-gram's hash.
 BITS = 56
 
@@ -174,16 +177,23 @@ def _score(total: int, back_total: int, vocabulary: int, whole: bool):
     return run
 
 
+def sized(least: int, wanted: int, times: int) -> int:
+    return max(least, min(wanted, least * times))
+
+
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, target_loss, background_loss, difference."""
     n_bytes = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
-    n_chunks, bits = n_bytes // CHUNK + 1, max(1, (n_bytes // RANGE).bit_length())
+    n_chunks, bits = n_bytes // sized(CHUNK, n_bytes >> 13, 8) + 1, max(1, (n_bytes // sized(RANGE, n_bytes >> 10, 8)).bit_length())
+    # Tasks grow with the input, so what one of them reads does not.
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_bytes // TASK)
+    dealt = lambda df: df.repartition(tasks, "chunk").groupBy("chunk")
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(n_chunks)))
     good = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg("quality").alias("quality"))
     good = cut(good.filter("quality > 0.5").select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).alias("chunk")), "good")
-    parts = rows.groupBy("chunk").cogroup(good.groupBy("chunk")).applyInArrow(_count(bits), "chunk long, range int, size int, data binary")
-    each = parts.select("range", "chunk", "size", "data").repartition("range").sortWithinPartitions("range")
+    parts = dealt(rows).cogroup(dealt(good)).applyInArrow(_count(bits), "chunk long, range int, size int, data binary")
+    each = parts.select("range", "chunk", "size", "data").repartition(tasks, "range").sortWithinPartitions("range")
     sums = cut(each.mapInArrow(_add, "chunk long, range int, size int, data binary, words long, n long, n_good long"), "sums")
     words, back_total, total = (x or 0 for x in sums.agg(F.sum("words"), F.sum("n"), F.sum("n_good")).first())
     known = sums.select("chunk", "range", "size", "data").unionByName(good, allowMissingColumns=True)
@@ -191,4 +201,4 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "
     del parts, each
     free_shuffles(docs.sparkSession, now=True)
     score = _score(total or back_total, back_total, max(WORDS, words), not total)
-    return rows.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, "doc_id long, n_words long, target_loss double, background_loss double, difference double")
+    return dealt(rows).cogroup(dealt(known)).applyInArrow(score, "doc_id long, n_words long, target_loss double, background_loss double, difference double")

@@ -424,6 +424,11 @@ def test_decontamination_ids_and_slots(spark):
     d = spark.createDataFrame([(i, t, "", "", 0, "", k) for k, (i, t) in enumerate(rows)], SCHEMA)
     got = [(r.doc_id, r.item_id, r.exact) for r in decontaminate.contaminated(d, bench).collect()]
     assert sorted(got, key=str) == sorted([(None, 4, True), (5, 2, True), (5, 3, True), (6, 1, False), (7, 1, True), (7, 2, True)], key=str)
+    spark.conf.set("spark.tagloom.broadcastLimit", "0")
+    try:
+        assert sorted(((r.doc_id, r.item_id, r.exact) for r in decontaminate.contaminated(d, bench).collect()), key=str) == sorted(got, key=str)
+    finally:
+        spark.conf.unset("spark.tagloom.broadcastLimit")
     long = " ".join(f"Word{i % 977} w{i % 1009} {i}" for i in range(40_000)) + " " + items[4]
     assert [r.item_id for r in decontaminate.contaminated(spark.createDataFrame([(1, long, "", "", 0, "", 0)], SCHEMA), bench).collect()] == [4]
     keyed = {r.hash for r in decontaminate.contaminated(d, bench, key_col="hash").collect()}
