@@ -5,7 +5,9 @@ over the corpus), so two sets can only be similar enough if their prefixes meet
 put in blocks; a block's sets are stored in a prefix tree in global order and the block's probe traverses it: paths
 share partial overlaps, and subtrees are pruned by the overlap that their remaining lengths still allow.
 
-Copies fold into one set before anything is joined. In crowded prefix n-grams members are first held against the set in
+Copies fold into one set before anything is joined. Only sets of like size can be similar, so members of an n-gram meet
+in size slots: a set has its size class's slot and the next one, so two sets of like size have one in common, and an n-gram
+that many sets of all sizes hold by chance is no crowd. In crowded prefix n-grams members are first held against the set in
 the middle of the crowd, so groups of near copies become one component at linear cost; whoever is left out there is then
 held against all of its crowd, block by block. Elsewhere all pairs of different components are compared whose prefixes
 leave enough overlap possible. Links are exact: sets are rebuilt from the texts.
@@ -20,20 +22,21 @@ table gives an empty result; further columns of the input are ignored, but the o
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .common import bounded_broadcast, cut, settled
+from .common import bounded_broadcast, cut, drop, settled
 from .components import components
 from .hashed import hashed_counts
 
 BUCKETS = 1 << 22
-#: Members of a prefix n-gram beyond which they are first held against the middle of the crowd.
+#: Members of a prefix n-gram in a size slot beyond which they are first held against the middle of the crowd.
 CROWD = 64
 #: Sets and probes of one block, at the most usual.
 MEMBERS, PROBES = 256, 64
@@ -253,30 +256,42 @@ def families_checked(families: DataFrame, texts: DataFrame, rank, k: int, percen
     return _checked(both.select(F.concat_ws(":", "family", "p", "m").alias("block"), "role", "id"), texts, rank, k, percent)
 
 
+def size_class(n: Column, percent: int) -> Column:
+    """Class of a set's size; sets that can be similar are of one class or of neighbouring ones."""
+    # A little wider than the ratio of sizes asks for, so rounding never puts a class between two such sets.
+    return F.floor(F.log(n) / (math.log(100.0 / percent) * (1 + 1e-6) + 1e-9))
+
+
 def _components(rows: DataFrame, full: DataFrame, reps: DataFrame, rank, words: int, percent: int) -> DataFrame:
     """(node, component) of the linked sets. rows: (doc_id, text); full: sets that are not empty; reps: (sig, n, rep)."""
     tokens = full.filter("tokens is not null").select("doc_id", F.explode("tokens").alias("token"))
     shared = cut(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("crowd")).filter("crowd > 1").select("token"), "shared")
     met = cut(tokens.join(bounded_broadcast(shared, shared.count(), 16), "token"), "met")
     of_doc = full.filter("tokens is not null").select("doc_id", "sig", "n", F.element_at("tokens", -1).alias("last")).join(reps.select("sig", "rep"), "sig").drop("sig")
-    met = met.join(of_doc, "doc_id").select("token", "rep", "n", "last").distinct()
-    crowds = cut(met.groupBy("token").agg(F.count(F.lit(1)).alias("crowd")).filter("crowd > 1"), "crowds")
-    met = met.join(crowds, "token")
+    once = cut(met.join(of_doc, "doc_id").select("token", "rep", "n", "last").distinct(), "once")
+    drop(shared, met)
+    size = lambda n: size_class(F.col(n), percent)
+    met = once.withColumn("slot", F.explode(F.array(size("n"), size("n") + 1)))
+    crowds = cut(met.groupBy("token", "slot").agg(F.count(F.lit(1)).alias("crowd")).filter("crowd > 1"), "crowds")
+    met = cut(met.join(crowds, ["token", "slot"]), "met")
+    drop(once, crowds)
     # How much of a prefix is crowded tells how close a set is to the middle of its crowd, and bounds what pairs share there.
-    met = cut(met, "met")
-    held = cut(met.groupBy("rep").agg(F.count_if(F.col("crowd") > CROWD).alias("crowded"), F.count(F.lit(1)).alias("shared")), "held")
-    met = met.join(held, "rep")
+    held = cut(met.groupBy("rep", "slot").agg(F.count_if(F.col("crowd") > CROWD).alias("crowded"), F.count(F.lit(1)).alias("shared")), "held")
+    met = met.join(held, ["rep", "slot"])
     few = met.filter(F.col("crowd") <= CROWD)
     close = lambda x, y: (x * 100 >= y * percent) & (y * 100 >= x * percent)
     least = lambda x, y: F.ceil((x + y) * percent / (100.0 + percent) - 1e-9)
     tail = lambda n: F.ceil(n * percent / 100.0 - 1e-9) - 1
     # First, members of an n-gram against the set in the middle of them, which makes near copies one component at linear
     # cost. Nothing is settled by what is not linked here, so pairs that share little can wait.
-    middle = met.groupBy("token").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("share"), (-F.col("rep")).alias("neg"), F.col("n").alias("n"))).alias("m")).select("token", (-F.col("m.neg")).alias("pivot"), F.col("m.n").alias("pivot_n"))
+    middle = met.groupBy("token", "slot").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("share"), (-F.col("rep")).alias("neg"), F.col("n").alias("n"))).alias("m")).select("token", "slot", (-F.col("m.neg")).alias("pivot"), F.col("m.n").alias("pivot_n"))
     middle = cut(middle, "middle")
-    around = met.join(middle, "token").select("token", "rep", "n", "crowd", "pivot", "pivot_n")
+    around = met.join(middle, ["token", "slot"]).select("slot", "rep", "n", "crowd", "pivot", "pivot_n")
     crowd = around.filter(F.col("crowd") > CROWD)
-    stars = around.filter(close(F.col("n"), F.col("pivot_n")) & (F.col("rep") != F.col("pivot"))).groupBy("pivot", "rep", "n", "pivot_n").agg(F.count(F.lit(1)).alias("common"), F.max("crowd").alias("crowd"))
+    # Sets of one class meet in two slots.
+    top = lambda x, y: F.greatest(size(x), size(y))
+    common = F.greatest(F.count_if(F.col("slot") == top("n", "pivot_n")), F.count_if(F.col("slot") > top("n", "pivot_n")))
+    stars = around.filter(close(F.col("n"), F.col("pivot_n")) & (F.col("rep") != F.col("pivot"))).groupBy("pivot", "rep", "n", "pivot_n").agg(common.alias("common"), F.max("crowd").alias("crowd"))
     likely = 2 * F.col("common") >= least(F.col("n"), F.col("pivot_n")) - tail(F.least("n", "pivot_n"))
     stars = stars.filter(likely | (F.col("crowd") > CROWD)).select(F.col("pivot").alias("probe"), F.col("rep").alias("member"))
     stars = cut(stars, "stars")
@@ -288,9 +303,9 @@ def _components(rows: DataFrame, full: DataFrame, reps: DataFrame, rank, words:
     family = cut(family, "families")
     # The rest: pairs of different components that meet outside crowds. What a pair shares is at most what it shares among
     # the first members up to the lesser last token of both prefixes, and all that follows in the set that ends there.
-    rest = cut(few.select("token", "rep", "n", "last", "crowded").join(named.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "rest")
-    a, b = (rest.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "last", "crowded", "component")]) for s in "ab")
-    cross = a.join(b, "token").filter((F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b")) & close(F.col("n_a"), F.col("n_b")))
+    rest = cut(few.select("token", "slot", "rep", "n", "last", "crowded").join(named.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "rest")
+    a, b = (rest.select("token", "slot", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "last", "crowded", "component")]) for s in "ab")
+    cross = a.join(b, ["token", "slot"]).filter((F.col("slot") == top("n_a", "n_b")) & (F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b")) & close(F.col("n_a"), F.col("n_b")))
     room = F.least("crowded_a", "crowded_b") + tail(F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))) - least(F.col("n_a"), F.col("n_b"))
     cross = cross.groupBy(F.col("rep_b").alias("probe"), F.col("rep_a").alias("member"), room.alias("room")).agg(F.count(F.lit(1)).alias("common")).filter("common + room >= 0").select("probe", "member")
     cross = cut(cross, "cross")
