@@ -45,14 +45,15 @@ def prompt_of(tags: Column) -> Column:
     return replaced(text(tags), ("(", "\\("), (")", "\\)"), (" ", ", "), ("_", " "))
 
 
-def comma_parts(prompt: Column) -> Column:
-    """Parts of a comma list, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(text(prompt), ",", -1), lambda t: F.regexp_replace(t, r"^\s+|\s+$", "")), lambda t: t != "")
+def comma_parts(prompt: Column, empty: bool = False) -> Column:
+    """Parts of a comma list, trimmed, without empty ones unless they are asked for."""
+    parts = F.transform(F.split(text(prompt), ",", -1), lambda t: F.regexp_replace(t, r"^\s+|\s+$", ""))
+    return parts if empty else F.filter(parts, lambda t: t != "")
 
 
-def tags_of_prompt(prompt: Column) -> Column:
-    """A readable comma list as blank-separated tags; null is empty."""
-    return F.array_join(F.transform(comma_parts(prompt), raw_tag), " ")
+def tags_of_prompt(prompt: Column, empty: bool = False) -> Column:
+    """A readable comma list as blank-separated tags; null is empty. With its empty tags, the inverse of prompt_of."""
+    return F.array_join(F.transform(comma_parts(prompt, empty), raw_tag), " ")
 
 
 def sanitized(prompt: Column) -> Column:

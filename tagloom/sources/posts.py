@@ -37,7 +37,8 @@ SELECT d.doc_id AS id,
   CASE WHEN l.toxic = 1 THEN 'worst' WHEN l.quality = 1 THEN 'best' WHEN l.quality = 0 THEN 'worse' END AS new_aesthetic_label
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
-SPARK_TOKENS = "array_join(slice(regexp_extract_all(lower(d.text), '[a-z]+', 0), 1, CAST(10 + (d.doc_id * 13) % 31 AS INT)), ' ')"
+# Java lower-cases U+0130 to two characters, the second of which would part a word; DuckDB to one.
+SPARK_TOKENS = "array_join(slice(regexp_extract_all(lower(replace(d.text, '\u0130', 'i')), '[a-z]+', 0), 1, CAST(10 + (d.doc_id * 13) % 31 AS INT)), ' ')"
 DUCKDB_TOKENS = "array_to_string(list_slice(regexp_extract_all(lower(d.text), '[a-z]+'), 1, 10 + (d.doc_id * 13) % 31), ' ')"
 FULL = "SELECT *, concat_ws(' ', tag_string_general, tag_string_character, tag_string_artist) AS tag_string FROM ({view}) v"
 
