@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .lineage import cut
+from .lineage import cut, drop, written
 
 
 def sign_bits(vector: Column) -> Column:
@@ -70,19 +70,21 @@ def near_groups(rows: DataFrame, distance: int, inclusive: bool = False) -> Data
 def groups(pairs: DataFrame) -> DataFrame:
     """(id, group): least id reachable over the pairs; labels spread by neighbours and jump over their own label.
 
-    Each round is cut by a checkpoint; rounds go on until no label changes, which jumps make few.
+    Each round is written as a table; rounds go on until no label changes, which jumps make few.
     """
     both = pairs.select(F.col("a").alias("id"), F.col("b").alias("other")).union(pairs.select("b", "a")).distinct()
-    both = cut(both)
-    labels = cut(both.groupBy("id").agg(F.least(F.min("other"), F.col("id")).alias("group")))
+    both = written(both)
+    labels = written(both.groupBy("id").agg(F.least(F.min("other"), F.col("id")).alias("group")))
     while True:
         near = both.join(labels.select(F.col("id").alias("other"), "group"), "other").groupBy("id").agg(F.min("group").alias("near"))
         step = labels.join(near, "id").select("id", F.least("group", "near").alias("group"), F.col("group").alias("before"))
         jump = step.select(F.col("id").alias("group"), F.col("group").alias("root"))
-        new = cut(step.join(jump, "group", "left").select("id", F.coalesce("root", "group").alias("group"), "before"))
-        labels = new.select("id", "group")
+        new = written(step.join(jump, "group", "left").select("id", F.coalesce("root", "group").alias("group"), "before"))
+        drop(labels)
+        labels = new
         if new.filter("group != before").isEmpty():
-            return labels
+            drop(both)
+            return labels.select("id", "group")
 
 
 def survivors(members: DataFrame) -> DataFrame:
